@@ -1,0 +1,26 @@
+"""Join strategies with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Bounded work: ``limit(max_rows + 1)`` stops reading once the bound is passed.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | list, how: str, max_rows: int) -> DataFrame:
+    """Join a large fact side to a lookup side, broadcasting the lookup only if it is proven small.
+
+    Above the bound the join is left to the planner (sort-merge, with AQE
+    switching to broadcast at run time when the shuffled size allows, and
+    splitting skewed fact partitions otherwise).
+    """
+    if fits_broadcast(lookup, max_rows):
+        return fact.join(F.broadcast(lookup), on, how)
+    return fact.join(lookup, on, how)
