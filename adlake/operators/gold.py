@@ -61,7 +61,8 @@ def dim_ad_group(keywords: DataFrame, ads_data: DataFrame | None = None) -> Data
     if ads_data is not None:
         parts.append(ads_data.select(*cols, F.lit(None).cast("date").alias("segments_date")))
     src = reduce(DataFrame.unionByName, parts)
-    latest = F.max_by(F.struct("ad_group_name", "campaign_id"), F.struct("segments_date", "ad_group_name", "campaign_id"))
+    undated_first = F.coalesce(F.col("segments_date"), F.lit("0001-01-01").cast("date"))
+    latest = F.max_by(F.struct("ad_group_name", "campaign_id"), F.struct(undated_first, "ad_group_name", "campaign_id"))
     return (
         src.groupBy("ad_group_id")
         .agg(latest.alias("l"))
