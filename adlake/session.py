@@ -19,7 +19,8 @@ DEFAULT_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adlake") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adlake",
+                  conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, no server)."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,7 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
