@@ -74,7 +74,7 @@ def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__"
     """CAT-4: row count and column list per table, plus a grand-total row.
 
     Each count is a distributed aggregate; the per-table rows are unioned and
-    the total is a sum over those few rows.
+    one ``rollup`` over that union adds the total, so every table is read once.
     """
     names = list(frames.names()) if hasattr(frames, "names") else list(frames.keys())
     per_table = reduce(
@@ -89,13 +89,19 @@ def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__"
             for n in names
         ],
     )
-    total = per_table.agg(
-        F.lit(total_label).alias("table_name"),
+    rolled = per_table.rollup("table_name").agg(
         F.sum("row_count").alias("row_count"),
-        F.lit(None).cast("int").alias("n_columns"),
-        F.lit(str(len(names))).alias("columns"),
+        F.max("n_columns").alias("n_columns"),
+        F.max("columns").alias("columns"),
+        F.grouping("table_name").alias("_total"),
+    )
+    is_total = F.col("_total") == 1
+    return rolled.select(
+        F.when(is_total, F.lit(total_label)).otherwise(F.col("table_name")).alias("table_name"),
+        "row_count",
+        F.when(is_total, F.lit(None).cast("int")).otherwise(F.col("n_columns")).alias("n_columns"),
+        F.when(is_total, F.lit(str(len(names)))).otherwise(F.col("columns")).alias("columns"),
     )
-    return per_table.unionByName(total)
 
 
 def audit(spark: SparkSession, db: str) -> DataFrame:

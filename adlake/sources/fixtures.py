@@ -15,11 +15,29 @@ Bronze column names keep the report API's dotted form (``metrics.clicks``).
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+SOURCE_TABLES = ("events", "part", "pages", "documents", "customer", "supplier", "nation", "region")
+
+
+def source_view(sf_dir: str, table: str) -> str:
+    """Session view name of one supplied table of one data folder."""
+    return f"adlake_src_{hashlib.md5(sf_dir.rstrip('/').encode()).hexdigest()[:10]}_{table}"
+
+
+def register_sources(spark: SparkSession, sf_dir: str) -> None:
+    """Resolve each supplied parquet table once per session (one file listing and
+    schema read), instead of once per reference in every fixture."""
+    for t in SOURCE_TABLES:
+        name = source_view(sf_dir, t)
+        if not spark.catalog.tableExists(name):
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(name)
+
+
 @dataclass(frozen=True)
 class Dialect:
     name: str  # "spark" | "duckdb"
@@ -27,7 +45,7 @@ class Dialect:
 
     def t(self, table: str) -> str:
         if self.name == "spark":
-            return f"parquet.`{self.sf_dir.rstrip('/')}/{table}.parquet`"
+            return source_view(self.sf_dir, table)
         return table
 
     def dow(self, expr: str) -> str:
@@ -534,6 +552,7 @@ def fixture_sql(bronze_table: str, dialect: Dialect) -> str:
 
 
 def bronze_frame(spark: SparkSession, sf_dir: str, bronze_table: str) -> DataFrame:
+    register_sources(spark, sf_dir)
     return spark.sql(fixture_sql(bronze_table, Dialect(SPARK, sf_dir)))
 
 
