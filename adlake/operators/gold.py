@@ -33,9 +33,14 @@ def _nk(c: str):
 def dim_campaign(campaigns: DataFrame) -> DataFrame:
     """GD-1: one row per campaign with its latest name, status and channel (by date)."""
     attrs = ["campaign_name", "campaign_status", "campaign_advertising_channel_type"]
+    # hash-aggregate to distinct attribute combinations first (fixed-width buffer,
+    # map-side combine); only that small set goes through the sort-based max_by
+    combos = campaigns.groupBy(_nk("campaign_id").alias("campaign_id"), *attrs).agg(
+        F.max("segments_date").alias("segments_date")
+    )
     latest = F.max_by(F.struct(*attrs), F.struct("segments_date", *attrs))
     return (
-        campaigns.groupBy(_nk("campaign_id").alias("campaign_id"))
+        combos.groupBy("campaign_id")
         .agg(latest.alias("l"))
         .select(
             surrogate_key("campaign_id").alias("campaign_pk"),
@@ -62,9 +67,10 @@ def dim_ad_group(keywords: DataFrame, ads_data: DataFrame | None = None) -> Data
         parts.append(ads_data.select(*cols, F.lit(None).cast("date").alias("segments_date")))
     src = reduce(DataFrame.unionByName, parts)
     undated_first = F.coalesce(F.col("segments_date"), F.lit("0001-01-01").cast("date"))
-    latest = F.max_by(F.struct("ad_group_name", "campaign_id"), F.struct(undated_first, "ad_group_name", "campaign_id"))
+    combos = src.groupBy("ad_group_id", "ad_group_name", "campaign_id").agg(F.max(undated_first).alias("d"))
+    latest = F.max_by(F.struct("ad_group_name", "campaign_id"), F.struct("d", "ad_group_name", "campaign_id"))
     return (
-        src.groupBy("ad_group_id")
+        combos.groupBy("ad_group_id")
         .agg(latest.alias("l"))
         .select(
             surrogate_key("ad_group_id").alias("ad_group_pk"),
@@ -78,8 +84,10 @@ def dim_ad_group(keywords: DataFrame, ads_data: DataFrame | None = None) -> Data
 
 def dim_ad(ads_data: DataFrame) -> DataFrame:
     """GD-3: one row per ad (ad group, ad id), keeping the natural ad_group_id."""
+    keys = [_nk("ad_group_id").alias("ad_group_id"), _nk("ad_group_ad_ad_id").alias("ad_id")]
+    combos = ads_data.groupBy(*keys, "ad_group_ad_ad_type", "ad_group_ad_status").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        ads_data.groupBy(_nk("ad_group_id").alias("ad_group_id"), _nk("ad_group_ad_ad_id").alias("ad_id"))
+        combos.groupBy("ad_group_id", "ad_id")
         .agg(F.max(F.struct("ad_group_ad_ad_type", "ad_group_ad_status")).alias("l"))
         .select(
             surrogate_key("ad_group_id", "ad_id").alias("ad_pk"),

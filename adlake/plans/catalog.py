@@ -22,8 +22,8 @@ def list_databases(spark: SparkSession) -> list[str]:
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
-    """CAT-2."""
-    return sorted(t.name for t in spark.catalog.listTables(db))
+    """CAT-2: tables of ``db`` (session temp views, which the catalog also lists, excluded)."""
+    return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
 
 
 def list_columns(spark: SparkSession, table: str) -> list[str]:

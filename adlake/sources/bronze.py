@@ -39,5 +39,5 @@ def land_csv(spark: SparkSession, csv_path: str, bronze_path: str, schema: str |
 
 def read_bronze(spark: SparkSession, db: str, tables: tuple[str, ...] = BRONZE_TABLES) -> dict[str, DataFrame]:
     """SRC-2: the bronze catalog tables that exist in ``db``."""
-    have = {t.name for t in spark.catalog.listTables(db)}
+    have = {t.name for t in spark.catalog.listTables(db) if not t.isTemporary}
     return {t: spark.table(f"{db}.{t}") for t in tables if t in have}
