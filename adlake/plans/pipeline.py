@@ -14,6 +14,7 @@ from adlake.operators.layer import LazyLayer
 from adlake.operators.report import report
 from adlake.operators.silver import build_silver
 from adlake.plans.catalog import save_layer
+from adlake.session import ensure_checkpoint_dir
 from adlake.sources.fixtures import BronzeFixtures
 
 # KPI tables each report reads (all ten when absent).
@@ -74,9 +75,14 @@ class Lakehouse:
         plan runs once and a lost executor re-reads files instead.
         """
         if self._saved_kpis is None:
-            self._saved_kpis = LazyLayer(lambda n: self.kpis[n].checkpoint(eager=True), KPI_NAMES)
+            self._saved_kpis = LazyLayer(lambda n: self._checkpoint(self.kpis[n]), KPI_NAMES)
         return self._saved_kpis
 
+    @staticmethod
+    def _checkpoint(df: DataFrame) -> DataFrame:
+        ensure_checkpoint_dir(df.sparkSession)  # the session's shared folder; set only if unset
+        return df.checkpoint(eager=True)
+
     def roas(self) -> DataFrame:
         return metric_roas(self.silver, self.gold)
 
@@ -95,7 +101,7 @@ class Lakehouse:
         kpis = self.kpis
         built = {n: kpis[n] for n in todo}  # plan construction stays on this thread
         with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(todo))) as pool:
-            done = dict(zip(todo, pool.map(lambda n: built[n].checkpoint(eager=True), todo)))
+            done = dict(zip(todo, pool.map(lambda n: self._checkpoint(built[n]), todo)))
         for n, df in done.items():
             self.saved_kpis[n] = df
 
