@@ -129,16 +129,15 @@ def dim_network(networks: DataFrame) -> DataFrame:
 
 
 def dim_date(*dated: DataFrame) -> DataFrame:
-    """GD-8: calendar from the first to the last ``segments_date`` of the given tables.
+    """GD-8: one row per date that occurs in the given tables.
 
-    Only min/max are aggregated (one row per partition, then one row); the
-    calendar itself is one row per day, so it is small and bounded.
+    A distinct over the union of the date columns: each map task emits only
+    its distinct dates (partial aggregation), so the shuffle is tiny.  (A
+    min..max calendar would be generated by one task and explode on one bad
+    outlier date.)
     """
-    bounds = reduce(
-        DataFrame.unionByName,
-        [d.select(F.min("segments_date").alias("lo"), F.max("segments_date").alias("hi")) for d in dated],
-    ).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    cal = bounds.select(F.explode(F.sequence("lo", "hi")).alias("full_date"))
+    dates = reduce(DataFrame.unionByName, [d.select(F.col("segments_date").alias("full_date")) for d in dated])
+    cal = dates.filter(F.col("full_date").isNotNull()).distinct()
     return cal.select(
         date_key("full_date").alias("date_key"),
         "full_date",

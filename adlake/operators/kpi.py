@@ -1,19 +1,15 @@
 """KPI layer: KPI-1 .. KPI-10 and MET-2 over the gold star schema.
 
-Join strategy (the part that decides cost at scale):
-
-* dimensions whose size is bounded by construction (age ranges, genders,
-  networks: enum values; dates: one row per calendar day) are broadcast and
-  the fact is aggregated once, after a map-side join: a single shuffle of
-  partially aggregated rows;
-* dimensions that grow with the account (campaigns, ad groups, keywords, ads)
-  are never joined to raw facts: the fact is first aggregated to the
-  dimension key (map-side combine absorbs hot keys), so the join sees one row
-  per key on both sides and cannot skew; AQE still turns it into a broadcast
-  join at run time when the measured size allows.
-
-All measures are sums, so "aggregate below the join" is exact: every
-dimension is unique on its key.
+Join strategy (the part that decides cost at scale): facts are never joined
+to a dimension row by row.  Every KPI first aggregates its fact to the
+dimension key (map-side partial aggregation absorbs hot keys before the
+shuffle), so the join sees one row per key on both sides: it cannot skew and
+it moves almost nothing.  No dimension is broadcast on assumption; AQE turns
+the join into a broadcast at run time when the *measured* size allows.  The
+result is then re-aggregated to the reported labels (a tiny shuffle).
+
+All measures are sums and every dimension is unique on its key, so
+aggregating below the join is exact.
 """
 
 from __future__ import annotations
@@ -151,20 +147,26 @@ def kpi_3_top_keywords(gold: Mapping[str, DataFrame], k: int = TOP_KEYWORDS_K) -
     return out.orderBy(F.desc("total_clicks"), "keyword_text", "keyword_match_type").limit(k)
 
 
-# ---------------------------------------------------------------- KPI 4, 5, 8 (bounded dims)
+# ---------------------------------------------------------------- KPI 4, 5, 8
+
+
+def _per_key(fact: DataFrame, key: str, with_cost: bool = True) -> DataFrame:
+    """Fact sums per dimension key (the only pass over the fact rows)."""
+    aggs = [F.sum("impressions").alias("i"), F.sum("clicks").alias("c"), F.sum("conversions").alias("v")]
+    if with_cost:
+        aggs.append(_cost_dec().alias("cost"))
+    return fact.groupBy(key).agg(*aggs)
+
+
+def _by_label(per_key: DataFrame, dim: DataFrame, key: str, *labels: str, with_cost: bool = True) -> DataFrame:
+    aggs = [F.sum("i").alias("i"), F.sum("c").alias("c"), F.sum("v").alias("v")]
+    if with_cost:
+        aggs.append(F.sum("cost").alias("cost"))
+    return per_key.join(dim.select(key, *labels), key).groupBy(*labels).agg(*aggs)
 
 
 def _audience_kpi(fact: DataFrame, dim: DataFrame, pk: str, label: str) -> DataFrame:
-    t = (
-        fact.join(F.broadcast(dim), pk)
-        .groupBy(label)
-        .agg(
-            F.sum("impressions").alias("i"),
-            F.sum("clicks").alias("c"),
-            F.sum("conversions").alias("v"),
-            _cost_dec().alias("cost"),
-        )
-    )
+    t = _by_label(_per_key(fact, pk), dim, pk, label)
     cost = _money(F.col("cost"))
     return t.select(
         label,
@@ -187,12 +189,8 @@ def kpi_5_gender_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def kpi_8_network_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
-    t = (
-        gold["fact_campaign_network_perf"]
-        .join(F.broadcast(gold["dim_network"]), "network_pk")
-        .groupBy("network_name")
-        .agg(F.sum("impressions").alias("i"), F.sum("clicks").alias("c"), F.sum("conversions").alias("v"))
-    )
+    per_key = _per_key(gold["fact_campaign_network_perf"], "network_pk", with_cost=False)
+    t = _by_label(per_key, gold["dim_network"], "network_pk", "network_name", with_cost=False)
     return t.select(
         "network_name",
         F.col("i").alias("total_impressions"),
@@ -206,18 +204,8 @@ def kpi_8_network_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- KPI 6, 9 (date dim)
 
 
-def _by_date(gold: Mapping[str, DataFrame], *labels: Column | str) -> DataFrame:
-    return (
-        gold["fact_campaign_perf"]
-        .join(F.broadcast(gold["dim_date"]), "date_key")
-        .groupBy(*labels)
-        .agg(
-            F.sum("impressions").alias("i"),
-            F.sum("clicks").alias("c"),
-            F.sum("conversions").alias("v"),
-            _cost_dec().alias("cost"),
-        )
-    )
+def _by_date(gold: Mapping[str, DataFrame], *labels: str) -> DataFrame:
+    return _by_label(_per_key(gold["fact_campaign_perf"], "date_key"), gold["dim_date"], "date_key", *labels)
 
 
 def kpi_6_monthly_trend(gold: Mapping[str, DataFrame]) -> DataFrame:

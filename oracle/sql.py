@@ -334,11 +334,9 @@ GOLD: dict[str, tuple[str, list[str]]] = {
     "dim_date": (f"""SELECT {DK('full_date')} AS date_key, full_date, CAST(year(full_date) AS INTEGER) AS year,
           CAST(month(full_date) AS INTEGER) AS month, CAST(day(full_date) AS INTEGER) AS day_of_month,
           CAST(dayofweek(full_date) + 1 AS INTEGER) AS day_of_week
-        FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY))
-                          AS DATE) AS full_date
-              FROM (SELECT min(lo) AS lo, max(hi) AS hi FROM (
-                    SELECT min(segments_date) AS lo, max(segments_date) AS hi FROM s_campaigns
-                    UNION ALL SELECT min(segments_date), max(segments_date) FROM s_conversions)))""",
+        FROM (SELECT DISTINCT segments_date AS full_date FROM (
+                SELECT segments_date FROM s_campaigns UNION ALL SELECT segments_date FROM s_conversions)
+              WHERE segments_date IS NOT NULL)""",
                  ["s_campaigns", "s_conversions"]),
     "fact_campaign_perf": (f"""SELECT {SK('p.campaign_id')} AS campaign_pk, {DK('p.segments_date')} AS date_key,
           p.campaign_id, p.segments_date,

@@ -97,15 +97,38 @@ def test_kpi6_multi_month_order(spark):
     assert out[1].monthly_cpl_inr is None and out[0].monthly_cpl_inr == 1.5  # NULLIF: null, not 0
 
 
-def test_kpi_join_plans(lake):
-    """Bounded dims broadcast; the campaign KPI aggregates before its join."""
-    plan4 = lake.kpis["kpi_4_age_performance"]._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan4 or "BroadcastExchange" in plan4
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kpi_plans_aggregate_before_join(lake):
+    """Every KPI aggregates its fact to the dimension key before joining; no broadcast hint on a dimension."""
+    for name in K.KPI_NAMES:
+        opt = lake.kpis[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "broadcast" not in opt.lower(), name
+        phys = _plan(lake.kpis[name])
+        assert "partial_sum" in phys or "partial_count" in phys, name  # map-side combine before the shuffle
     p1 = lake.kpis["kpi_1_summary"]._jdf.queryExecution().optimizedPlan().toString()
     # the first aggregate (per campaign_pk) sits below the join with dim_campaign
     assert p1.index("Join") < p1.rindex("Aggregate [campaign_pk")
 
 
+def test_hot_key_is_combined_map_side(spark):
+    """One campaign holding most rows: results stay exact and the fact is combined before any exchange."""
+    rows = [("hot", 20240101 + (i % 3), 1, 1, 0.5, 1.0, 0.0) for i in range(3000)]
+    rows += [(f"c{i}", 20240101, 2, 1, 1.0, 0.0, 0.0) for i in range(100)]
+    fact = spark.createDataFrame(rows, "campaign_pk string, date_key int, impressions long, clicks long, "
+                                       "cost_inr double, conversions double, conversions_value double")
+    fact = fact.repartition(8)
+    dim = spark.createDataFrame([("hot", "H", "ENABLED")] + [(f"c{i}", f"C{i}", "PAUSED") for i in range(100)],
+                                "campaign_pk string, campaign_name string, campaign_status string")
+    out = K.kpi_1_summary({"fact_campaign_perf": fact, "dim_campaign": dim})
+    got = {r.campaign_name: r for r in out.collect()}
+    assert got["H"].total_clicks == 3000 and got["H"].total_cost_inr == 1500.0 and got["C7"].total_impressions == 2
+    phys = _plan(out)
+    assert phys.index("partial_sum") > phys.index("Exchange")  # partial agg is below (after, in text) the exchange
+
+
 def test_metric_roas(lake):
     r = lake.roas().collect()
     assert len(r) == lake.gold["dim_campaign"].count()
