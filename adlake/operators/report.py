@@ -285,41 +285,79 @@ def _cell(df: DataFrame, c: str) -> Column:
     return F.coalesce(v, F.lit(""))
 
 
+def _order_slots(df: DataFrame, kpi: str, width: int) -> list[Column]:
+    """The KPI's order as ``width`` type-uniform slots (null rank, number, text).
+
+    Sorting every slot ascending reproduces the KPI's own order, including
+    Spark's null placement (first ascending, last descending), so tables with
+    different order columns can share one sort.
+    """
+    out: list[Column] = []
+    order = KPI_ORDER[kpi]
+    for i in range(width):
+        if i >= len(order):
+            out += [F.lit(0), F.lit(None).cast("double"), F.lit(None).cast("string")]
+            continue
+        c, desc = order[i]
+        col = F.col(c)
+        null_rank = F.when(col.isNull(), 1 if desc else 0).otherwise(0 if desc else 1)
+        if isinstance(df.schema[c].dataType, T.StringType):
+            if desc:
+                raise ValueError(f"descending text order is not supported: {kpi}.{c}")
+            out += [null_rank, F.lit(None).cast("double"), col]
+        else:
+            num = col.cast("double")
+            out += [null_rank, -num if desc else num, F.lit(None).cast("string")]
+    return out
+
+
 def markdown_lines(kpis: Mapping[str, DataFrame]) -> DataFrame:
     """RPT-2: every KPI table as markdown lines ``(kpi, line_no, line)``.
 
     Line 1 is the title; a non-empty table follows with a header and separator
-    line, then one line per row in the KPI's order (line numbers from a
-    distributed row index); an empty table gets the "no data" marker.
+    line, then one line per row in the KPI's order; an empty table gets the
+    "no data" marker.  All tables' rows are numbered by one distributed row
+    index over a shared sort key (KPI number, then the KPI's own order).
     """
-    parts = []
-    for name in KPI_NAMES:
+    names = [n for n in KPI_NAMES if n in kpis]
+    width = max(len(KPI_ORDER[n]) for n in names)
+    slot_names = [f"_o{i}" for i in range(3 * width)]
+    bodies = []
+    for no, name in enumerate(KPI_NAMES, start=1):
         if name not in kpis:
             continue
         df = kpis[name]
-        cols = df.columns
-        counted = df.agg(F.count(F.lit(1)).alias("n"))
-        title = counted.select(F.lit(name).alias("kpi"), F.lit(1).cast("long").alias("line_no"),
-                               F.lit(f"## {KPI_TITLES[name]}").alias("line"))
-        header = counted.filter("n > 0").select(
-            F.lit(name).alias("kpi"),
-            F.explode(F.array(
-                F.struct(F.lit(2).cast("long").alias("line_no"), F.lit("| " + " | ".join(cols) + " |").alias("line")),
-                F.struct(F.lit(3).cast("long").alias("line_no"), F.lit("|" + "|".join([" --- "] * len(cols)) + "|")
-                         .alias("line")),
-            )).alias("h"),
-        ).select("kpi", "h.line_no", "h.line")
-        empty = counted.filter("n = 0").select(F.lit(name).alias("kpi"), F.lit(2).cast("long").alias("line_no"),
-                                               F.lit(NO_DATA).alias("line"))
-        body = df.select(
-            *[F.col(c) for c in cols],
-            F.concat(F.lit("| "), F.concat_ws(" | ", *[_cell(df, c) for c in cols]), F.lit(" |")).alias("_line"),
-        )
-        numbered = with_row_index(body, _order_cols(name), "_row", partitions=4)
-        rows = numbered.select(F.lit(name).alias("kpi"), (F.col("_row") + 3).alias("line_no"),
-                               F.col("_line").alias("line"))
-        parts += [title, header, empty, rows]
-    return reduce(DataFrame.unionByName, parts)
+        line = F.concat(F.lit("| "), F.concat_ws(" | ", *[_cell(df, c) for c in df.columns]), F.lit(" |"))
+        slots = _order_slots(df, name, width)
+        bodies.append(df.select(F.lit(no).alias("kpi_no"), F.lit(name).alias("kpi"), line.alias("line"),
+                                *[v.alias(n) for v, n in zip(slots, slot_names)]))
+    body = reduce(DataFrame.unionByName, bodies)
+    numbered = with_row_index(body, [F.col("kpi_no")] + [F.col(n).asc() for n in slot_names], "_row", partitions=4)
+    firsts = numbered.groupBy("kpi").agg(F.min("_row").alias("_first"))  # one row per KPI
+    rows = numbered.join(F.broadcast(firsts), "kpi").select(
+        "kpi", (F.col("_row") - F.col("_first") + 4).alias("line_no"), "line")
+
+    spark = body.sparkSession
+    registry = spark.createDataFrame(
+        [(n, f"## {KPI_TITLES[n]}", "| " + " | ".join(kpis[n].columns) + " |",
+          "|" + "|".join([" --- "] * len(kpis[n].columns)) + "|") for n in names],
+        "kpi string, title string, header string, sep string",
+    )
+    counts = body.groupBy("kpi").agg(F.count(F.lit(1)).alias("n"))
+    head = registry.join(F.broadcast(counts), "kpi", "left").select(
+        "kpi",
+        F.explode(
+            F.when(F.col("n").isNull(), F.array(
+                F.struct(F.lit(1).cast("long").alias("line_no"), F.col("title").alias("line")),
+                F.struct(F.lit(2).cast("long").alias("line_no"), F.lit(NO_DATA).alias("line")),
+            )).otherwise(F.array(
+                F.struct(F.lit(1).cast("long").alias("line_no"), F.col("title").alias("line")),
+                F.struct(F.lit(2).cast("long").alias("line_no"), F.col("header").alias("line")),
+                F.struct(F.lit(3).cast("long").alias("line_no"), F.col("sep").alias("line")),
+            ))
+        ).alias("h"),
+    ).select("kpi", "h.line_no", "h.line")
+    return head.unionByName(rows)
 
 
 # ---------------------------------------------------------------- report registry
