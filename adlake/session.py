@@ -19,6 +19,20 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (not applied by this library: a job
+# takes its session as configured).  Start with many shuffle partitions and let
+# AQE coalesce them to ~256 MB each; split skewed join partitions; read input
+# splits of 256 MB.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adlake",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, no server)."""
