@@ -91,7 +91,9 @@ def test_kpi6_multi_month_order(spark):
         [("p", 20231231, 1, 1, 1.5, 1.0, 0.0), ("p", 20240101, 1, 1, 2.5, 0.0, 0.0), ("p", 20240201, 1, 1, 1.0, 2.0, 0.0)],
         "campaign_pk string, date_key int, impressions long, clicks long, cost_inr double, conversions double, "
         "conversions_value double")
-    dates = G.dim_date(spark.createDataFrame([(dt.date(2023, 12, 31),), (dt.date(2024, 2, 1),)], "segments_date date"))
+    dates = G.dim_date(spark.createDataFrame(
+        [(dt.date(2023, 12, 31),), (dt.date(2024, 1, 1),), (dt.date(2024, 2, 1),), (None,)], "segments_date date"))
+    assert dates.count() == 3
     out = K.kpi_6_monthly_trend({"fact_campaign_perf": fact, "dim_date": dates}).collect()
     assert [(r.year, r.month) for r in out] == [(2023, 12), (2024, 1), (2024, 2)]
     assert out[1].monthly_cpl_inr is None and out[0].monthly_cpl_inr == 1.5  # NULLIF: null, not 0
