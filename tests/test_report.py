@@ -88,3 +88,20 @@ def test_complete_kpis_not_truncated(spark):
     df = spark.range(0, 20).selectExpr("2024 as year", "cast(id as int) as month")
     t = R.truncate_for_report(df, "kpi_6_monthly_trend")
     assert t.count() == 20
+
+
+def test_pack_records_unreadable_tables(spark):
+    """RPT-1 over saved tables: a missing KPI table is reported as an error row, not raised."""
+    from adlake.operators.kpi import KPI_NAMES
+    from adlake.plans.catalog import save_layer
+
+    rows = [("A", "ENABLED", 1.0, 1, 1, 1.0, 1.0, 1.0, 100.0, 100.0)]
+    save_layer(spark, "t_pack", {"kpi_1_summary": spark.createDataFrame(rows, K1),
+                                 "kpi_2_cpl_ranking": spark.createDataFrame([], "campaign_name string")})
+    frames, errors = R.kpi_frames_from_catalog(spark, "t_pack")
+    assert set(frames) == {"kpi_1_summary", "kpi_2_cpl_ranking"} and set(errors) == set(KPI_NAMES) - set(frames)
+    pack = {r.kpi: r for r in R.report_pack(frames, errors).collect()}
+    assert pack["kpi_1_summary"].status == "ok" and pack["kpi_1_summary"].row_count == 1
+    assert pack["kpi_2_cpl_ranking"].status == "empty"
+    assert pack["kpi_9_day_of_week"].status == "error" and pack["kpi_9_day_of_week"].error
+    assert [r.kpi_no for r in R.report_pack(frames, errors).orderBy("kpi_no").collect()] == list(range(1, 11))
