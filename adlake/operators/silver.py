@@ -12,7 +12,7 @@ from adlake.operators.layer import LazyLayer
 from adlake.operators.spec import SPECS, SPEC_BY_SILVER
 from adlake.plans.joins import lookup_join
 
-# Geo lookup: Google's geo-target list is a bounded reference table (order of
+# Geo lookup: the ad platform's geo-target list is a bounded reference table (order of
 # 10^5 rows).  It is broadcast only after checking it stays under this bound.
 GEO_BROADCAST_MAX_ROWS = 500_000
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adlake.operators.gold import build_gold
 from adlake.operators.kpi import KPI_NAMES, kpi, metric_roas
 from adlake.operators.layer import LazyLayer
-from adlake.operators.report import report
+from adlake.operators.report import kpi_frames_from_catalog, report, report_pack
 from adlake.operators.silver import build_silver
 from adlake.plans.catalog import save_layer
 from adlake.session import ensure_checkpoint_dir
@@ -115,7 +115,8 @@ def run(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_db: str = "
     """Materialize every layer as tables; each layer reads the previous one's files.
 
     Writing a layer cuts the lineage (a lost executor re-reads files instead of
-    recomputing from bronze).  Per-table failures are collected, not raised
+    recomputing from bronze).  The report tables (``report_<name>``) are built
+    from the written KPI tables and saved next to them.  Per-table failures are collected, not raised
     mid-way; the union of all outcomes is returned.
     """
     outcomes = []
@@ -127,6 +128,16 @@ def run(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_db: str = "
     saved_gold = {n: spark.table(f"{gold_db}.{n}") for n in gold.names() if spark.catalog.tableExists(f"{gold_db}.{n}")}
     kpis = LazyLayer(lambda n: kpi(n, saved_gold), KPI_NAMES)
     outcomes.append(save_layer(spark, analytics_db, kpis, fmt))
+    # report tables read the written KPI tables; an unreadable one is recorded by the pack
+    saved_kpis, errors = kpi_frames_from_catalog(spark, analytics_db)
+
+    def build_report(table: str) -> DataFrame:
+        name = table.removeprefix("report_")
+        return report_pack(saved_kpis, errors) if name == "pack" else report(name, saved_kpis)
+
+    buildable = [r for r in REPORTS if r == "pack" or all(k in saved_kpis for k in REPORT_INPUTS.get(r, KPI_NAMES))]
+    reports = LazyLayer(build_report, [f"report_{r}" for r in buildable])
+    outcomes.append(save_layer(spark, analytics_db, reports, fmt))
     out = outcomes[0]
     for o in outcomes[1:]:
         out = out.unionByName(o)

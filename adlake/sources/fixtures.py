@@ -481,7 +481,7 @@ def f20_conversion_action(d: Dialect) -> str:
         AS `conversion_action.primary_for_goal`,
       {_ns("CASE s_suppkey % 2 WHEN 0 THEN 'ONE_PER_CLICK' ELSE 'MANY_PER_CLICK' END", 5, k, 7)}
         AS `conversion_action.counting_type`,
-      {_ns("CASE s_suppkey % 3 WHEN 0 THEN 'GOOGLE_ADS_LAST_CLICK' WHEN 1 THEN 'GOOGLE_SEARCH_ATTRIBUTION_DATA_DRIVEN' "
+      {_ns("CASE s_suppkey % 3 WHEN 0 THEN 'LAST_CLICK' WHEN 1 THEN 'DATA_DRIVEN' "
            "ELSE 'UNKNOWN' END", 6, k, 7)} AS `conversion_action.attribution_model_settings.attribution_model`,
       {_nn("CAST(30 + (s_suppkey % 3) * 30 AS BIGINT)", 1, k, 11)}
         AS `conversion_action.click_through_lookback_window_days`,

@@ -108,7 +108,9 @@ def test_cli_land_run_audit(spark, capsys):
     main(["run", "--bronze-db", "cli_bronze", "--silver-db", "cli_silver", "--gold-db", "cli_gold",
           "--analytics-db", "cli_analytics"])
     main(["audit", "--db", "cli_analytics"])
-    assert [len(C.list_tables(spark, d)) for d in ("cli_silver", "cli_gold", "cli_analytics")] == [22, 13, 10]
+    assert [len(C.list_tables(spark, d)) for d in ("cli_silver", "cli_gold", "cli_analytics")] == [22, 13, 21]
+    md = spark.table("cli_analytics.report_markdown")
+    assert md.filter("line_no = 1").count() == 10
     assert "kpi_10_ad_type_dist" in capsys.readouterr().out  # the audit listed the KPI tables
     lake = Lakehouse.from_fixtures(spark, SF_SMALL)
     landed = spark.table("cli_analytics.kpi_1_summary")
