@@ -1,7 +1,9 @@
 """Scalar and aggregate metric builders.
 
-Every builder returns a plain ``Column`` made of built-in functions, so it stays
-inside whole-stage codegen.  Two rate families exist on purpose:
+Every builder yields built-in Spark expressions (no UDF), so it stays inside
+whole-stage codegen: row-level builders as SQL expression text (and Columns
+made from it), aggregate builders as Columns.  Two rate families exist on
+purpose:
 
 * row-level *guarded* rates (silver): a zero or missing denominator gives ``0``;
 * aggregate *ratio of sums* (KPI layer): a zero denominator gives ``null``.
@@ -33,6 +35,18 @@ __all__ = [
     "cvr",
     "cpa",
     "roas",
+    "guarded_ratio_sql",
+    "guarded_pct_sql",
+    "micros_sql",
+    "pct_sql",
+    "lost_pct_sql",
+    "cpm_cost_sql",
+    "day_part_sql",
+    "criterion_id_sql",
+    "url_host_sql",
+    "trailing_id_sql",
+    "age_label_sql",
+    "weekday_name_sql",
 ]
 
 # Fixed values that must equal the reference's: currency micros, day-part hour
@@ -51,80 +65,135 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _lit(s: str) -> str:
+    """SQL string literal (backslashes and quotes escaped for Spark's parser)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 # ---------------------------------------------------------------- row level
+#
+# Row-level builders take column names (or SQL expressions) and return SQL
+# text (``*_sql``) or the same as a Column.  As text they go into one
+# ``selectExpr`` per projection: a single driver->JVM call for a whole spec.
 
 
-def guarded_ratio(num: str | Column, den: str | Column, scale: float | int | None = None) -> Column:
+def guarded_ratio_sql(num: str, den: str, scale: float | int | None = None) -> str:
     """SC-2: ``num / den`` (times ``scale``) when ``den > 0``, else ``0``."""
-    n, d = _c(num), _c(den)
-    r = n / d
-    if scale is not None:
-        r = r * scale
-    return F.when(d > 0, r).otherwise(0)
+    r = f"({num} / {den})" + (f" * {scale}" if scale is not None else "")
+    return f"CASE WHEN {den} > 0 THEN {r} ELSE 0 END"
 
 
-def guarded_pct(num: str | Column, den: str | Column) -> Column:
+def guarded_pct_sql(num: str, den: str) -> str:
     """SC-1: guarded ratio as a percentage (CTR, CVR in silver)."""
-    return guarded_ratio(num, den, 100)
+    return guarded_ratio_sql(num, den, 100)
 
 
-def micros(c: str | Column) -> Column:
+def micros_sql(c: str) -> str:
     """SC-3: micro-units to currency units (bigint -> double)."""
-    return _c(c) / MICROS_PER_UNIT
+    return f"({c} / {MICROS_PER_UNIT})"
 
 
-def pct(c: str | Column) -> Column:
+def pct_sql(c: str) -> str:
     """SC-4: fraction to percentage."""
-    return _c(c) * 100
+    return f"({c} * 100)"
 
 
-def lost_pct(c: str | Column) -> Column:
+def lost_pct_sql(c: str) -> str:
     """SC-5: complement of a share, as a percentage."""
-    return (1 - _c(c)) * 100
+    return f"((1 - {c}) * 100)"
 
 
-def cpm_cost(impressions: str | Column, cpm: str | Column) -> Column:
+def cpm_cost_sql(impressions: str, cpm: str) -> str:
     """SC-6: cost from a CPM price: (impressions / 1000) * cpm."""
-    return (_c(impressions) / 1000) * _c(cpm)
+    return f"(({impressions} / 1000) * {cpm})"
 
 
-def day_part(hour: str | Column) -> Column:
-    """SC-7: hour of day to a day part; anything else (incl. 0-5) is Night."""
-    h = _c(hour)
-    out = None
-    for label, lo, hi in DAY_PARTS:
-        cond = (h >= lo) & (h <= hi)
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out.otherwise(DAY_PART_ELSE)
+def day_part_sql(hour: str) -> str:
+    """SC-7: hour of day to a day part; anything else (incl. 0-5 and null) is Night."""
+    whens = " ".join(f"WHEN {hour} >= {lo} AND {hour} <= {hi} THEN {_lit(label)}" for label, lo, hi in DAY_PARTS)
+    return f"CASE {whens} ELSE {_lit(DAY_PART_ELSE)} END"
 
 
-def criterion_id(c: str | Column) -> Column:
+def criterion_id_sql(c: str) -> str:
     """SC-8: criterion id after the tilde of an ad-group-criterion resource name."""
-    return F.regexp_extract(_c(c), CRITERION_ID_PATTERN, 1)
+    return f"regexp_extract({c}, {_lit(CRITERION_ID_PATTERN)}, 1)"
 
 
-def url_host(c: str | Column) -> Column:
+def url_host_sql(c: str) -> str:
     """SC-9: host of the first http(s) URL in the text ('' when none)."""
-    return F.regexp_extract(_c(c), URL_HOST_PATTERN, 1)
+    return f"regexp_extract({c}, {_lit(URL_HOST_PATTERN)}, 1)"
 
 
-def trailing_id(c: str | Column) -> Column:
+def trailing_id_sql(c: str) -> str:
     """SC-10: trailing numeric id of a resource path ('' when none)."""
-    return F.regexp_extract(_c(c), TRAILING_ID_PATTERN, 1)
+    return f"regexp_extract({c}, {_lit(TRAILING_ID_PATTERN)}, 1)"
 
 
-def age_label(c: str | Column) -> Column:
+def age_label_sql(c: str) -> str:
     """SC-11: AGE_RANGE_18_24 -> 18-24."""
-    return F.translate(F.regexp_replace(_c(c), AGE_PREFIX, ""), "_", "-")
+    return f"translate(regexp_replace({c}, {_lit(AGE_PREFIX)}, ''), '_', '-')"
 
 
-def weekday_name(dow: str | Column) -> Column:
+def weekday_name_sql(dow: str) -> str:
     """SC-12: day-of-week number (1 = Sunday) to its name; no else branch."""
-    d = _c(dow)
-    out = None
-    for i, name in enumerate(WEEKDAYS, start=1):
-        out = F.when(d == i, name) if out is None else out.when(d == i, name)
-    return out
+    whens = " ".join(f"WHEN {i} THEN {_lit(n)}" for i, n in enumerate(WEEKDAYS, start=1))
+    return f"CASE {dow} {whens} END"
+
+
+def _expr(sql_builder, *args, **kwargs) -> Column:
+    """Column from a text builder; only names / SQL text are accepted as inputs."""
+    bad = [a for a in args if not isinstance(a, str)]
+    if bad:
+        raise TypeError(f"{sql_builder.__name__} takes column names or SQL text, got {bad!r}")
+    return F.expr(sql_builder(*args, **kwargs))
+
+
+def guarded_ratio(num: str, den: str, scale: float | int | None = None) -> Column:
+    return _expr(guarded_ratio_sql, num, den, scale=scale)
+
+
+def guarded_pct(num: str, den: str) -> Column:
+    return _expr(guarded_pct_sql, num, den)
+
+
+def micros(c: str) -> Column:
+    return _expr(micros_sql, c)
+
+
+def pct(c: str) -> Column:
+    return _expr(pct_sql, c)
+
+
+def lost_pct(c: str) -> Column:
+    return _expr(lost_pct_sql, c)
+
+
+def cpm_cost(impressions: str, cpm: str) -> Column:
+    return _expr(cpm_cost_sql, impressions, cpm)
+
+
+def day_part(hour: str) -> Column:
+    return _expr(day_part_sql, hour)
+
+
+def criterion_id(c: str) -> Column:
+    return _expr(criterion_id_sql, c)
+
+
+def url_host(c: str) -> Column:
+    return _expr(url_host_sql, c)
+
+
+def trailing_id(c: str) -> Column:
+    return _expr(trailing_id_sql, c)
+
+
+def age_label(c: str) -> Column:
+    return _expr(age_label_sql, c)
+
+
+def weekday_name(dow: str) -> Column:
+    return _expr(weekday_name_sql, dow)
 
 
 # ---------------------------------------------------------------- aggregate level

@@ -222,7 +222,7 @@ def kpi_6_monthly_trend(gold: Mapping[str, DataFrame]) -> DataFrame:
 def kpi_9_day_of_week(gold: Mapping[str, DataFrame]) -> DataFrame:
     t = _by_date(gold, "day_of_week")
     return t.select(
-        m.weekday_name(F.col("day_of_week")).alias("day_name"),
+        m.weekday_name("day_of_week").alias("day_name"),
         "day_of_week",
         F.col("i").alias("total_impressions"),
         F.col("c").alias("total_clicks"),

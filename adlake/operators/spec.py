@@ -8,15 +8,12 @@ SV-14 additionally joins the geo lookup (see ``silver.enrich_geo``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-
 from adlake.functions import metrics as m
 
-# A derived column is built lazily (Columns need an active session).
-Derived = tuple[str, Callable[[], Column]]
+# A derived column: output name and a SQL expression over the flattened names.
+Derived = tuple[str, str]
 
 
 @dataclass(frozen=True)
@@ -62,27 +59,27 @@ SIX_METRICS = (IMP, CLK, COST, CONV, CTR, AVG_CPC)
 
 
 def _ctr():
-    return ("ctr_pct", lambda: m.guarded_pct(CLK, IMP))
+    return ("ctr_pct", m.guarded_pct_sql(CLK, IMP))
 
 
 def _cvr():
-    return ("cvr_pct", lambda: m.guarded_pct(CONV, CLK))
+    return ("cvr_pct", m.guarded_pct_sql(CONV, CLK))
 
 
 def _cost():
-    return ("cost_inr", lambda: m.micros(COST))
+    return ("cost_inr", m.micros_sql(COST))
 
 
 def _cpc_from_cost():
-    return ("cpc_inr", lambda: m.guarded_ratio("cost_inr", CLK))
+    return ("cpc_inr", m.guarded_ratio_sql("cost_inr", CLK))
 
 
 def _cpc_reported():
-    return ("cpc_inr", lambda: m.micros(AVG_CPC))
+    return ("cpc_inr", m.micros_sql(AVG_CPC))
 
 
 def _ctr_reported():
-    return ("ctr_pct", lambda: m.pct(CTR))
+    return ("ctr_pct", m.pct_sql(CTR))
 
 
 SPECS: tuple[TableSpec, ...] = (
@@ -121,7 +118,7 @@ SPECS: tuple[TableSpec, ...] = (
                   "segments_search_term_match_type", "segments_keyword_ad_group_criterion",
                   "segments_keyword_info_text", "segments_keyword_info_match_type"),
         derived=((
-            ("triggering_keyword_criterion_id", lambda: m.criterion_id("segments_keyword_ad_group_criterion")),
+            ("triggering_keyword_criterion_id", m.criterion_id_sql("segments_keyword_ad_group_criterion")),
             _cost(), _cpc_reported(), _ctr(),
         ),),
         output=(
@@ -145,8 +142,8 @@ SPECS: tuple[TableSpec, ...] = (
                   "segments_conversion_action_category"),
         derived=((
             ("value_per_all_conversions",
-             lambda: m.guarded_ratio("metrics_all_conversions_value", "metrics_all_conversions")),
-            ("value_per_conversion", lambda: m.guarded_ratio("metrics_conversions_value", "metrics_conversions")),
+             m.guarded_ratio_sql("metrics_all_conversions_value", "metrics_all_conversions")),
+            ("value_per_conversion", m.guarded_ratio_sql("metrics_conversions_value", "metrics_conversions")),
         ),),
         output=(
             "segments_date", "campaign_id", "campaign_name",
@@ -164,7 +161,7 @@ SPECS: tuple[TableSpec, ...] = (
         bronze="ad_copy_and_landing_page_performance",
         num_fill=(IMP, CLK, CONV),
         str_fill=("campaign_name", "ad_group_name", "ad_group_ad_ad_final_urls"),
-        derived=((_ctr(), _cvr(), ("domain", lambda: m.url_host("ad_group_ad_ad_final_urls"))),),
+        derived=((_ctr(), _cvr(), ("domain", m.url_host_sql("ad_group_ad_ad_final_urls"))),),
         output=(
             "segments_date", "campaign_id", "ad_group_id", "campaign_name", "ad_group_name",
             "ad_group_ad_ad_id>ad_id", IMP, CLK, CONV, "ctr_pct", "cvr_pct",
@@ -177,7 +174,7 @@ SPECS: tuple[TableSpec, ...] = (
         num_fill=("segments_hour", IMP, CLK, CONV, COST, CTR, AVG_CPC),
         str_fill=("segments_device", "segments_day_of_week"),
         derived=((_ctr(), _cvr(), _cost(), _cpc_reported(),
-                  ("time_of_day", lambda: m.day_part("segments_hour"))),),
+                  ("time_of_day", m.day_part_sql("segments_hour"))),),
         output=(
             "segments_date", "campaign_id", "segments_device>device", "segments_day_of_week>day_of_week",
             "segments_hour>hour", "time_of_day", IMP, CLK, "ctr_pct", CONV, "cvr_pct", "cost_inr", "cpc_inr",
@@ -199,7 +196,7 @@ SPECS: tuple[TableSpec, ...] = (
         bronze="audience_age_performance",
         num_fill=(IMP, CLK, CONV, COST),
         str_fill=("campaign_name", "ad_group_criterion_age_range_type"),
-        derived=((_ctr(), _cvr(), ("age_range", lambda: m.age_label("ad_group_criterion_age_range_type")),
+        derived=((_ctr(), _cvr(), ("age_range", m.age_label_sql("ad_group_criterion_age_range_type")),
                   _cost()),),
         output=(
             "segments_date", "campaign_id", "ad_group_id", "campaign_name", "age_range",
@@ -213,10 +210,10 @@ SPECS: tuple[TableSpec, ...] = (
                   "metrics_search_absolute_top_impression_share"),
         str_fill=("campaign_name",),
         derived=((
-            ("search_impression_share_pct", lambda: m.pct("metrics_search_impression_share")),
-            ("search_top_is_pct", lambda: m.pct("metrics_search_top_impression_share")),
-            ("search_abs_top_is_pct", lambda: m.pct("metrics_search_absolute_top_impression_share")),
-            ("search_lost_is_pct", lambda: m.lost_pct("metrics_search_impression_share")),
+            ("search_impression_share_pct", m.pct_sql("metrics_search_impression_share")),
+            ("search_top_is_pct", m.pct_sql("metrics_search_top_impression_share")),
+            ("search_abs_top_is_pct", m.pct_sql("metrics_search_absolute_top_impression_share")),
+            ("search_lost_is_pct", m.lost_pct_sql("metrics_search_impression_share")),
         ),),
         output=(
             "segments_date", "campaign_id", "campaign_name",
@@ -244,8 +241,8 @@ SPECS: tuple[TableSpec, ...] = (
                   "metrics_active_view_viewability", "metrics_active_view_cpm"),
         str_fill=("campaign_name", "ad_group_name"),
         derived=(
-            (("actual_cpm", lambda: m.micros("metrics_active_view_cpm")),),
-            (("total_cost", lambda: m.cpm_cost("metrics_active_view_impressions", "actual_cpm")),),
+            (("actual_cpm", m.micros_sql("metrics_active_view_cpm")),),
+            (("total_cost", m.cpm_cost_sql("metrics_active_view_impressions", "actual_cpm")),),
         ),
         output=(
             "segments_date", "campaign_name", "ad_group_name", "metrics_active_view_impressions",
@@ -259,7 +256,7 @@ SPECS: tuple[TableSpec, ...] = (
         bronze="call_lead_generation",
         num_fill=("metrics_phone_calls", "metrics_phone_impressions", "metrics_phone_through_rate"),
         str_fill=("campaign_name", "ad_group_name"),
-        derived=((("phone_through_rate_pct", lambda: m.pct("metrics_phone_through_rate")),),),
+        derived=((("phone_through_rate_pct", m.pct_sql("metrics_phone_through_rate")),),),
         output=(
             "segments_date", "campaign_name", "ad_group_name", "metrics_phone_impressions",
             "metrics_phone_calls", "phone_through_rate_pct",
@@ -282,7 +279,7 @@ SPECS: tuple[TableSpec, ...] = (
         bronze="geographic_performance",
         num_fill=(IMP, CLK, CONV, COST),
         str_fill=("segments_geo_target_city", "geographic_view_location_type"),
-        derived=((_cost(), _ctr(), _cvr(), ("city_id", lambda: m.trailing_id("segments_geo_target_city"))),),
+        derived=((_cost(), _ctr(), _cvr(), ("city_id", m.trailing_id_sql("segments_geo_target_city"))),),
         output=(
             "segments_date", "campaign_id", "city_id", "geographic_view_location_type>location_type",
             IMP, CLK, "ctr_pct", CONV, "cvr_pct", "cost_inr",

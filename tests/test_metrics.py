@@ -27,7 +27,7 @@ def test_ratio_of_sums_null_on_zero(spark):
 def test_micros_pct_lost_cpm(spark):
     df = spark.createDataFrame([(2500000, 0.25, 1500, 2000000.0)], "c long, s double, i long, cpm double")
     r = df.select(m.micros("c").alias("a"), m.pct("s").alias("b"), m.lost_pct("s").alias("l"),
-                  m.cpm_cost("i", m.micros("cpm")).alias("t")).first()
+                  m.cpm_cost("i", m.micros_sql("cpm")).alias("t")).first()
     assert (r.a, r.b, r.l, r.t) == (2.5, 25.0, 75.0, 3.0)
 
 

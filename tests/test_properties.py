@@ -18,7 +18,7 @@ def test_guarded_and_aggregate_rates(spark, rows):
     df = spark.createDataFrame(rows, "imp long, clk long, cost long")
     got = df.select(
         m.guarded_pct("clk", "imp").alias("ctr"),
-        m.guarded_ratio(m.micros("cost"), "clk").alias("cpc"),
+        m.guarded_ratio(m.micros_sql("cost"), "clk").alias("cpc"),
     ).collect()
     for (imp, clk, cost), r in zip(rows, got):
         exp_ctr = clk / imp * 100 if imp is not None and imp > 0 and clk is not None else (
