@@ -87,23 +87,25 @@ class Lakehouse:
         return metric_roas(self.silver, self.gold)
 
     def materialize_kpis(self, names: tuple[str, ...] = KPI_NAMES) -> None:
-        """Checkpoint several KPI tables concurrently.
+        """Build and checkpoint several KPI tables concurrently.
 
         Each KPI job is small (a few narrow stages); submitting them from a
         thread pool lets the scheduler run them side by side instead of
-        leaving most task slots idle between sequential jobs.
+        leaving most task slots idle between sequential jobs, and overlaps the
+        driver-side plan construction of the KPIs as well.
         """
         todo = [n for n in names if not dict.__contains__(self.saved_kpis, n)]
         if len(todo) <= 1:
             for n in todo:
                 self.saved_kpis[n]
             return
-        kpis = self.kpis
-        built = {n: kpis[n] for n in todo}  # plan construction stays on this thread
+        # create the layer objects here; each worker then builds its KPI plan
+        # (shared tables are built once, under per-table locks) and runs the
+        # checkpoint job
+        _ = (self.silver, self.gold, self.kpis)
+        saved = self.saved_kpis
         with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(todo))) as pool:
-            done = dict(zip(todo, pool.map(lambda n: self._checkpoint(built[n]), todo)))
-        for n, df in done.items():
-            self.saved_kpis[n] = df
+            list(pool.map(lambda n: saved[n], todo))
 
     def report(self, name: str, **params) -> DataFrame:
         self.materialize_kpis(REPORT_INPUTS.get(name, KPI_NAMES))
