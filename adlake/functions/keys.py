@@ -9,6 +9,17 @@ UNKNOWN = "Unknown"
 KEY_SEP = "~"
 
 
+def _ref(name: str) -> str:
+    """SQL reference to a (possibly nested ``a.b``) column given by name."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+
+
+def surrogate_key_sql(*natural_keys: str) -> str:
+    """GD-14 as SQL text: md5 of the natural keys joined by '~', each null -> 'Unknown'."""
+    parts = ", ".join(f"coalesce(CAST({_ref(k)} AS STRING), '{UNKNOWN}')" for k in natural_keys)
+    return f"md5(concat_ws('{KEY_SEP}', {parts}))"
+
+
 def surrogate_key(*natural_keys: str | Column) -> Column:
     """Stable key: md5 of the natural keys joined by '~', each null -> 'Unknown'.
 
@@ -17,23 +28,21 @@ def surrogate_key(*natural_keys: str | Column) -> Column:
     (``concat_ws`` would drop nulls and merge distinct keys, hence the coalesce.)
     """
     if all(isinstance(k, str) for k in natural_keys):
-        # the same expression as SQL text: one driver->JVM call instead of one per function
-        parts = ", ".join(f"coalesce(CAST({_ref(k)} AS STRING), '{UNKNOWN}')" for k in natural_keys)
-        return F.expr(f"md5(concat_ws('{KEY_SEP}', {parts}))")
+        return F.expr(surrogate_key_sql(*natural_keys))
     parts = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit(UNKNOWN)) for k in natural_keys]
     return F.md5(F.concat_ws(KEY_SEP, *parts))
 
 
-def _ref(name: str) -> str:
-    """SQL reference to a (possibly nested ``a.b``) column given by name."""
-    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+def date_key_sql(d: str) -> str:
+    """yyyyMMdd as int, as SQL text."""
+    r = _ref(d)
+    return f"CAST(year({r}) * 10000 + month({r}) * 100 + dayofmonth({r}) AS INT)"
 
 
 def date_key(d: str | Column) -> Column:
     """yyyyMMdd as int."""
     if isinstance(d, str):
-        r = _ref(d)
-        return F.expr(f"CAST(year({r}) * 10000 + month({r}) * 100 + dayofmonth({r}) AS INT)")
+        return F.expr(date_key_sql(d))
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 

@@ -47,6 +47,12 @@ __all__ = [
     "trailing_id_sql",
     "age_label_sql",
     "weekday_name_sql",
+    "ratio_of_sums_sql",
+    "ctr_sql",
+    "cpc_sql",
+    "cvr_sql",
+    "cpa_sql",
+    "roas_sql",
 ]
 
 # Fixed values that must equal the reference's: currency micros, day-part hour
@@ -216,6 +222,34 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(_c(c).cast("decimal(20,6)")).cast("double")
 
 
+def ratio_of_sums_sql(num: str, den: str, scale: float | int | None = None, digits: int | None = 2) -> str:
+    """AGG-2 as SQL text over already aggregated columns / expressions."""
+    r = f"({num} / nullif({den}, 0))"
+    if scale is not None:
+        r = f"({r} * {scale})"
+    return f"round({r}, {digits})" if digits is not None else r
+
+
+def ctr_sql(clicks: str, impressions: str) -> str:
+    return ratio_of_sums_sql(clicks, impressions, 100)
+
+
+def cpc_sql(cost: str, clicks: str) -> str:
+    return ratio_of_sums_sql(cost, clicks)
+
+
+def cvr_sql(conversions: str, clicks: str) -> str:
+    return ratio_of_sums_sql(conversions, clicks, 100)
+
+
+def cpa_sql(cost: str, conversions: str) -> str:
+    return ratio_of_sums_sql(cost, conversions)
+
+
+def roas_sql(revenue: str, cost: str) -> str:
+    return ratio_of_sums_sql(revenue, cost)
+
+
 # MET-1: weighted metrics over sums (formulas of the reference's metric notes).
 def ctr(clicks: Column, impressions: Column, digits: int | None = 2) -> Column:
     return ratio_of_sums(clicks, impressions, 100, digits)

@@ -15,8 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.keys import UNKNOWN, date_key, surrogate_key
-from adlake.functions.metrics import money_sum
+from adlake.functions.keys import UNKNOWN, date_key_sql, surrogate_key_sql
 from adlake.operators.layer import LazyLayer
 
 DIMS = ("dim_campaign", "dim_ad_group", "dim_ad", "dim_keyword", "dim_age_range", "dim_gender", "dim_network",
@@ -25,9 +24,17 @@ FACTS = ("fact_campaign_perf", "fact_keyword_perf", "fact_age_perf", "fact_gende
          "fact_campaign_network_perf")
 
 
+def _nk_sql(c: str) -> str:
+    """Natural key as stored in a dimension (null -> 'Unknown', like its surrogate key)."""
+    return f"coalesce(CAST({c} AS STRING), '{UNKNOWN}')"
+
+
 def _nk(c: str):
-    """Natural key column as stored in a dimension (null -> 'Unknown', like its surrogate key)."""
-    return F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+    return F.expr(_nk_sql(c))
+
+
+SK, DK = surrogate_key_sql, date_key_sql
+MONEY_DEC = "DECIMAL(20,6)"  # exact sums of currency values (micros / 1e6)
 
 
 def dim_campaign(campaigns: DataFrame) -> DataFrame:
@@ -42,12 +49,12 @@ def dim_campaign(campaigns: DataFrame) -> DataFrame:
     return (
         combos.groupBy("campaign_id")
         .agg(latest.alias("l"))
-        .select(
-            surrogate_key("campaign_id").alias("campaign_pk"),
+        .selectExpr(
+            f"{SK('campaign_id')} AS campaign_pk",
             "campaign_id",
-            F.col("l.campaign_name").alias("campaign_name"),
-            F.col("l.campaign_status").alias("campaign_status"),
-            F.col("l.campaign_advertising_channel_type").alias("advertising_channel_type"),
+            "l.campaign_name AS campaign_name",
+            "l.campaign_status AS campaign_status",
+            "l.campaign_advertising_channel_type AS advertising_channel_type",
         )
     )
 
@@ -72,12 +79,12 @@ def dim_ad_group(keywords: DataFrame, ads_data: DataFrame | None = None) -> Data
     return (
         combos.groupBy("ad_group_id")
         .agg(latest.alias("l"))
-        .select(
-            surrogate_key("ad_group_id").alias("ad_group_pk"),
+        .selectExpr(
+            f"{SK('ad_group_id')} AS ad_group_pk",
             "ad_group_id",
-            F.col("l.ad_group_name").alias("ad_group_name"),
-            F.col("l.campaign_id").alias("campaign_id"),
-            surrogate_key("l.campaign_id").alias("campaign_pk"),
+            "l.ad_group_name AS ad_group_name",
+            "l.campaign_id AS campaign_id",
+            f"{SK('l.campaign_id')} AS campaign_pk",
         )
     )
 
@@ -89,12 +96,12 @@ def dim_ad(ads_data: DataFrame) -> DataFrame:
     return (
         combos.groupBy("ad_group_id", "ad_id")
         .agg(F.max(F.struct("ad_group_ad_ad_type", "ad_group_ad_status")).alias("l"))
-        .select(
-            surrogate_key("ad_group_id", "ad_id").alias("ad_pk"),
+        .selectExpr(
+            f"{SK('ad_group_id', 'ad_id')} AS ad_pk",
             "ad_id",
             "ad_group_id",
-            F.col("l.ad_group_ad_ad_type").alias("ad_type"),
-            F.col("l.ad_group_ad_status").alias("ad_status"),
+            "l.ad_group_ad_ad_type AS ad_type",
+            "l.ad_group_ad_status AS ad_status",
         )
     )
 
@@ -102,15 +109,16 @@ def dim_ad(ads_data: DataFrame) -> DataFrame:
 def dim_keyword(keywords: DataFrame) -> DataFrame:
     """GD-4: distinct (keyword text, match type)."""
     return (
-        keywords.select(_nk("keyword").alias("keyword_text"), _nk("keyword_match_type").alias("keyword_match_type"))
+        keywords.selectExpr(f"{_nk_sql('keyword')} AS keyword_text",
+                            f"{_nk_sql('keyword_match_type')} AS keyword_match_type")
         .distinct()
-        .select(surrogate_key("keyword_text", "keyword_match_type").alias("keyword_pk"), "keyword_text",
-                "keyword_match_type")
+        .selectExpr(f"{SK('keyword_text', 'keyword_match_type')} AS keyword_pk", "keyword_text",
+                    "keyword_match_type")
     )
 
 
 def _enum_dim(df: DataFrame, src: str, name: str, pk: str) -> DataFrame:
-    return df.select(_nk(src).alias(name)).distinct().select(surrogate_key(name).alias(pk), name)
+    return df.selectExpr(f"{_nk_sql(src)} AS {name}").distinct().selectExpr(f"{SK(name)} AS {pk}", name)
 
 
 def dim_age_range(ages: DataFrame) -> DataFrame:
@@ -138,13 +146,13 @@ def dim_date(*dated: DataFrame) -> DataFrame:
     """
     dates = reduce(DataFrame.unionByName, [d.select(F.col("segments_date").alias("full_date")) for d in dated])
     cal = dates.filter(F.col("full_date").isNotNull()).distinct()
-    return cal.select(
-        date_key("full_date").alias("date_key"),
+    return cal.selectExpr(
+        f"{DK('full_date')} AS date_key",
         "full_date",
-        F.year("full_date").alias("year"),
-        F.month("full_date").alias("month"),
-        F.dayofmonth("full_date").alias("day_of_month"),
-        F.dayofweek("full_date").alias("day_of_week"),
+        "year(full_date) AS year",
+        "month(full_date) AS month",
+        "dayofmonth(full_date) AS day_of_month",
+        "dayofweek(full_date) AS day_of_week",
     )
 
 
@@ -156,53 +164,55 @@ def fact_campaign_perf(campaigns: DataFrame, conversions: DataFrame, how: str =
     the join is then between two unique-keyed inputs hash-partitioned on the
     same keys, so it needs no further exchange and cannot fan out cost.
     """
-    keys = [_nk("campaign_id").alias("campaign_id"), "segments_date"]
-    perf = campaigns.groupBy(*keys).agg(
-        F.sum("metrics_impressions").alias("impressions"),
-        F.sum("metrics_clicks").alias("clicks"),
-        money_sum("cost_inr").alias("cost_inr"),
+    key = f"{_nk_sql('campaign_id')} AS campaign_id"
+    perf = campaigns.selectExpr(key, "segments_date", "metrics_impressions", "metrics_clicks", "cost_inr").groupBy(
+        "campaign_id", "segments_date").agg(
+        F.expr("sum(metrics_impressions) AS impressions"),
+        F.expr("sum(metrics_clicks) AS clicks"),
+        F.expr(f"CAST(sum(CAST(cost_inr AS {MONEY_DEC})) AS DOUBLE) AS cost_inr"),
     )
-    conv = conversions.groupBy(*keys).agg(
-        F.sum("conversions").alias("conversions"),
-        money_sum("conversions_value").alias("conversions_value"),
+    conv = conversions.selectExpr(key, "segments_date", "conversions", "conversions_value").groupBy(
+        "campaign_id", "segments_date").agg(
+        F.expr("sum(conversions) AS conversions"),
+        F.expr(f"CAST(sum(CAST(conversions_value AS {MONEY_DEC})) AS DOUBLE) AS conversions_value"),
     )
     j = perf.join(conv, ["campaign_id", "segments_date"], how)
-    return j.select(
-        surrogate_key("campaign_id").alias("campaign_pk"),
-        date_key("segments_date").alias("date_key"),
+    return j.selectExpr(
+        f"{SK('campaign_id')} AS campaign_pk",
+        f"{DK('segments_date')} AS date_key",
         "campaign_id",
         "segments_date",
-        F.coalesce("impressions", F.lit(0).cast("long")).alias("impressions"),
-        F.coalesce("clicks", F.lit(0).cast("long")).alias("clicks"),
-        F.coalesce("cost_inr", F.lit(0.0)).alias("cost_inr"),
-        F.coalesce("conversions", F.lit(0.0)).alias("conversions"),
-        F.coalesce("conversions_value", F.lit(0.0)).alias("conversions_value"),
+        "coalesce(impressions, CAST(0 AS BIGINT)) AS impressions",
+        "coalesce(clicks, CAST(0 AS BIGINT)) AS clicks",
+        "coalesce(cost_inr, CAST(0 AS DOUBLE)) AS cost_inr",
+        "coalesce(conversions, CAST(0 AS DOUBLE)) AS conversions",
+        "coalesce(conversions_value, CAST(0 AS DOUBLE)) AS conversions_value",
     )
 
 
 def fact_keyword_perf(keywords: DataFrame) -> DataFrame:
     """GD-10: keyword rows with computed keys (narrow projection)."""
-    return keywords.select(
-        surrogate_key("keyword", "keyword_match_type").alias("keyword_pk"),
-        surrogate_key("ad_group_id").alias("ad_group_pk"),
-        surrogate_key("campaign_id").alias("campaign_pk"),
-        date_key("segments_date").alias("date_key"),
-        F.col("metrics_impressions").alias("impressions"),
-        F.col("metrics_clicks").alias("clicks"),
+    return keywords.selectExpr(
+        f"{SK('keyword', 'keyword_match_type')} AS keyword_pk",
+        f"{SK('ad_group_id')} AS ad_group_pk",
+        f"{SK('campaign_id')} AS campaign_pk",
+        f"{DK('segments_date')} AS date_key",
+        "metrics_impressions AS impressions",
+        "metrics_clicks AS clicks",
         "cost_inr",
         "quality_score",
     )
 
 
 def _audience_fact(df: DataFrame, attr: str, pk: str) -> DataFrame:
-    return df.select(
-        surrogate_key(attr).alias(pk),
-        surrogate_key("campaign_id").alias("campaign_pk"),
-        surrogate_key("ad_group_id").alias("ad_group_pk"),
-        date_key("segments_date").alias("date_key"),
-        F.col("metrics_impressions").alias("impressions"),
-        F.col("metrics_clicks").alias("clicks"),
-        F.col("metrics_conversions").alias("conversions"),
+    return df.selectExpr(
+        f"{SK(attr)} AS {pk}",
+        f"{SK('campaign_id')} AS campaign_pk",
+        f"{SK('ad_group_id')} AS ad_group_pk",
+        f"{DK('segments_date')} AS date_key",
+        "metrics_impressions AS impressions",
+        "metrics_clicks AS clicks",
+        "metrics_conversions AS conversions",
         "cost_inr",
     )
 
@@ -219,13 +229,13 @@ def fact_gender_perf(genders: DataFrame) -> DataFrame:
 
 def fact_campaign_network_perf(networks: DataFrame) -> DataFrame:
     """GD-13 (no cost at network grain)."""
-    return networks.select(
-        surrogate_key("ad_network").alias("network_pk"),
-        surrogate_key("campaign_id").alias("campaign_pk"),
-        date_key("segments_date").alias("date_key"),
-        F.col("metrics_impressions").alias("impressions"),
-        F.col("metrics_clicks").alias("clicks"),
-        F.col("metrics_conversions").alias("conversions"),
+    return networks.selectExpr(
+        f"{SK('ad_network')} AS network_pk",
+        f"{SK('campaign_id')} AS campaign_pk",
+        f"{DK('segments_date')} AS date_key",
+        "metrics_impressions AS impressions",
+        "metrics_clicks AS clicks",
+        "metrics_conversions AS conversions",
     )
 
 

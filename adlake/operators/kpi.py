@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions import metrics as m
@@ -51,17 +51,24 @@ KPI_TITLES = {
 TOP_KEYWORDS_K = 25  # the reference titles KPI 3 "Top 10" but keeps 25 rows
 
 
-def _cost_dec(c: str = "cost_inr") -> Column:
-    """Exact decimal sum of a currency column (re-summable across levels)."""
-    return F.sum(F.col(c).cast("decimal(20,6)"))
+COST_DEC = "sum(CAST(cost_inr AS DECIMAL(20,6)))"  # exact, re-summable across levels
+COST = "CAST(cost AS DOUBLE)"
+MONEY = "CAST(round(cost, 2) AS DOUBLE)"
 
 
-def _money(c: Column) -> Column:
-    return c.cast("double")
+def _agg(df: DataFrame, keys: list[str], *exprs: str) -> DataFrame:
+    """groupBy(keys).agg over SQL aggregate expressions (``"sum(x) AS y"``)."""
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
 
-def _round_money(c: Column) -> Column:
-    return F.round(c, 2).cast("double")
+def _sums(with_cost: bool = True, with_conv: bool = True) -> list[str]:
+    """Fact-row sums: impressions i, clicks c, conversions v, exact cost."""
+    out = ["sum(impressions) AS i", "sum(clicks) AS c"]
+    if with_conv:
+        out.append("sum(conversions) AS v")
+    if with_cost:
+        out.append(f"{COST_DEC} AS cost")
+    return out
 
 
 # ---------------------------------------------------------------- KPI 1, 2
@@ -69,53 +76,37 @@ def _round_money(c: Column) -> Column:
 
 def campaign_totals(gold: Mapping[str, DataFrame]) -> DataFrame:
     """Sums per (campaign_name, campaign_status): fact -> per campaign_pk -> dim -> per label."""
-    per_pk = gold["fact_campaign_perf"].groupBy("campaign_pk").agg(
-        _cost_dec().alias("cost"),
-        F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"),
-        F.sum("conversions").alias("conversions"),
-    )
+    per_pk = _agg(gold["fact_campaign_perf"], ["campaign_pk"], *_sums())
     dim = gold["dim_campaign"].select("campaign_pk", "campaign_name", "campaign_status")
-    return (
-        per_pk.join(dim, "campaign_pk")
-        .groupBy("campaign_name", "campaign_status")
-        .agg(
-            F.sum("cost").alias("cost"),
-            F.sum("impressions").alias("impressions"),
-            F.sum("clicks").alias("clicks"),
-            F.sum("conversions").alias("conversions"),
-        )
-    )
+    return _agg(per_pk.join(dim, "campaign_pk"), ["campaign_name", "campaign_status"],
+                "sum(i) AS i", "sum(c) AS c", "sum(v) AS v", "sum(cost) AS cost")
 
 
 def kpi_1_summary(gold: Mapping[str, DataFrame]) -> DataFrame:
-    t = campaign_totals(gold)
-    cost = _money(F.col("cost"))
-    return t.select(
+    return campaign_totals(gold).selectExpr(
         "campaign_name",
         "campaign_status",
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        F.col("impressions").alias("total_impressions"),
-        F.col("clicks").alias("total_clicks"),
-        F.col("conversions").alias("total_leads"),
-        m.cpc(cost, F.col("clicks")).alias("average_cpc"),
-        m.cpa(cost, F.col("conversions")).alias("average_cpl"),
-        m.ctr(F.col("clicks"), F.col("impressions")).alias("overall_ctr_pct"),
-        m.cvr(F.col("conversions"), F.col("clicks")).alias("overall_lead_rate_pct"),
+        f"{MONEY} AS total_cost_inr",
+        "i AS total_impressions",
+        "c AS total_clicks",
+        "v AS total_leads",
+        f"{m.cpc_sql(COST, 'c')} AS average_cpc",
+        f"{m.cpa_sql(COST, 'v')} AS average_cpl",
+        f"{m.ctr_sql('c', 'i')} AS overall_ctr_pct",
+        f"{m.cvr_sql('v', 'c')} AS overall_lead_rate_pct",
     ).orderBy(F.desc("total_cost_inr"), "campaign_name", "campaign_status")
 
 
 def kpi_2_cpl_ranking(gold: Mapping[str, DataFrame], min_leads: float = 0) -> DataFrame:
-    t = campaign_totals(gold).filter(F.col("conversions") > min_leads)  # HAVING total_leads > 0
-    cost = _money(F.col("cost"))
-    return t.select(
+    t = campaign_totals(gold).filter(F.col("v") > min_leads)  # HAVING total_leads > 0
+    return t.selectExpr(
         "campaign_name",
         "campaign_status",
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        F.col("clicks").alias("total_clicks"),
-        F.col("conversions").alias("total_leads"),
-        m.cvr(F.col("conversions"), F.col("clicks")).alias("lead_rate_pct"),
-        m.cpa(cost, F.col("conversions")).alias("campaign_cpl"),
+        f"{MONEY} AS total_cost_inr",
+        "c AS total_clicks",
+        "v AS total_leads",
+        f"{m.cvr_sql('v', 'c')} AS lead_rate_pct",
+        f"{m.cpa_sql(COST, 'v')} AS campaign_cpl",
     ).orderBy(F.asc("campaign_cpl"), "campaign_name", "campaign_status")
 
 
@@ -124,24 +115,17 @@ def kpi_2_cpl_ranking(gold: Mapping[str, DataFrame], min_leads: float = 0) -> Da
 
 def kpi_3_top_keywords(gold: Mapping[str, DataFrame], k: int = TOP_KEYWORDS_K) -> DataFrame:
     """Top-k keywords by clicks; rows without clicks are dropped before aggregation."""
-    per_pk = (
-        gold["fact_keyword_perf"]
-        .filter(F.col("clicks") > 0)
-        .groupBy("keyword_pk")
-        .agg(F.sum("impressions").alias("i"), F.sum("clicks").alias("c"), _cost_dec().alias("cost"))
-    )
-    t = (
-        per_pk.join(gold["dim_keyword"], "keyword_pk")
-        .groupBy("keyword_text", "keyword_match_type")
-        .agg(F.sum("i").alias("i"), F.sum("c").alias("c"), F.sum("cost").alias("cost"))
-    )
-    out = t.select(
+    per_pk = _agg(gold["fact_keyword_perf"].filter(F.col("clicks") > 0), ["keyword_pk"],
+                  *_sums(with_conv=False))
+    t = _agg(per_pk.join(gold["dim_keyword"], "keyword_pk"), ["keyword_text", "keyword_match_type"],
+             "sum(i) AS i", "sum(c) AS c", "sum(cost) AS cost")
+    out = t.selectExpr(
         "keyword_text",
         "keyword_match_type",
-        F.col("i").alias("total_impressions"),
-        F.col("c").alias("total_clicks"),
-        m.ctr(F.col("c"), F.col("i")).alias("ctr_percentage"),
-        m.cpc(_money(F.col("cost")), F.col("c")).alias("cost_per_click"),
+        "i AS total_impressions",
+        "c AS total_clicks",
+        f"{m.ctr_sql('c', 'i')} AS ctr_percentage",
+        f"{m.cpc_sql(COST, 'c')} AS cost_per_click",
     )
     # top-k with a key tie-break: a per-partition top-k then one merge of k rows
     return out.orderBy(F.desc("total_clicks"), "keyword_text", "keyword_match_type").limit(k)
@@ -150,33 +134,24 @@ def kpi_3_top_keywords(gold: Mapping[str, DataFrame], k: int = TOP_KEYWORDS_K) -
 # ---------------------------------------------------------------- KPI 4, 5, 8
 
 
-def _per_key(fact: DataFrame, key: str, with_cost: bool = True) -> DataFrame:
-    """Fact sums per dimension key (the only pass over the fact rows)."""
-    aggs = [F.sum("impressions").alias("i"), F.sum("clicks").alias("c"), F.sum("conversions").alias("v")]
-    if with_cost:
-        aggs.append(_cost_dec().alias("cost"))
-    return fact.groupBy(key).agg(*aggs)
-
-
-def _by_label(per_key: DataFrame, dim: DataFrame, key: str, *labels: str, with_cost: bool = True) -> DataFrame:
-    aggs = [F.sum("i").alias("i"), F.sum("c").alias("c"), F.sum("v").alias("v")]
-    if with_cost:
-        aggs.append(F.sum("cost").alias("cost"))
-    return per_key.join(dim.select(key, *labels), key).groupBy(*labels).agg(*aggs)
+def _by_label(fact: DataFrame, dim: DataFrame, key: str, *labels: str, with_cost: bool = True) -> DataFrame:
+    """Fact sums per dimension key (the only pass over the fact rows), joined to the
+    dimension (one row per key on both sides), then re-summed per label."""
+    per_key = _agg(fact, [key], *_sums(with_cost=with_cost))
+    sums = ["sum(i) AS i", "sum(c) AS c", "sum(v) AS v"] + (["sum(cost) AS cost"] if with_cost else [])
+    return _agg(per_key.join(dim.select(key, *labels), key), list(labels), *sums)
 
 
 def _audience_kpi(fact: DataFrame, dim: DataFrame, pk: str, label: str) -> DataFrame:
-    t = _by_label(_per_key(fact, pk), dim, pk, label)
-    cost = _money(F.col("cost"))
-    return t.select(
+    return _by_label(fact, dim, pk, label).selectExpr(
         label,
-        F.col("i").alias("total_impressions"),
-        F.col("c").alias("total_clicks"),
-        F.col("v").alias("total_leads"),
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        m.ctr(F.col("c"), F.col("i")).alias("ctr_pct"),
-        m.cpc(cost, F.col("c")).alias("cpc_inr"),
-        m.cpa(cost, F.col("v")).alias("cpl_inr"),
+        "i AS total_impressions",
+        "c AS total_clicks",
+        "v AS total_leads",
+        f"{MONEY} AS total_cost_inr",
+        f"{m.ctr_sql('c', 'i')} AS ctr_pct",
+        f"{m.cpc_sql(COST, 'c')} AS cpc_inr",
+        f"{m.cpa_sql(COST, 'v')} AS cpl_inr",
     ).orderBy(F.desc("total_leads"), label)
 
 
@@ -189,15 +164,15 @@ def kpi_5_gender_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def kpi_8_network_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
-    per_key = _per_key(gold["fact_campaign_network_perf"], "network_pk", with_cost=False)
-    t = _by_label(per_key, gold["dim_network"], "network_pk", "network_name", with_cost=False)
-    return t.select(
+    t = _by_label(gold["fact_campaign_network_perf"], gold["dim_network"], "network_pk", "network_name",
+                  with_cost=False)
+    return t.selectExpr(
         "network_name",
-        F.col("i").alias("total_impressions"),
-        F.col("c").alias("total_clicks"),
-        F.col("v").alias("total_leads"),
-        m.ctr(F.col("c"), F.col("i")).alias("ctr_pct"),
-        m.cvr(F.col("v"), F.col("c")).alias("cvr_pct"),
+        "i AS total_impressions",
+        "c AS total_clicks",
+        "v AS total_leads",
+        f"{m.ctr_sql('c', 'i')} AS ctr_pct",
+        f"{m.cvr_sql('v', 'c')} AS cvr_pct",
     ).orderBy(F.desc("total_leads"), "network_name")
 
 
@@ -205,30 +180,28 @@ def kpi_8_network_performance(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _by_date(gold: Mapping[str, DataFrame], *labels: str) -> DataFrame:
-    return _by_label(_per_key(gold["fact_campaign_perf"], "date_key"), gold["dim_date"], "date_key", *labels)
+    return _by_label(gold["fact_campaign_perf"], gold["dim_date"], "date_key", *labels)
 
 
 def kpi_6_monthly_trend(gold: Mapping[str, DataFrame]) -> DataFrame:
-    t = _by_date(gold, "year", "month")
-    return t.select(
+    return _by_date(gold, "year", "month").selectExpr(
         "year",
         "month",
-        _round_money(F.col("cost")).alias("monthly_cost_inr"),
-        F.col("v").alias("monthly_leads"),
-        m.cpa(_money(F.col("cost")), F.col("v")).alias("monthly_cpl_inr"),
+        f"{MONEY} AS monthly_cost_inr",
+        "v AS monthly_leads",
+        f"{m.cpa_sql(COST, 'v')} AS monthly_cpl_inr",
     ).orderBy("year", "month")
 
 
 def kpi_9_day_of_week(gold: Mapping[str, DataFrame]) -> DataFrame:
-    t = _by_date(gold, "day_of_week")
-    return t.select(
-        m.weekday_name("day_of_week").alias("day_name"),
+    return _by_date(gold, "day_of_week").selectExpr(
+        f"{m.weekday_name_sql('day_of_week')} AS day_name",
         "day_of_week",
-        F.col("i").alias("total_impressions"),
-        F.col("c").alias("total_clicks"),
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        F.col("v").alias("total_leads"),
-        m.cpa(_money(F.col("cost")), F.col("v")).alias("cpl_inr"),
+        "i AS total_impressions",
+        "c AS total_clicks",
+        f"{MONEY} AS total_cost_inr",
+        "v AS total_leads",
+        f"{m.cpa_sql(COST, 'v')} AS cpl_inr",
     ).orderBy("day_of_week")
 
 
@@ -236,39 +209,29 @@ def kpi_9_day_of_week(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def kpi_7_adgroup_efficiency(gold: Mapping[str, DataFrame]) -> DataFrame:
-    per_pk = gold["fact_keyword_perf"].groupBy("ad_group_pk", "campaign_pk").agg(
-        F.sum("impressions").alias("i"), F.sum("clicks").alias("c"), _cost_dec().alias("cost")
-    )
+    per_pk = _agg(gold["fact_keyword_perf"], ["ad_group_pk", "campaign_pk"], *_sums(with_conv=False))
     ag = gold["dim_ad_group"].select("ad_group_pk", "ad_group_name")
     camp = gold["dim_campaign"].select("campaign_pk", "campaign_name")
-    t = (
-        per_pk.join(ag, "ad_group_pk")
-        .join(camp, "campaign_pk")
-        .groupBy("ad_group_name", "campaign_name")
-        .agg(F.sum("i").alias("i"), F.sum("c").alias("c"), F.sum("cost").alias("cost"))
-    )
-    return t.select(
+    t = _agg(per_pk.join(ag, "ad_group_pk").join(camp, "campaign_pk"), ["ad_group_name", "campaign_name"],
+             "sum(i) AS i", "sum(c) AS c", "sum(cost) AS cost")
+    return t.selectExpr(
         "ad_group_name",
         "campaign_name",
-        F.col("i").alias("total_impressions"),
-        F.col("c").alias("total_clicks"),
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        m.ctr(F.col("c"), F.col("i")).alias("ctr_pct"),
-        m.cpc(_money(F.col("cost")), F.col("c")).alias("avg_cpc_inr"),
+        "i AS total_impressions",
+        "c AS total_clicks",
+        f"{MONEY} AS total_cost_inr",
+        f"{m.ctr_sql('c', 'i')} AS ctr_pct",
+        f"{m.cpc_sql(COST, 'c')} AS avg_cpc_inr",
     ).orderBy(F.desc("ctr_pct"), "ad_group_name", "campaign_name")
 
 
 def kpi_10_ad_type_dist(gold: Mapping[str, DataFrame]) -> DataFrame:
     """Ads per (campaign, ad type): ad -> ad group by natural key -> campaign by surrogate key."""
-    per_group = gold["dim_ad"].groupBy("ad_group_id", "ad_type").agg(F.count("ad_pk").alias("n"))
+    per_group = _agg(gold["dim_ad"], ["ad_group_id", "ad_type"], "count(ad_pk) AS n")
     ag = gold["dim_ad_group"].select("ad_group_id", "campaign_pk")
     camp = gold["dim_campaign"].select("campaign_pk", "campaign_name")
-    t = (
-        per_group.join(ag, "ad_group_id")
-        .join(camp, "campaign_pk")
-        .groupBy("campaign_name", "ad_type")
-        .agg(F.sum("n").alias("number_of_ads"))
-    )
+    t = _agg(per_group.join(ag, "ad_group_id").join(camp, "campaign_pk"), ["campaign_name", "ad_type"],
+             "sum(n) AS number_of_ads")
     return t.orderBy("campaign_name", F.desc("number_of_ads"), "ad_type")
 
 
@@ -277,21 +240,19 @@ def kpi_10_ad_type_dist(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 def metric_roas(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
     """MET-2: revenue / cost per campaign (both sides pre-aggregated per campaign, then joined)."""
-    cost = silver["campaigns"].groupBy(F.coalesce("campaign_id", F.lit("Unknown")).alias("campaign_id")).agg(
-        _cost_dec().alias("cost")
-    )
-    rev = silver["conversions"].groupBy(F.coalesce("campaign_id", F.lit("Unknown")).alias("campaign_id")).agg(
-        _cost_dec("conversions_value").alias("revenue")
-    )
+    key = "coalesce(campaign_id, 'Unknown') AS campaign_id"
+    cost = silver["campaigns"].selectExpr(key, "cost_inr").groupBy("campaign_id").agg(F.expr(f"{COST_DEC} AS cost"))
+    rev = silver["conversions"].selectExpr(key, "conversions_value").groupBy("campaign_id").agg(
+        F.expr("sum(CAST(conversions_value AS DECIMAL(20,6))) AS revenue"))
     names = gold["dim_campaign"].select("campaign_id", "campaign_name")
     t = cost.join(rev, "campaign_id", "left").join(names, "campaign_id", "left")
-    revenue = F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(30,6)"))
-    return t.select(
+    revenue = "coalesce(revenue, CAST(0 AS DECIMAL(30,6)))"
+    return t.selectExpr(
         "campaign_id",
         "campaign_name",
-        _round_money(F.col("cost")).alias("total_cost_inr"),
-        _round_money(revenue).alias("total_conversions_value"),
-        m.roas(_money(revenue), _money(F.col("cost"))).alias("roas"),
+        f"{MONEY} AS total_cost_inr",
+        f"CAST(round({revenue}, 2) AS DOUBLE) AS total_conversions_value",
+        f"{m.roas_sql(f'CAST({revenue} AS DOUBLE)', COST)} AS roas",
     ).orderBy(F.desc("roas"), "campaign_id")
 
 
