@@ -276,38 +276,41 @@ def currency(kpi1: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- RPT-2
 
 
-def _cell(df: DataFrame, c: str) -> Column:
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.DoubleType, T.FloatType)):
-        v = F.when(F.col(c).isNotNull(), F.format_string("%.2f", F.col(c)))
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cell_sql(df: DataFrame, c: str) -> str:
+    """One markdown cell: doubles with two decimals, everything else as text, null as ''."""
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        v = f"CASE WHEN {_q(c)} IS NOT NULL THEN format_string('%.2f', {_q(c)}) END"
     else:
-        v = F.col(c).cast("string")
-    return F.coalesce(v, F.lit(""))
+        v = f"CAST({_q(c)} AS STRING)"
+    return f"coalesce({v}, '')"
 
 
-def _order_slots(df: DataFrame, kpi: str, width: int) -> list[Column]:
+def _order_slots_sql(df: DataFrame, kpi: str, width: int) -> list[str]:
     """The KPI's order as ``width`` type-uniform slots (null rank, number, text).
 
     Sorting every slot ascending reproduces the KPI's own order, including
     Spark's null placement (first ascending, last descending), so tables with
     different order columns can share one sort.
     """
-    out: list[Column] = []
+    out: list[str] = []
     order = KPI_ORDER[kpi]
     for i in range(width):
         if i >= len(order):
-            out += [F.lit(0), F.lit(None).cast("double"), F.lit(None).cast("string")]
+            out += ["0", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"]
             continue
         c, desc = order[i]
-        col = F.col(c)
-        null_rank = F.when(col.isNull(), 1 if desc else 0).otherwise(0 if desc else 1)
+        null_rank = f"CASE WHEN {_q(c)} IS NULL THEN {1 if desc else 0} ELSE {0 if desc else 1} END"
         if isinstance(df.schema[c].dataType, T.StringType):
             if desc:
                 raise ValueError(f"descending text order is not supported: {kpi}.{c}")
-            out += [null_rank, F.lit(None).cast("double"), col]
+            out += [null_rank, "CAST(NULL AS DOUBLE)", _q(c)]
         else:
-            num = col.cast("double")
-            out += [null_rank, -num if desc else num, F.lit(None).cast("string")]
+            num = f"CAST({_q(c)} AS DOUBLE)"
+            out += [null_rank, f"-{num}" if desc else num, "CAST(NULL AS STRING)"]
     return out
 
 
@@ -327,10 +330,10 @@ def markdown_lines(kpis: Mapping[str, DataFrame]) -> DataFrame:
         if name not in kpis:
             continue
         df = kpis[name]
-        line = F.concat(F.lit("| "), F.concat_ws(" | ", *[_cell(df, c) for c in df.columns]), F.lit(" |"))
-        slots = _order_slots(df, name, width)
-        bodies.append(df.select(F.lit(no).alias("kpi_no"), F.lit(name).alias("kpi"), line.alias("line"),
-                                *[v.alias(n) for v, n in zip(slots, slot_names)]))
+        line = "concat('| ', concat_ws(' | ', " + ", ".join(_cell_sql(df, c) for c in df.columns) + "), ' |')"
+        slots = _order_slots_sql(df, name, width)
+        bodies.append(df.selectExpr(f"{no} AS kpi_no", f"'{name}' AS kpi", f"{line} AS line",
+                                    *[f"{v} AS {n}" for v, n in zip(slots, slot_names)]))
     body = reduce(DataFrame.unionByName, bodies)
     numbered = with_row_index(body, [F.col("kpi_no")] + [F.col(n).asc() for n in slot_names], "_row", partitions=4)
     firsts = numbered.groupBy("kpi").agg(F.min("_row").alias("_first"))  # one row per KPI

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adlake.operators.layer import LazyLayer
+
 
 SOURCE_TABLES = ("events", "part", "pages", "documents", "customer", "supplier", "nation", "region")
 
@@ -556,17 +558,15 @@ def bronze_frame(spark: SparkSession, sf_dir: str, bronze_table: str) -> DataFra
     return spark.sql(fixture_sql(bronze_table, Dialect(SPARK, sf_dir)))
 
 
-class BronzeFixtures(dict):
-    """Lazy name -> bronze DataFrame mapping over one test-data folder."""
+class BronzeFixtures(LazyLayer):
+    """Lazy, thread-safe name -> bronze DataFrame mapping over one test-data folder.
+
+    The supplied tables are registered once, here; each fixture is then one
+    ``spark.sql`` call on first access.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__()
+        register_sources(spark, sf_dir)
+        dialect = Dialect(SPARK, sf_dir)
+        super().__init__(lambda name: spark.sql(fixture_sql(name, dialect)), FIXTURES)
         self.spark, self.sf_dir = spark, sf_dir
-
-    def __contains__(self, key) -> bool:
-        return key in FIXTURES
-
-    def __missing__(self, key: str) -> DataFrame:
-        df = bronze_frame(self.spark, self.sf_dir, key)
-        self[key] = df
-        return df
