@@ -36,3 +36,13 @@ class LazyLayer(dict):
 
     def names(self):
         return self._names
+
+
+def prefetch(layer, names, workers: int = 8) -> None:
+    """Build several tables' plans concurrently (driver-side analysis overlaps)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [n for n in names if not dict.__contains__(layer, n)]
+    if len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=min(workers, len(todo))) as pool:
+            list(pool.map(lambda n: layer[n], todo))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlake.operators.layer import LazyLayer, prefetch
+
 OUTCOME_SCHEMA = "table_name string, status string, error string"
 
 
@@ -77,6 +79,8 @@ def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__"
     one ``rollup`` over that union adds the total, so every table is read once.
     """
     names = list(frames.names()) if hasattr(frames, "names") else list(frames.keys())
+    if isinstance(frames, LazyLayer):
+        prefetch(frames, names)
     per_table = reduce(
         DataFrame.unionByName,
         [
