@@ -48,6 +48,20 @@ KPI_TITLES = {
     "kpi_10_ad_type_dist": "KPI 10: Ad Type Distribution by Campaign",
 }
 
+# gold tables each KPI reads
+KPI_INPUTS = {
+    "kpi_1_summary": ("fact_campaign_perf", "dim_campaign"),
+    "kpi_2_cpl_ranking": ("fact_campaign_perf", "dim_campaign"),
+    "kpi_3_top_keywords": ("fact_keyword_perf", "dim_keyword"),
+    "kpi_4_age_performance": ("fact_age_perf", "dim_age_range"),
+    "kpi_5_gender_performance": ("fact_gender_perf", "dim_gender"),
+    "kpi_6_monthly_trend": ("fact_campaign_perf", "dim_date"),
+    "kpi_7_adgroup_efficiency": ("fact_keyword_perf", "dim_ad_group", "dim_campaign"),
+    "kpi_8_network_performance": ("fact_campaign_network_perf", "dim_network"),
+    "kpi_9_day_of_week": ("fact_campaign_perf", "dim_date"),
+    "kpi_10_ad_type_dist": ("dim_ad", "dim_ad_group", "dim_campaign"),
+}
+
 TOP_KEYWORDS_K = 25  # the reference titles KPI 3 "Top 10" but keeps 25 rows
 
 

@@ -8,9 +8,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.operators.gold import build_gold
-from adlake.operators.kpi import KPI_NAMES, kpi, metric_roas
-from adlake.operators.layer import LazyLayer
+from adlake.operators.gold import GOLD_INPUTS, build_gold
+from adlake.operators.kpi import KPI_INPUTS, KPI_NAMES, kpi, metric_roas
+from adlake.operators.layer import LazyLayer, prefetch
 from adlake.operators.report import kpi_frames_from_catalog, report, report_pack
 from adlake.operators.silver import build_silver
 from adlake.plans.catalog import save_layer
@@ -63,9 +63,16 @@ class Lakehouse:
     @property
     def kpis(self) -> LazyLayer:
         if self._kpis is None:
-            self._kpis = LazyLayer(lambda n: kpi(n, self.gold), KPI_NAMES)
+            self._kpis = LazyLayer(self._build_kpi, KPI_NAMES)
         return self._kpis
 
+    def _build_kpi(self, name: str) -> DataFrame:
+        """Build one KPI plan; its gold (and their silver) inputs are built concurrently first."""
+        inputs = KPI_INPUTS[name]
+        prefetch(self.silver, sorted({s for g in inputs for s in GOLD_INPUTS[g] if s in self.silver}))
+        prefetch(self.gold, inputs)
+        return kpi(name, self.gold)
+
     @property
     def saved_kpis(self) -> LazyLayer:
         """KPI tables computed once and written to the shared checkpoint folder.
