@@ -130,18 +130,21 @@ def sample_flags(kpis: Mapping[str, DataFrame]) -> DataFrame:
 
 def report_pack(kpis: Mapping[str, DataFrame], errors: Mapping[str, str] | None = None) -> DataFrame:
     """RPT-1: ordered registry of the KPI tables with status (ok / empty / error) and row count."""
-    counts = _row_counts(kpis).select(
-        "kpi_no", "kpi", "title",
-        F.when(F.col("row_count") == 0, "empty").otherwise("ok").alias("status"),
-        "row_count",
-        F.lit(None).cast("string").alias("error"),
-    )
-    if errors:
-        spark = next(iter(kpis.values())).sparkSession if kpis else None
-        rows = [(KPI_NAMES.index(k) + 1, k, KPI_TITLES[k], "error", None, msg) for k, msg in errors.items()]
-        schema = "kpi_no int, kpi string, title string, status string, row_count long, error string"
+    schema = "kpi_no int, kpi string, title string, status string, row_count long, error string"
+    present = [n for n in KPI_NAMES if n in kpis]
+    counts = None
+    if present:
+        counts = _row_counts(kpis).select(
+            "kpi_no", "kpi", "title",
+            F.when(F.col("row_count") == 0, "empty").otherwise("ok").alias("status"),
+            "row_count",
+            F.lit(None).cast("string").alias("error"),
+        )
+    if errors or counts is None:
+        spark = kpis[present[0]].sparkSession if present else SparkSession.getActiveSession()
+        rows = [(KPI_NAMES.index(k) + 1, k, KPI_TITLES[k], "error", None, msg) for k, msg in (errors or {}).items()]
         failed = spark.createDataFrame(rows, schema)
-        counts = counts.unionByName(failed)
+        counts = failed if counts is None else counts.unionByName(failed)
     return counts
 
 

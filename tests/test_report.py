@@ -105,3 +105,8 @@ def test_pack_records_unreadable_tables(spark):
     assert pack["kpi_2_cpl_ranking"].status == "empty"
     assert pack["kpi_9_day_of_week"].status == "error" and pack["kpi_9_day_of_week"].error
     assert [r.kpi_no for r in R.report_pack(frames, errors).orderBy("kpi_no").collect()] == list(range(1, 11))
+
+
+def test_pack_when_no_kpi_table_is_readable(spark):
+    pack = R.report_pack({}, {"kpi_1_summary": "missing"}).collect()
+    assert [(r.kpi, r.status) for r in pack] == [("kpi_1_summary", "error")]
