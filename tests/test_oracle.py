@@ -51,3 +51,16 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_registered_queries_cover_the_survey_plan():
+    """queries() holds exactly the planned keys: 22 silver, 8 dims, 5 facts, 10 KPIs, ROAS, 11 reports, 2 more."""
+    from adlake.operators.gold import DIMS, FACTS
+    from adlake.operators.kpi import KPI_NAMES
+    from adlake.operators.spec import SILVER_TABLES
+    from adlake.plans.pipeline import REPORTS
+
+    expected = ({f"silver_{s}" for s in SILVER_TABLES} | set(DIMS) | set(FACTS) | set(KPI_NAMES)
+                | {"metric_roas", "audit_silver", "bronze_csv_roundtrip"} | {f"report_{r}" for r in REPORTS})
+    assert set(E.queries()) == expected
+    assert len(expected) == 22 + 8 + 5 + 10 + 1 + 11 + 2
