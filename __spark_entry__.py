@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,10 +78,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"report_{r}"] = _report(r)
     q["audit_silver"] = _audit_silver
     q["bronze_csv_roundtrip"] = _bronze_csv_roundtrip
+    q.update(_training_data()[0])
     return q
 
 
+def _installed(module: str) -> bool:
+    try:
+        return find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators and their pipeline, where those are installed."""
+    q, sql = {}, {}
+    if _installed("adlake.llm.queries"):
+        from adlake.llm.queries import ORACLE_SQL, QUERIES
+
+        q.update(QUERIES)
+        sql.update(ORACLE_SQL)
+        if _installed("corpus_pipeline"):
+            import corpus_pipeline
+
+            q["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return q, sql
+
+
 def oracle_sql() -> dict[str, str]:
     from oracle.sql import oracle_queries
 
-    return oracle_queries()
+    return {**oracle_queries(), **_training_data()[1]}
