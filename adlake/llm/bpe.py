@@ -31,7 +31,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the split pattern of the vocabulary file.
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 #: Words kept per worker with their ids, in each of two generations (an efficiency bound only).
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+#: Token pairs kept per worker with their verdict (an efficiency bound only).
+CACHE_PAIRS = 100_000
 
 
 def byte_alphabet() -> list[str]:
@@ -117,7 +119,7 @@ class Encoder:
     def compatible(self, a: int, b: int) -> bool:
         ok = self.compat.get((a, b))
         if ok is None:
-            if len(self.compat) > 500_000:
+            if len(self.compat) >= CACHE_PAIRS:
                 self.compat.clear()
             ok = self.compat[a, b] = self.side_by_side(a, b)
         return ok
@@ -213,48 +215,67 @@ class Decoder:
         return b"".join(parts)[:-1].decode("utf-8")
 
 
-_CODERS: dict[int, tuple[object, object]] = {}
+_CODERS: dict[tuple, object] = {}
 
 
 def _coder(kind, shared):
-    """One coder of a kind per worker and broadcast."""
-    key = (kind, shared.value["key"])
-    if key not in _CODERS:
-        _CODERS[key] = kind(shared.value["tables"])
-    return _CODERS[key]
+    """One coder of a kind per worker and vocabulary."""
+    key, tables = shared.value
+    if (kind, key) not in _CODERS:
+        _CODERS[kind, key] = kind(tables)
+    return _CODERS[kind, key]
 
 
-def share_vocabulary(spark: SparkSession, path: str):
-    """Broadcast the tables of a vocabulary file; their size is bounded by the vocabulary (about 5 MB here)."""
-    return spark.sparkContext.broadcast({"key": path, "tables": load_vocabulary(path)})
+def share_vocabulary(spark: SparkSession, path: str) -> dict:
+    """Broadcast the tables of a vocabulary file, for either direction; their size is bounded by the vocabulary."""
+    tables = load_vocabulary(path)
+    spell = {"names": tables.pop("names")}
+    return {"encode": spark.sparkContext.broadcast((path, tables)), "decode": spark.sparkContext.broadcast((path, spell))}
 
 
-def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "ids", shared=None) -> DataFrame:
+def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "ids", shared: dict | None = None) -> DataFrame:
     """Add ``out``: the ids of each whole text, packed as little-endian unsigned 32-bit integers."""
-    shared = shared or share_vocabulary(df.sparkSession, vocabulary)
+    tables = (shared or share_vocabulary(df.sparkSession, vocabulary))["encode"]
 
     @F.arrow_udf("binary")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _coder(Encoder, shared)
+        coder = _coder(Encoder, tables)
         for texts in batches:
             yield pa.array([coder.encode(t.as_py()) for t in texts], type=pa.binary())
 
     return df.withColumn(out, ids(F.col(text_col).cast("string")))
 
 
-def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "decoded", shared=None) -> DataFrame:
+def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "decoded", shared: dict | None = None) -> DataFrame:
     """Add ``out``: the text of packed ids."""
-    shared = shared or share_vocabulary(df.sparkSession, vocabulary)
+    tables = (shared or share_vocabulary(df.sparkSession, vocabulary))["decode"]
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _coder(Decoder, shared)
+        coder = _coder(Decoder, tables)
         for ids in batches:
             yield pa.array([coder.decode(i.as_py()) for i in ids], type=pa.string())
 
     return df.withColumn(out, text(F.col(ids_col)))
 
 
+def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "coded", shared: dict | None = None) -> DataFrame:
+    """Add ``out``: struct (ids, decoded), encoded and decoded again in one worker instead of two."""
+    shared = shared or share_vocabulary(df.sparkSession, vocabulary)
+    to, back = shared["encode"], shared["decode"]
+
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _coder(Encoder, to), _coder(Decoder, back)
+        for texts in batches:
+            ids = [encoder.encode(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array(ids, type=pa.binary()), pa.array([decoder.decode(i) for i in ids], type=pa.string())],
+                names=["ids", "decoded"])
+
+    return df.withColumn(out, both(F.col(text_col).cast("string")))
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -263,11 +284,8 @@ def default_vocabulary() -> str:
 
 def digests(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Round trip of every text: token count and digests of the ids and of the decoded text."""
-    vocabulary = vocabulary or default_vocabulary()
-    shared = share_vocabulary(df.sparkSession, vocabulary)
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    coded = encode(docs, vocabulary, out="ids", shared=shared).select("doc_id", "ids")
-    both = decode(coded, vocabulary, out="decoded", shared=shared)
+    both = round_trip(docs, vocabulary or default_vocabulary(), out="coded").select("doc_id", "coded.ids", "coded.decoded")
     return both.select(
         "doc_id", F.expr("cast(length(ids) div 4 AS bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
