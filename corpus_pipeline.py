@@ -46,12 +46,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed as little-endian unsigned 32-bit integers, and the digest of the decoded text."""
-    vocabulary = bpe.default_vocabulary()
-    shared = bpe.share_vocabulary(spark, vocabulary)
-    ids, back = fresh(docs, "ids"), fresh(docs, "decoded")
-    coded = bpe.decode(bpe.encode(docs, vocabulary, out=ids, shared=shared), vocabulary, ids, back, shared)
-    return coded.select("doc_id", F.expr(f"cast(length({ids}) div 4 AS bigint)").alias("n_tokens"), F.col(ids).alias("ids"),
-                        F.sha2(F.col(back).cast("binary"), 256).alias("decoded_sha256"))
+    out = fresh(docs, "coded")
+    coded = bpe.round_trip(docs, bpe.default_vocabulary(), out=out)
+    ids = F.col(out)["ids"]
+    return coded.select("doc_id", F.floor(F.length(ids) / 4).alias("n_tokens"), ids.alias("ids"),
+                        F.sha2(F.col(out)["decoded"].cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [
