@@ -5,7 +5,7 @@ string covers goes.  No text is compared with every other one:
 
 1. Each window of ``length`` bytes has an anchor, the smallest hash of the 32-byte strings in it, which depends on
    the window's bytes only.  Runs of neighbouring windows with one anchor form a *piece*; equal windows always meet
-   under the same anchor.  Pieces under an anchor that occurs once in the corpus are done: nothing repeats there.
+   under the same anchor.  An anchor that occurs once in the corpus is done: nothing repeats there.
 2. A piece that occurs twice or more repeats as a whole.
 3. The different pieces of an anchor are laid together, with those of other anchors up to a batch, into one text,
    of which a run-compressed Burrows-Wheeler transform is built.  Longest matches can only begin anew at the ends of
@@ -61,8 +61,11 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: -(width - size)], h[width - size :]) if width > size else h
 
 
-def pieces(raw: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int]]:
-    """(anchor, start, end) of the pieces of a text: the windows that share the anchor begin at start and on."""
+def pieces(raw: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bool]]:
+    """(anchor, start, end, inner) of the pieces of a text: the windows that share the anchor begin at start and on.
+
+    ``inner``: the anchor stands in the piece twice or more, so that the piece may repeat windows within itself.
+    """
     for at in range(0, len(raw) - length + 1, BLOCK):
         part = np.frombuffer(raw, dtype=np.uint8, offset=at, count=min(BLOCK + length - 1, len(raw) - at))
         h, size = _BYTE[part], 1
@@ -76,7 +79,8 @@ def pieces(raw: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int]]:
         cut = np.union1d(np.flatnonzero(least[1:] != least[:-1]) + 1, np.arange(PIECE, len(least), PIECE))
         begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(least)]))
         for a, b, e in zip(least[begin].view(np.int64).tolist(), begin.tolist(), end.tolist(), strict=True):
-            yield a, at + b, at + e - 1 + length
+            inner = np.count_nonzero(h[b : e + length - GRAM] == least[b]) > 1
+            yield a, at + b, at + e - 1 + length, inner
 
 
 # -- the index of a batch
@@ -185,18 +189,20 @@ SPANS = "array<struct<a: int, b: int>>"
 def _segment(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchor, piece, sha, start, size = [], [], [], [], []
+            anchor, piece, sha, start, size, inner = [], [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 raw = text.as_py()
-                for a, b, e in pieces(raw, length):
+                for a, b, e, again in pieces(raw, length):
                     anchor.append(a)
+                    inner.append(again)
                     piece.append(xxhash.xxh3_128_digest(raw[b:e]))
                     start.append(b)
                     size.append(e - b)
                 sha += [key] * (len(anchor) - len(sha))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor, type=pa.int64()), pa.array(piece, type=pa.binary()), pa.array(sha, type=pa.binary()),
-                 pa.array(start, type=pa.int32()), pa.array(size, type=pa.int32())], names=["anchor", "piece", "sha", "start", "size"])
+                 pa.array(start, type=pa.int32()), pa.array(size, type=pa.int32()), pa.array(inner, type=pa.bool_())],
+                names=["anchor", "piece", "sha", "start", "size", "inner"])
 
     return run
 
@@ -211,7 +217,7 @@ def _index(length: int):
         def flush():
             nonlocal held, size
             todo, held, size = held, [], 0
-            if len(todo) < 2:
+            if not todo:
                 return
             out = [(a, p, s) for (a, p, _), s in zip(todo, marks([raw for *_, raw in todo], length), strict=True) if s]
             yield pa.RecordBatch.from_arrays(
@@ -287,12 +293,15 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.withColumn("raw", raw).withColumn("sha", F.unhex(F.sha2("raw", 256)))
     long = rows.where(F.octet_length("raw") >= length).select("sha", F.col("raw").cast("string").alias("raw"))
-    every = written(long.mapInArrow(_segment(length), "anchor bigint, piece binary, sha binary, start int, size int"), "pieces")
-    shared_anchor = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    every = written(long.mapInArrow(_segment(length), "anchor bigint, piece binary, sha binary, start int, size int, inner boolean"), "pieces")
+    shared_anchor = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).where(
+        "n > 1 OR inner").select("anchor")
     places = written(every.join(shared_anchor, "anchor"), "piece-places")
     kinds = written(places.groupBy("anchor", "piece").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("sha", "start", "size")).alias("at")), "piece-kinds")
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("at.size").cast("bigint")).alias("bytes")).where("kinds > 1")
+        F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"), F.min(F.struct("sha", "start", "size")).alias("at")), "piece-kinds")
+    several = kinds.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("kinds"), F.max(F.col("inner") & (F.col("n") == 1)).alias("inner"),
+        F.sum(F.col("at.size").cast("bigint")).alias("bytes")).where("kinds > 1 OR inner").select("anchor", "bytes")
 
     bits = docs.sparkSession.sparkContext.broadcast(_bit_map(places.select("sha")))
     texts = written(long.mapInArrow(_pick(bits), "sha binary, raw string"), "piece-texts")
