@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import bpe, decontaminate, langid, pii, simhash, substring
+from adlake.llm import bpe, brown, decontaminate, langid, pii, simhash, substring
 from adlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": lambda spark, sf: simhash.groups(documents(spark, sf)),
     "op4_language": lambda spark, sf: langid.predictions(documents(spark, sf)),
+    "op5_brown": lambda spark, sf: brown.report(documents(spark, sf)),
     "op6_substring": lambda spark, sf: substring.report(documents(spark, sf)),
     "op8_pii": lambda spark, sf: pii.report(documents(spark, sf)),
     "op9_decontamination": lambda spark, sf: decontaminate.report(
