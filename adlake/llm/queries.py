@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import bpe, brown, decontaminate, langid, pii, simhash, substring
+from adlake.llm import bpe, brown, decontaminate, langid, licenses, merkle, pii, quality, simhash, substring
 from adlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": lambda spark, sf: licenses.report(documents(spark, sf)),
     "op2_simhash": lambda spark, sf: simhash.groups(documents(spark, sf)),
+    "op3_merkle": lambda spark, sf: merkle.report(spark.read.parquet(f"{sf}/pages.parquet")),
     "op4_language": lambda spark, sf: langid.predictions(documents(spark, sf)),
     "op5_brown": lambda spark, sf: brown.report(documents(spark, sf)),
     "op6_substring": lambda spark, sf: substring.report(documents(spark, sf)),
+    "op7_quality": lambda spark, sf: quality.report(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")),
     "op8_pii": lambda spark, sf: pii.report(documents(spark, sf)),
     "op9_decontamination": lambda spark, sf: decontaminate.report(
         documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")),
     "op10_bpe": lambda spark, sf: bpe.digests(documents(spark, sf)),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_licenses": licenses.oracle_sql(),
+    "op3_merkle": merkle.ORACLE_SQL,
+}
