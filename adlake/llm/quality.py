@@ -24,46 +24,61 @@ MIN_WORDS = 50
 #: Trusted ids that are broadcast (8 bytes each before hashing); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
-_WORDS = r"regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+', 0)"
-_BUCKET_WORD = f"pmod(xxhash64(words[i]), {BUCKETS})"
-_BUCKET_PAIR = f"pmod(xxhash64(words[i], words[i + 1]), {BUCKETS})"
+#: Places of a text's windows that occur in it twice or more, by rising place.  A window is one number, the upper bits of
+#: its hash before its place, so that sorting brings equal windows together; what agrees in those bits is compared whole.
+_LOW = "(shiftleft(1L, cast(ceil(log2(size(words))) AS int)) - 1)"
+_HASH = "xxhash64(words[{0}], words[{0} + 1], words[{0} + 2])"
 
 
 def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(all columns but the text's own name kept) plus ``words``, an empty array for null."""
-    return docs.withColumn("words", F.expr(_WORDS.format(f"coalesce(cast(`{text_col}` AS string), '')")))
+    """All columns, and the text's ``words`` (an empty array for null)."""
+    text = rf"btrim(coalesce(cast(`{text_col}` AS string), ''), ' \t\n\u000b\f\r')"
+    return docs.withColumn("trimmed", F.expr(text)).withColumn(
+        "words", F.expr(r"CASE WHEN trimmed = '' THEN cast(array() AS array<string>) ELSE split(trimmed, '[\\x20\\x09-\\x0D]+') END")).drop("trimmed")
 
 
 def shape(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    """Add ``words``, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     lines = rf"filter(split({text}, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"
+    packed = f"""CASE WHEN size(words) < 4 THEN cast(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, size(words) - 3),
+        i -> ({_HASH.format('i')} & ~low) | i)) END"""
+    near = """transform(filter(packed, (x, k) -> (k > 0 AND ((x ^ packed[greatest(k - 1, 0)]) & ~low) = 0)
+        OR (k < size(packed) - 1 AND ((x ^ packed[least(k + 1, size(packed) - 1)]) & ~low) = 0)), x -> cast(x & low AS int))"""
+    whole = f"array_sort(transform(near, i -> struct({_HASH.format('i')} AS h, i AS at)))"
+    places = """array_sort(transform(filter(transform(whole, (w, k) -> struct(w.at AS at,
+        (k > 0 AND whole[greatest(k - 1, 0)].h = w.h) OR (k < size(whole) - 1 AND whole[least(k + 1, size(whole) - 1)].h = w.h) AS again)),
+        w -> w.again), w -> w.at))"""
+    # every repeated window covers three words; neighbours share theirs
+    covered = "aggregate(places, struct(-3 AS last, 0L AS n), (a, p) -> struct(p AS last, a.n + least(3, p - a.last) AS n), a -> a.n)"
     counted = with_words(docs, text_col).withColumns({
         "n_words": F.expr("cast(size(words) AS bigint)"),
         "word_chars": F.expr("cast(char_length(array_join(words, '')) AS bigint)"),
         "n_symbols": F.expr(f"cast(regexp_count({text}, '[#*$%&|<>]') AS bigint)"),
         "lines": F.expr(lines),
-        # hash and place of each window, so that equal windows stand side by side
-        "windows": F.expr("""CASE WHEN size(words) < 4 THEN array() ELSE array_sort(transform(sequence(0, size(words) - 3),
-            i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) AS h, i AS at))) END"""),
+        "low": F.expr(f"CASE WHEN size(words) > 0 THEN {_LOW} ELSE 0L END"),
     })
-    places = """array_sort(transform(filter(transform(windows, (w, k) -> struct(w.at AS at,
-        (k > 0 AND windows[greatest(k - 1, 0)].h = w.h) OR (k < size(windows) - 1 AND windows[least(k + 1, size(windows) - 1)].h = w.h) AS again)),
-        w -> w.again), w -> w.at))"""
-    # every repeated window covers three words; neighbours share theirs
-    covered = """aggregate(repeated, struct(-3 AS last, 0L AS n), (a, p) -> struct(p AS last, a.n + least(3, p - a.last) AS n), a -> a.n)"""
-    return counted.withColumn("repeated", F.expr(places)).withColumns({
+    for name, expr in (("packed", packed), ("near", near), ("whole", whole), ("places", places)):
+        counted = counted.withColumn(name, F.expr(expr))
+    return counted.withColumns({
         "n_dup_lines": F.expr("cast(size(lines) - size(array_distinct(lines)) AS bigint)"),
         "n_repeat_words": F.expr(covered),
-    }).drop("windows", "lines", "repeated")
+    }).drop("low", "packed", "near", "whole", "places", "lines")
+
 
+def grams(rows: DataFrame) -> DataFrame:
+    """One row for each word with the bucket of the word and of the pair it begins (null at the end); a text without
+    words has one row of nulls."""
+    pairs = "inline_outer(arrays_zip(words, slice(words, 2, greatest(size(words) - 1, 0))))"
+    each = rows.select(*[c for c in rows.columns if c != "words"], F.expr(pairs).alias("w1", "w2"))
+    return each.withColumns({
+        "bucket_1": F.expr(f"CASE WHEN w1 IS NOT NULL THEN cast(pmod(xxhash64(w1), {BUCKETS}) AS int) END"),
+        "bucket_2": F.expr(f"CASE WHEN w2 IS NOT NULL THEN cast(pmod(xxhash64(w1, w2), {BUCKETS}) AS int) END")}).drop("w1", "w2")
 
-def bucket_counts(texts: DataFrame, words_col: str = "words") -> DataFrame:
+
+def bucket_counts(texts: DataFrame) -> DataFrame:
     """(bucket, n, trusted_n) of words and pairs of rows (words, trusted)."""
-    buckets = f"""transform(sequence(0, 2 * size({words_col}) - 2), k -> CASE WHEN k % 2 = 0
-        THEN pmod(xxhash64({words_col}[k div 2]), {BUCKETS})
-        ELSE pmod(xxhash64({words_col}[k div 2], {words_col}[k div 2 + 1]), {BUCKETS}) END)"""
-    each = texts.where(f"size({words_col}) > 0").select("trusted", F.explode(F.expr(buckets)).alias("bucket"))
+    each = grams(texts).select("trusted", F.expr("explode(array(bucket_1, bucket_2))").alias("bucket")).where("bucket IS NOT NULL")
     return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("trusted"), 1)).alias("trusted_n"))
 
 
@@ -74,7 +89,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     ids = ids.withColumn("trusted", F.lit(True))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(ids) if known else ids, F.col("id") == F.col("trusted_id"), "left")
-    counts = bucket_counts(with_words(rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")))).collect()
+    counts = bucket_counts(with_words(rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))).drop("text")).collect()
     raw, own = [0] * BUCKETS, [0] * BUCKETS
     for r in counts:  # at most BUCKETS rows
         raw[r["bucket"]], own[r["bucket"]] = r["n"], r["trusted_n"]
@@ -84,26 +99,27 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     return [math.log((a + 1) / n_own) - math.log((b + 1) / n_raw) for a, b in zip(own, raw, strict=True)]
 
 
-def mean_ratio(ratios: list[float]):
-    """Mean log ratio over the words and pairs in ``words`` (0 without words), as a column."""
-    table = "cast(split('" + ",".join(map(repr, ratios)) + "', ',') AS array<double>)"
-    return F.expr(f"""CASE WHEN size(words) = 0 THEN 0D ELSE aggregate(sequence(0, size(words) - 1), 0D, (s, i) -> s
-        + {table}[cast({_BUCKET_WORD} AS int)]
-        + CASE WHEN i + 1 < size(words) THEN {table}[cast({_BUCKET_PAIR} AS int)] ELSE 0D END)
-        / (2 * size(words) - 1) END""")
-
-
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
-    """Add the shape counts, ``ratio``, ``base_failed`` and ``kept``."""
+    """(id, the shape counts, ratio, base_failed, kept) of every row.
+
+    Words and pairs are rows with their buckets' log ratios for as long as it takes to add them up in the task that made
+    them; what is shuffled is one row for each document.
+    """
     ratios = log_ratios(docs, trusted, id_col, text_col)
-    scored = shape(docs, text_col).withColumn("ratio", mean_ratio(ratios)).drop("words")
+    table = "cast(split('" + ",".join(map(repr, ratios)) + "', ',') AS array<double>)"  # folded to a constant
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    each = grams(shape(rows).select("row", "id", *counts, "words"))
+    log = F.expr(f"coalesce({table}[bucket_1], 0D) + coalesce({table}[bucket_2], 0D)")
+    sums = each.groupBy("row").agg(F.first("id").alias("id"), *[F.first(c).alias(c) for c in counts], F.sum(log).alias("log"))
+    ratio = F.when(F.col("n_words") > 0, F.col("log") / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+    return sums.select("id", *counts, ratio.alias("ratio"), failed.alias("base_failed"), (~failed & (ratio >= threshold)).alias("kept"))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The counts and verdicts of every document; trusted are the documents labelled of good quality."""
     trusted = labels.where("quality = 1").select("doc_id")
     return judge(docs.select("doc_id", "text"), trusted).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
