@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlake.llm.common import sliced
+
 END = "</w>"
 #: Symbols of a word's last byte are moved up by this, so that "last byte" is a symbol of its own.
 LAST = 0x1000
@@ -240,7 +242,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "i
     @F.arrow_udf("binary")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = _coder(Encoder, tables)
-        for texts in batches:
+        for texts in sliced(batches):
             yield pa.array([coder.encode(t.as_py()) for t in texts], type=pa.binary())
 
     return df.withColumn(out, ids(F.col(text_col).cast("string")))
@@ -253,7 +255,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = _coder(Decoder, tables)
-        for ids in batches:
+        for ids in sliced(batches):
             yield pa.array([coder.decode(i.as_py()) for i in ids], type=pa.string())
 
     return df.withColumn(out, text(F.col(ids_col)))
@@ -267,7 +269,7 @@ def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", out: str
     @F.arrow_udf("struct<ids: binary, decoded: string>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, decoder = _coder(Encoder, to), _coder(Decoder, back)
-        for texts in batches:
+        for texts in sliced(batches):
             ids = [encoder.encode(t.as_py()) for t in texts]
             yield pa.StructArray.from_arrays(
                 [pa.array(ids, type=pa.binary()), pa.array([decoder.decode(i) for i in ids], type=pa.string())],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +49,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sliced(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow arrays or batches in pieces of few rows, so that a task holds little besides the batch Spark handed over."""
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)
