@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import fresh
+from adlake.llm.common import fresh, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 96
@@ -398,7 +398,7 @@ def spans(model: dict | None, text: Column) -> Column:
     @F.arrow_udf(SPANS)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-        for texts in batches:
+        for texts in sliced(batches, 1024):
             rows = all_spans(model, texts.to_pylist())
             yield pa.array([[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in r] for r in rows], type=kind)
 
@@ -432,7 +432,7 @@ def mask(docs: DataFrame, text_col: str = "text", model: dict | None = None) ->
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches, 1024):
             rows = texts.to_pylist()
             yield pa.array([masked(t, s) if s else t for t, s in zip(rows, all_spans(model, rows), strict=True)], type=pa.string())
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import written
+from adlake.llm.common import sliced, written
 
 LENGTH = 400
 GRAM = 32
@@ -45,7 +45,7 @@ PIECE = 1024
 BATCH = 2 << 20
 #: Bytes of different pieces under one anchor that still go into one index.
 MAX_GROUP = 4 << 20
-#: Bits of the map of touched texts that travels to the tasks (2 MB whatever the corpus).
+#: Bits of the map of the texts looked for, which travels to the tasks (2 MB whatever the corpus).
 MAP_BITS = 24
 
 _RNG = np.random.default_rng(11)
@@ -184,25 +184,33 @@ def marks(batch: list[bytes], length: int = LENGTH) -> list[list[tuple[int, int]
 # -- Spark
 
 SPANS = "array<struct<a: int, b: int>>"
+#: A text's key: 96 bits of its SHA-256 as two numbers.
+KEY = ["k1", "k2"]
+#: A piece's place in its text, in one number: start, 11 bits of size, whether it ends the text, whether ``inner``.
+_START, _SIZE, _LAST, _INNER = "shiftright(at, 13)", "(shiftright(at, 2) & 2047)", "(at & 2) > 0", "(at & 1) > 0"
+
+
+def _key(raw: bytes) -> tuple[int, int]:
+    sha = hashlib.sha256(raw).digest()
+    return int.from_bytes(sha[:8], "big", signed=True), int.from_bytes(sha[8:12], "big")
+
+
+def _key_columns(sha_hex: str) -> list[Column]:
+    """The key of a text from the hex digits of its SHA-256."""
+    return [F.conv(F.substring(sha_hex, 1, 16), 16, -10).cast("bigint").alias("k1"), F.conv(F.substring(sha_hex, 17, 8), 16, 10).cast("bigint").alias("k2")]
 
 
 def _segment(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchor, piece, sha, start, size, inner = [], [], [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+        for batch in sliced(batches):
+            rows = []
+            for text in batch.column(0).cast(pa.binary()):
                 raw = text.as_py()
-                for a, b, e, again in pieces(raw, length):
-                    anchor.append(a)
-                    inner.append(again)
-                    piece.append(xxhash.xxh3_128_digest(raw[b:e]))
-                    start.append(b)
-                    size.append(e - b)
-                sha += [key] * (len(anchor) - len(sha))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor, type=pa.int64()), pa.array(piece, type=pa.binary()), pa.array(sha, type=pa.binary()),
-                 pa.array(start, type=pa.int32()), pa.array(size, type=pa.int32()), pa.array(inner, type=pa.bool_())],
-                names=["anchor", "piece", "sha", "start", "size", "inner"])
+                key = _key(raw)
+                rows += [(a, xxhash.xxh3_64_intdigest(raw[b:e]) - (1 << 63), *key, b << 13 | (e - b) << 2 | (e == len(raw)) << 1 | again)
+                         for a, b, e, again in pieces(raw, length)]
+            table = np.array(rows, dtype=np.int64).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T], names=["anchor", "piece", *KEY, "at"])
 
     return run
 
@@ -210,8 +218,8 @@ def _segment(length: int):
 def _index(length: int):
     """Pieces, sorted by anchor, go into indexes of whole anchors; yields the marked spans of each piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, bytes]] = []
-        group: dict[bytes, bytes] = {}
+        held: list[tuple[int, int, bytes]] = []
+        group: dict[int, bytes] = {}
         anchor, size, own = None, 0, 0
 
         def flush():
@@ -221,7 +229,7 @@ def _index(length: int):
                 return
             out = [(a, p, s) for (a, p, _), s in zip(todo, marks([raw for *_, raw in todo], length), strict=True) if s]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.binary()),
+                [pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64()),
                  pa.array([[{"a": a, "b": b} for a, b in x[2]] for x in out], type=pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))],
                 names=["anchor", "piece", "spans"])
 
@@ -252,31 +260,34 @@ def _digests(length: int):
                 n = len(raw) - length + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a] * n, type=pa.int64()), pa.array([xxhash.xxh3_128_digest(raw[k : k + length]) for k in range(n)], type=pa.binary()),
-                     pa.array([p] * n, type=pa.binary()), pa.array(range(n), type=pa.int32())], names=["anchor", "digest", "piece", "at"])
+                     pa.array([p] * n, type=pa.int64()), pa.array(range(n), type=pa.int32())], names=["anchor", "digest", "piece", "at"])
 
     return run
 
 
 def _pick(shared):
-    """The texts whose bit is set, each at most once for each task."""
+    """(key, raw) of the texts whose bit is set, each at most once for each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for batch in batches:
-            rows = []
-            for k, key in enumerate(batch.column(0).to_pylist()):
-                bit = int.from_bytes(key[:4], "big") >> (32 - MAP_BITS)
+        seen: set[tuple[int, int]] = set()
+        for batch in sliced(batches):
+            rows, keys = [], []
+            for k, text in enumerate(batch.column(0).cast(pa.binary())):
+                key = _key(text.as_py())
+                bit = (key[0] & (1 << 64) - 1) >> (64 - MAP_BITS)
                 if shared.value[bit >> 3] >> (bit & 7) & 1 and key not in seen:
                     seen.add(key)
                     rows.append(k)
-            yield batch.take(pa.array(rows, type=pa.int64()))
+                    keys.append(key)
+            table = np.array(keys, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(c) for c in table.T], batch.column(0).take(pa.array(rows, type=pa.int64()))], names=[*KEY, "raw"])
 
     return run
 
 
 def _bit_map(keys: DataFrame) -> bytes:
     """A map of 2**MAP_BITS bits with the first bits of each key set; Spark builds it in parts of 4 KB."""
-    bit = F.conv(F.substring(F.hex("sha"), 1, MAP_BITS // 4), 16, 10).cast("bigint")
-    rows = keys.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("part")).agg(
+    rows = keys.select(F.shiftrightunsigned("k1", 64 - MAP_BITS).alias("bit")).groupBy(F.shiftrightunsigned("bit", 15).alias("part")).agg(
         F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits")).collect()
     out = bytearray(1 << (MAP_BITS - 3))
     for r in rows:
@@ -284,38 +295,61 @@ def _bit_map(keys: DataFrame) -> bytes:
     return bytes(out)
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(rows, touched): all rows with ``sha`` (digest of the text) beside their columns, and for each distinct
-    text with repeated strings its ``sha``, ``raw`` bytes and ``spans`` (start, end), which may overlap.
-    """
-    if length < 2 * GRAM:
-        raise ValueError(f"length must be at least {2 * GRAM}")
-    raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.withColumn("raw", raw).withColumn("sha", F.unhex(F.sha2("raw", 256)))
-    long = rows.where(F.octet_length("raw") >= length).select("sha", F.col("raw").cast("string").alias("raw"))
-    every = written(long.mapInArrow(_segment(length), "anchor bigint, piece binary, sha binary, start int, size int, inner boolean"), "pieces")
-    shared_anchor = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).where(
-        "n > 1 OR inner").select("anchor")
-    places = written(every.join(shared_anchor, "anchor"), "piece-places")
-    kinds = written(places.groupBy("anchor", "piece").agg(
-        F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"), F.min(F.struct("sha", "start", "size")).alias("at")), "piece-kinds")
-    several = kinds.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("kinds"), F.max(F.col("inner") & (F.col("n") == 1)).alias("inner"),
-        F.sum(F.col("at.size").cast("bigint")).alias("bytes")).where("kinds > 1 OR inner").select("anchor", "bytes")
+def _picked(long: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, raw) of at least the texts whose keys are given; few others, and no text more than once for each task."""
+    bits = long.sparkSession.sparkContext.broadcast(_bit_map(keys))
+    return long.mapInArrow(_pick(bits), "k1 bigint, k2 bigint, raw string")
+
+
+def united(spans: Column) -> Column:
+    """Spans in order, those that overlap or touch made one."""
+    @F.arrow_udf(SPANS)
+    def apply(places: pa.Array) -> pa.Array:
+        rows = []
+        for row in places:
+            a, b = (row.values.field(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+            order = np.argsort(a, kind="stable")
+            a, top = a[order], np.maximum.accumulate(b[order])
+            first = np.concatenate(([True], a[1:] > top[:-1]))
+            last = np.concatenate((first[1:], [True]))
+            rows.append([{"a": x, "b": y} for x, y in zip(a[first].tolist(), top[last].tolist(), strict=True)])
+        return pa.array(rows, type=pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+
+    return apply(spans)
+
 
-    bits = docs.sparkSession.sparkContext.broadcast(_bit_map(places.select("sha")))
-    texts = written(long.mapInArrow(_pick(bits), "sha binary, raw string"), "piece-texts")
+def long_texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    return docs.select(F.col(text_col).cast("string").alias("raw")).where(F.octet_length("raw") >= length)
 
-    wanted = kinds.join(several, "anchor").select("anchor", "piece", F.col("at.sha").alias("sha"), F.col("at.start").alias("start"),
-                                                  F.col("at.size").alias("size"), (F.col("bytes") > MAX_GROUP).alias("large"))
-    fetched = texts.join(wanted, "sha").select(
-        "anchor", "piece", F.expr("substring(cast(raw AS binary), start + 1, size)").alias("raw"), "large")
+
+def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """(k1, k2, spans, whole) of every distinct text with repeated strings: its key, the spans that they cover, in
+    bytes, in order and apart, and whether they cover all of it.
+    """
+    if length < 2 * GRAM or PIECE + length > 2048:
+        raise ValueError(f"length must be from {2 * GRAM} to {2048 - PIECE}")
+    long = long_texts(docs, text_col, length)
+    every = written(long.mapInArrow(_segment(length), "anchor bigint, piece bigint, k1 bigint, k2 bigint, at bigint"), "pieces")
+    again = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("at").bitwiseAND(1)).alias("inner")).where(
+        "n > 1 OR inner = 1").select("anchor")
+    spots = written(every.join(again, "anchor").groupBy("anchor", "piece", *KEY, "at").agg(F.count(F.lit(1)).alias("n")), "piece-spots")
+    kinds = written(spots.groupBy("anchor", "piece").agg(
+        F.sum("n").alias("n"), *[F.first(c).alias(c) for c in (*KEY, "at")]), "piece-kinds")  # any one place stands for a piece
+    several = kinds.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("kinds"), F.max(F.expr(f"{_INNER} AND n = 1")).alias("inner"),
+        F.sum(F.expr(_SIZE)).alias("bytes")).where("kinds > 1 OR inner").select("anchor", "bytes")
+
+    wanted = kinds.join(several, "anchor").select("anchor", "piece", *KEY, F.expr(_START).alias("start"), F.expr(_SIZE).alias("size"),
+                                                  (F.col("bytes") > MAX_GROUP).alias("large"))
+    wanted = written(wanted, "piece-wanted")
+    fetched = _picked(long, wanted).join(wanted, KEY).select(
+        "anchor", "piece", F.expr("substring(cast(raw AS binary), cast(start + 1 AS int), cast(size AS int))").alias("raw"), "large")
     small = fetched.where("NOT large").select("anchor", "piece", "raw")
-    found = small.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(_index(length), f"anchor bigint, piece binary, spans {SPANS}")
-    parts = [kinds.where("n > 1").select("anchor", "piece", F.array(F.struct(F.lit(0).alias("a"), F.col("at.size").alias("b"))).alias("spans")), found]
-    if several.where(F.col("bytes") > MAX_GROUP).limit(1).count():
+    found = small.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(_index(length), f"anchor bigint, piece bigint, spans {SPANS}")
+    parts = [kinds.where("n > 1").select("anchor", "piece", F.expr(f"array(struct(0 AS a, cast({_SIZE} AS int) AS b))").alias("spans")), found]
+    if wanted.where("large").limit(1).count():
         window = fetched.where("large").select("anchor", "piece", "raw").dropDuplicates(["anchor", "piece"]).mapInArrow(
-            _digests(length), "anchor bigint, digest binary, piece binary, at int")
+            _digests(length), "anchor bigint, digest binary, piece bigint, at int")
         twice = window.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "digest")
         parts.append(window.join(twice, ["anchor", "digest"]).groupBy("anchor", "piece").agg(
             F.collect_set(F.struct(F.col("at").alias("a"), (F.col("at") + length).alias("b"))).alias("spans")))
@@ -323,10 +357,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     for p in parts[1:]:
         marked = marked.union(p)
     marked = marked.groupBy("anchor", "piece").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    placed = places.select("anchor", "piece", "sha", "start").distinct().join(marked, ["anchor", "piece"]).groupBy("sha").agg(
-        F.flatten(F.collect_list(F.expr("transform(spans, s -> struct(s.a + start AS a, s.b + start AS b))"))).alias("spans"))
-    once = texts.groupBy("sha").agg(F.max("raw").alias("raw"))
-    return rows, once.join(placed, "sha")
+    moved = F.expr(f"transform(spans, s -> struct(cast(s.a + {_START} AS int) AS a, cast(s.b + {_START} AS int) AS b))")
+    placed = spots.join(marked, ["anchor", "piece"]).groupBy(*KEY).agg(
+        F.flatten(F.collect_list(moved)).alias("spans"), F.max(F.expr(f"CASE WHEN {_LAST} THEN {_START} + {_SIZE} END")).alias("end"))
+    one = placed.select(*KEY, united(F.col("spans")).alias("spans"), "end")
+    whole = F.expr("size(spans) = 1 AND spans[0].a = 0 AND coalesce(spans[0].b = end, false)")
+    return written(one.select(*KEY, "spans", whole.alias("whole")), "repeated-spans")
 
 
 def cut(raw: Column, spans: Column) -> Column:
@@ -351,23 +387,28 @@ def cut(raw: Column, spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(sha, n_removed, n_spans, kept) of every distinct text that loses bytes; ``kept`` is binary."""
-    _, touched = repeated_spans(docs.select(F.col(text_col).alias("text")), "text", length)
-    got = touched.select("sha", cut(F.col("raw"), F.col("spans")).alias("cut"))
-    return got.select("sha", "cut.n_removed", "cut.n_spans", "cut.kept")
+    """(k1, k2, n_removed, n_spans, kept) of every distinct text that loses bytes; ``kept`` is binary.
+
+    A text that goes as a whole is not looked at again; of the others each distinct one is shuffled once.
+    """
+    spans = repeated_spans(docs, text_col, length)
+    gone = spans.where("whole").select(*KEY, F.expr("cast(spans[0].b AS bigint)").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"),
+                                       F.lit(b"").alias("kept"))
+    part = spans.where("NOT whole").select(*KEY, "spans")
+    texts = _picked(long_texts(docs, text_col, length), part).dropDuplicates(KEY)
+    left = texts.join(part, KEY).select(*KEY, cut(F.col("raw"), F.col("spans")).alias("cut"))
+    return gone.union(left.select(*KEY, "cut.n_removed", "cut.n_spans", "cut.kept"))
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    docs = docs.select("doc_id", "text")
-    rows, touched = repeated_spans(docs, "text", length)
-    got = touched.select("sha", cut(F.col("raw"), F.col("spans")).alias("cut"))
-    lost = got.select("sha", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
-    own = rows.select("doc_id", F.octet_length("raw").cast("bigint").alias("n_bytes"), "sha")
-    return own.join(lost, "sha", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
-        F.coalesce("kept_sha256", F.lower(F.hex("sha"))).alias("kept_sha256"))
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    own = docs.select("doc_id", F.octet_length(raw).cast("bigint").alias("n_bytes"), F.sha2(raw, 256).alias("sha"))
+    own = own.select("doc_id", "n_bytes", "sha", *_key_columns("sha"))
+    lost = remove_repeats(docs.select("text"), "text", length).select(*KEY, "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return own.join(lost, KEY, "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("bigint")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
 
 def removed_by_definition(texts: list[str | None], length: int = LENGTH) -> list[tuple[int, int, int, str]]:
