@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,21 @@ from adlake.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def with_package(call: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``call(spark, ...)`` after putting this package's folder on the Python path of the session's workers.
+
+    That serves workers that see the folder; a cluster without it gets the package as usual, by ``--py-files``.
+    """
+    @wraps(call)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), here]))
+        return call(spark, *args)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

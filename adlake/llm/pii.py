@@ -33,8 +33,10 @@ NEAR = STRIDE
 #: Windows with and without spans that the tagger is trained on: the bound of the training sample.
 TRAIN_WITH, TRAIN_WITHOUT = 600, 300
 HIDDEN = 16
-EPOCHS = 10
+STEPS = 300
 BATCH = 32
+#: Least mean probability of a span's tags for a span of the tagger to be added.
+SURE = 0.9
 #: Windows decoded at once in a task.
 DECODE = 512
 
@@ -217,26 +219,26 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def gradients(p: dict[str, np.ndarray], ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean negative log-likelihood of the tag sequences under the CRF, and its gradients."""
-    score, h, trace_f, trace_b = emissions(p, ids, keep=True)
-    steps, n, _ = score.shape
-    move, y = _moves(p), tags.T
+def _forward_backward(score: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log sums over all tag sequences up to and after each place, and over all of them."""
     alpha, beta = np.empty_like(score), np.zeros_like(score)
     alpha[0] = score[0]
-    for t in range(1, steps):
+    for t in range(1, len(score)):
         alpha[t] = score[t] + _logsumexp(alpha[t - 1][:, :, None] + move[None], 1)
-    for t in range(steps - 2, -1, -1):
+    for t in range(len(score) - 2, -1, -1):
         beta[t] = _logsumexp(move[None] + (score[t + 1] + beta[t + 1])[:, None, :], 2)
-    total = _logsumexp(alpha[-1], 1)
-    row = np.arange(n)
-    gold = score[0][row, y[0]].copy()
-    d_move = np.zeros((TAGS, TAGS))
-    for t in range(1, steps):
-        gold += score[t][row, y[t]] + move[y[t - 1], y[t]]
-        both = np.exp(alpha[t - 1][:, :, None] + move[None] + (score[t] + beta[t])[:, None, :] - total[:, None, None])
-        d_move += both.sum(axis=0)
-        np.add.at(d_move, (y[t - 1], y[t]), -1.0)
+    return alpha, beta, _logsumexp(alpha[-1], 1)
+
+
+def gradients(p: dict[str, np.ndarray], ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean negative log-likelihood of the tag sequences under the CRF, and its gradients."""
+    score, h, trace_f, trace_b = emissions(p, ids, keep=True)
+    steps, n, _ = score.shape
+    move, y, row = _moves(p), tags.T, np.arange(n)
+    alpha, beta, total = _forward_backward(score, move)
+    gold = score[np.arange(steps)[:, None], row, y].sum(axis=0) + move[y[:-1], y[1:]].sum(axis=0)
+    both = np.exp(alpha[:-1, :, :, None] + move + (score + beta)[1:, :, None, :] - total[:, None, None])
+    d_move = both.sum(axis=(0, 1)) - np.bincount((y[:-1] * TAGS + y[1:]).reshape(-1), minlength=TAGS * TAGS).reshape(TAGS, TAGS)
     d_score = np.exp(alpha + beta - total[None, :, None])
     d_score[np.arange(steps)[:, None], row[None, :], y] -= 1.0
     d_score /= n
@@ -245,33 +247,31 @@ def gradients(p: dict[str, np.ndarray], ids: np.ndarray, tags: np.ndarray) -> tu
     for d, d_states, trace, x in (("f", d_h[:, :, :HIDDEN], trace_f, ids.T), ("b", d_h[::-1, :, HIDDEN:], trace_b, ids.T[::-1])):
         dx, g[f"rec_{d}"] = _lstm_back(d_states, trace, p[f"rec_{d}"])
         g[f"bias_{d}"] = dx.sum(axis=(0, 1))
-        g[f"in_{d}"] = np.zeros_like(p[f"in_{d}"])
-        np.add.at(g[f"in_{d}"], x.reshape(-1), dx.reshape(-1, 4 * HIDDEN))
+        g[f"in_{d}"] = np.eye(SYMBOLS)[x.reshape(-1)].T @ dx.reshape(-1, 4 * HIDDEN)
     return float((total - gold).mean()), g
 
 
-def fit(ids: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, rate: float = 0.02, seed: int = 1) -> dict[str, np.ndarray]:
-    """Train by Adam over shuffled batches of windows (N, WINDOW) and their tags."""
+def fit(ids: np.ndarray, tags: np.ndarray, steps: int = STEPS, rate: float = 0.05, seed: int = 1) -> dict[str, np.ndarray]:
+    """Train by ``steps`` Adam steps over shuffled batches of windows (N, WINDOW) and their tags."""
     p = _new_parameters(seed)
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    rng, step = np.random.default_rng(seed), 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(ids))
-        for k in range(0, len(order), BATCH):
-            pick = order[k : k + BATCH]
-            _, g = gradients(p, ids[pick], tags[pick])
-            norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-            step += 1
-            pace = rate * (0.5 ** (3 * epoch / epochs)) * min(1.0, 5.0 / (norm + 1e-9))
-            for name, v in g.items():
-                first[name] = 0.9 * first[name] + 0.1 * v
-                second[name] = 0.99 * second[name] + 0.01 * v * v
-                p[name] -= pace * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
+    rng, order = np.random.default_rng(seed), np.empty(0, dtype=np.int64)
+    for step in range(1, steps + 1):
+        if len(order) < min(BATCH, len(ids)):
+            order = rng.permutation(len(ids))
+        pick, order = order[:BATCH], order[BATCH:]
+        _, g = gradients(p, ids[pick], tags[pick])
+        norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
+        pace, clip = rate * 0.5 ** (3 * step / steps), min(1.0, 5.0 / (norm + 1e-9))
+        for name, v in g.items():
+            first[name] = 0.9 * first[name] + 0.1 * clip * v
+            second[name] = 0.99 * second[name] + 0.01 * (clip * v) ** 2
+            p[name] -= pace * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
     return p
 
 
-def viterbi(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
-    """Best tags (B, T) of windows."""
+def viterbi(p: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best tags (B, T) of windows, and the probability of each of them at its place."""
     score, move = emissions(p, ids), _moves(p)
     steps, n, _ = score.shape
     best, back = score[0], np.empty((steps, n, TAGS), dtype=np.int8)
@@ -283,27 +283,29 @@ def viterbi(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     out[:, -1] = best.argmax(axis=1)
     for t in range(steps - 1, 0, -1):
         out[:, t - 1] = back[t][np.arange(n), out[:, t]]
-    return out
+    alpha, beta, total = _forward_backward(score, move)
+    sure = np.exp(alpha + beta - total[None, :, None])
+    return out, np.take_along_axis(sure.transpose(1, 0, 2), out[:, :, None], axis=2)[:, :, 0]
+
 
+def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray) -> list[tuple[str, int, int]]:
+    """Spans of the whole text: each character's tag is that of the window in which it stands most centrally.
 
-def reconcile(text: str, starts: np.ndarray, tags: np.ndarray) -> list[tuple[str, int, int]]:
-    """Spans of the whole text: each character's tag is that of the window in which it stands most centrally."""
-    half = WINDOW // 4
-    place, tag = [], []
-    for s, row in zip(starts, tags, strict=True):  # the middle half of every window; they tile the text
-        a, b = s + half, s + half + STRIDE
-        place.append(np.arange(a, b))
-        tag.append(row[half : half + STRIDE])
-    place, tag = np.concatenate(place), np.concatenate(tag)
+    A span needs a digit or at-sign and a mean probability of its tags of at least ``SURE``.
+    """
+    middle = slice(WINDOW // 4, WINDOW // 4 + STRIDE)  # the middle halves of all windows tile the text
+    place = (starts[:, None] + np.arange(WINDOW)[None, :])[:, middle].reshape(-1)
+    tag, prob = tags[:, middle].reshape(-1), sure[:, middle].reshape(-1)
     inside = (tag > 0) & (place >= 0) & (place < len(text))
     spans: list[list] = []
-    for at, t in zip(place[inside].tolist(), tag[inside].tolist(), strict=True):
+    for at, t, q in zip(place[inside].tolist(), tag[inside].tolist(), prob[inside].tolist(), strict=True):
         kind = KINDS[(t - 1) // 2]
         if t % 2 == 0 and spans and spans[-1][2] == at and spans[-1][0] == kind:
             spans[-1][2] = at + 1
+            spans[-1][3] += q
         elif t % 2:
-            spans.append([kind, at, at + 1])
-    return [(k, a, b) for k, a, b in spans if _ANCHOR.search(text, a, b)]
+            spans.append([kind, at, at + 1, q])
+    return [(k, a, b) for k, a, b, q in spans if q >= SURE * (b - a) and _ANCHOR.search(text, a, b)]
 
 
 def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
@@ -315,10 +317,10 @@ def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list
     def decode():
         nonlocal size
         every = np.concatenate(cut)
-        got = np.concatenate([viterbi(p, every[k : k + DECODE]) for k in range(0, len(every), DECODE)])
+        got, sure = map(np.concatenate, zip(*(viterbi(p, every[k : k + DECODE]) for k in range(0, len(every), DECODE)), strict=True))
         at = 0
         for k, starts, n in held:
-            out[k] = reconcile(texts[k], starts, got[at : at + n])
+            out[k] = reconcile(texts[k], starts, got[at : at + n], sure[at : at + n])
             at += n
         held.clear()
         cut.clear()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlake.llm import bpe, brown, decontaminate, langid, licenses, merkle, pii, quality, simhash, substring
-from adlake.llm.common import documents
+from adlake.llm.common import documents, with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": lambda spark, sf: licenses.report(documents(spark, sf)),
@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")),
     "op10_bpe": lambda spark, sf: bpe.digests(documents(spark, sf)),
 }
+QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
+
 
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
