@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import bpe, decontaminate, langid, pii, simhash
-from adlake.llm.common import fresh, written
+from adlake.llm.common import fresh, with_package, written
 
 #: Documents of which more than this share of words is benchmark text go; of the others the passages are cut out.
 MAX_LEAK_SHARE = 0.5
@@ -23,27 +23,32 @@ def _with_length(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.withColumn("n_chars", F.char_length("text").cast(before.schema["n_chars"].dataType))
 
 
+@with_package
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language."""
     return langid.keep_identified(docs)
 
 
+@with_package
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.keep_one_of_each(docs)
 
 
+@with_package
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out; documents that are mostly benchmark text go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _with_length(docs, decontaminate.remove(docs, benchmark, max_share=MAX_LEAK_SHARE))
 
 
+@with_package
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind."""
     return _with_length(docs, pii.mask(docs))
 
 
+@with_package
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed as little-endian unsigned 32-bit integers, and the digest of the decoded text."""
     out = fresh(docs, "coded")
@@ -65,6 +70,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@with_package
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
