@@ -108,7 +108,7 @@ def test_brown_probabilities_add_up(spark):
 
 
 def test_patterns_fuzz():
-    from test_queries import by_pattern
+    from .test_queries import by_pattern
 
     rng = random.Random(3)
     for _ in range(5000):
