@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from functools import reduce
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,10 +23,12 @@ from adlake.functions.names import flatten_names  # noqa: E402
 from adlake.operators.gold import DIMS, FACTS  # noqa: E402
 from adlake.operators.kpi import KPI_NAMES  # noqa: E402
 from adlake.operators.spec import SILVER_TABLES  # noqa: E402
-from adlake.plans.catalog import audit_frames  # noqa: E402
-from adlake.plans.pipeline import REPORTS, Lakehouse  # noqa: E402
+from adlake.plans.catalog import (  # noqa: E402
+    audit_frames, list_columns, list_databases, list_tables, preview, save_layer,
+)
+from adlake.plans.pipeline import REPORTS, Lakehouse, run  # noqa: E402
 from adlake.session import shared_dir  # noqa: E402
-from adlake.sources.bronze import CORE_CAMPAIGN_DDL, land_csv  # noqa: E402
+from adlake.sources.bronze import CORE_CAMPAIGN_DDL, land_csv, read_bronze  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -50,7 +55,7 @@ def _report(name: str):
 
 
 def _audit_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return audit_frames(Lakehouse.from_fixtures(spark, sf).silver).select("table_name", "row_count")
+    return audit_frames(Lakehouse.from_fixtures(spark, sf).silver)
 
 
 def _bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,6 +70,44 @@ def _bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_names(landed)
 
 
+def _saved(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Bronze, silver, gold and KPI tables of the campaigns, saved as managed tables of databases in the shared folder
+    and read back layer by layer; the databases' common prefix and all outcomes."""
+    prefix = f"adlake_{uuid.uuid4().hex[:12]}"
+    for layer in ("bronze", "silver", "gold", "analytics"):
+        spark.sql(f"CREATE DATABASE {prefix}_{layer} LOCATION '{shared_dir(spark, prefix)}'")
+    fixtures = Lakehouse.from_fixtures(spark, sf).bronze
+    save_layer(spark, f"{prefix}_bronze", {n: fixtures[n] for n in SAVED_BRONZE})
+    return prefix, run(spark, read_bronze(spark, f"{prefix}_bronze"), *[f"{prefix}_{x}" for x in ("silver", "gold", "analytics")])
+
+
+SAVED_BRONZE = ("core_campaign_performance", "conversion_performance", "network_performance")
+
+
+def _saved_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every saved silver and gold table, as the catalog lists it, with its rows counted and a preview's rows."""
+    prefix, _ = _saved(spark, sf)
+    assert {f"{prefix}_{x}" for x in ("bronze", "silver", "gold", "analytics")} <= set(list_databases(spark))
+    parts = [spark.table(f"{prefix}_{x}.{t}").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(x).alias("layer"), F.lit(t).alias("table_name"), "row_count",
+        F.lit(preview(spark.table(f"{prefix}_{x}.{t}"), 3).count()).cast("bigint").alias("preview_rows"))
+        for x in ("bronze", "silver", "gold") for t in list_tables(spark, f"{prefix}_{x}")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _saved_kpi_1(spark: SparkSession, sf: str) -> DataFrame:
+    prefix, _ = _saved(spark, sf)
+    return spark.table(f"{prefix}_analytics.kpi_1_summary")
+
+
+def _saved_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns and schema of the saved silver tables, from the catalog."""
+    prefix, _ = _saved(spark, sf)
+    rows = [(t, k, c, dict(spark.table(f"{prefix}_silver.{t}").dtypes)[c]) for t in list_tables(spark, f"{prefix}_silver")
+            for k, c in enumerate(list_columns(spark, f"{prefix}_silver.{t}"), start=1)]
+    return spark.createDataFrame(rows, "table_name string, position bigint, column_name string, column_type string")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for s in SILVER_TABLES:
@@ -78,6 +121,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"report_{r}"] = _report(r)
     q["audit_silver"] = _audit_silver
     q["bronze_csv_roundtrip"] = _bronze_csv_roundtrip
+    q["saved_tables"] = _saved_tables
+    q["saved_kpi_1_summary"] = _saved_kpi_1
+    q["saved_columns"] = _saved_columns
     q.update(_training_data()[0])
     return q
 

@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--gold-db", default="adlake_gold")
     r.add_argument("--analytics-db", default="adlake_analytics")
     r.add_argument("--format", default="parquet")
+    r.add_argument("--partition-by", action="append", default=[], metavar="TABLE=COLUMN[,COLUMN]")
     u = sub.add_parser("audit")
     u.add_argument("--db", required=True)
     args = p.parse_args(argv)
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
         save_layer(spark, args.bronze_db, frames, args.format).show(truncate=False)
     elif args.cmd == "run":
         run(spark, read_bronze(spark, args.bronze_db), args.silver_db, args.gold_db, args.analytics_db,
-            args.format).show(100, truncate=False)
+            args.format, {t: c.split(",") for t, c in (p.split("=", 1) for p in args.partition_by)}).show(100, truncate=False)
     else:
         audit(spark, args.db).show(100, truncate=False)
 

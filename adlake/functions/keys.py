@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.session import shared_dir
+
 UNKNOWN = "Unknown"
 KEY_SEP = "~"
 
@@ -46,25 +48,28 @@ def date_key(d: str | Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def with_row_index(df: DataFrame, order: list[Column], name: str = "row_no", partitions: int | None = None) -> DataFrame:
+def with_row_index(df: DataFrame, order: list[Column], name: str = "row_no") -> DataFrame:
     """Dense 1-based position of every row in a total ``order`` without one task.
 
-    Rows are range-partitioned on ``order`` into a fixed number of partitions
-    (a user-set count, so AQE keeps it identical for both reads below) and
-    sorted inside each; ``monotonically_increasing_id`` then encodes (partition,
-    position in partition).  Per-partition counts (one row per partition) give
-    each partition's offset, which is broadcast back.  Nothing gathers the rows
-    into one task or onto the driver.  ``order`` must be a total order.
+    Rows are range-partitioned on ``order`` and sorted inside each partition;
+    ``monotonically_increasing_id`` then encodes (partition, position in
+    partition).  These tagged rows are written once to the session's shared
+    folder, and both the per-partition counts (one row per partition, which give
+    each partition's offset) and the rows are read from there: two evaluations
+    of the range partitioning could sample different bounds.  Nothing gathers
+    the rows into one task or onto the driver.  ``order`` must be a total order.
     """
-    low_bits = (1 << 33) - 1
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(n, *order)
+    spark, low_bits = df.sparkSession, (1 << 33) - 1
+    path = shared_dir(spark, "adlake-rows")
+    (
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(F.col("_mid"), 33))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(low_bits)))
+        .select("*", F.shiftright("_mid", 33).alias("_part"), F.col("_mid").bitwiseAND(F.lit(low_bits)).alias("_pos"))
+        .drop("_mid")
+        .write.parquet(path)
     )
+    tagged = spark.read.schema(df.schema.add("_part", "long").add("_pos", "long")).parquet(path)
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by the partition count, safe to broadcast
     offsets = counts.select(
@@ -74,5 +79,5 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_no", par
     return (
         tagged.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1)
-        .drop("_mid", "_part", "_pos", "_off")
+        .drop("_part", "_pos", "_off")
     )

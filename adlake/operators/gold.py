@@ -37,15 +37,23 @@ SK, DK = surrogate_key_sql, date_key_sql
 MONEY_DEC = "DECIMAL(20,6)"  # exact sums of currency values (micros / 1e6)
 
 
-def dim_campaign(campaigns: DataFrame) -> DataFrame:
-    """GD-1: one row per campaign with its latest name, status and channel (by date)."""
+def dim_campaign(campaigns: DataFrame, conversions: DataFrame | None = None) -> DataFrame:
+    """GD-1: one row per campaign with its latest name, status and channel (by date).
+
+    A campaign that only conversions know is a row too (status and channel 'Unknown'), so that
+    the inner joins with this dimension lose none of its leads.
+    """
     attrs = ["campaign_name", "campaign_status", "campaign_advertising_channel_type"]
+    rows = campaigns.select("campaign_id", "segments_date", *attrs, F.lit(1).alias("own"))
+    if conversions is not None:
+        rows = rows.unionByName(conversions.select(
+            "campaign_id", "segments_date", "campaign_name", *[F.lit("Unknown").alias(a) for a in attrs[1:]], F.lit(0).alias("own")))
     # hash-aggregate to distinct attribute combinations first (fixed-width buffer,
     # map-side combine); only that small set goes through the sort-based max_by
-    combos = campaigns.groupBy(_nk("campaign_id").alias("campaign_id"), *attrs).agg(
+    combos = rows.groupBy(_nk("campaign_id").alias("campaign_id"), "own", *attrs).agg(
         F.max("segments_date").alias("segments_date")
     )
-    latest = F.max_by(F.struct(*attrs), F.struct("segments_date", *attrs))
+    latest = F.max_by(F.struct(*attrs), F.struct("own", "segments_date", *attrs))
     return (
         combos.groupBy("campaign_id")
         .agg(latest.alias("l"))
@@ -156,8 +164,8 @@ def dim_date(*dated: DataFrame) -> DataFrame:
     )
 
 
-def fact_campaign_perf(campaigns: DataFrame, conversions: DataFrame, how: str = "left") -> DataFrame:
-    """GD-9: campaign x day performance with that day's conversions.
+def fact_campaign_perf(campaigns: DataFrame, conversions: DataFrame) -> DataFrame:
+    """GD-9: campaign x day performance with that day's conversions, whichever side has the day.
 
     Both sides are first aggregated to the campaign x day grain (map-side
     partial aggregation, so a hot campaign is combined before the shuffle);
@@ -176,7 +184,7 @@ def fact_campaign_perf(campaigns: DataFrame, conversions: DataFrame, how: str =
         F.expr("sum(conversions) AS conversions"),
         F.expr(f"CAST(sum(CAST(conversions_value AS {MONEY_DEC})) AS DOUBLE) AS conversions_value"),
     )
-    j = perf.join(conv, ["campaign_id", "segments_date"], how)
+    j = perf.join(conv, ["campaign_id", "segments_date"], "full")
     return j.selectExpr(
         f"{SK('campaign_id')} AS campaign_pk",
         f"{DK('segments_date')} AS date_key",
@@ -240,7 +248,7 @@ def fact_campaign_network_perf(networks: DataFrame) -> DataFrame:
 
 
 GOLD_INPUTS = {
-    "dim_campaign": ("campaigns",),
+    "dim_campaign": ("campaigns", "conversions"),
     "dim_ad_group": ("keywords", "ads_data"),
     "dim_ad": ("ads_data",),
     "dim_keyword": ("keywords",),
@@ -259,7 +267,7 @@ GOLD_INPUTS = {
 def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
     s = silver
     builders = {
-        "dim_campaign": lambda: dim_campaign(s["campaigns"]),
+        "dim_campaign": lambda: dim_campaign(s["campaigns"], s["conversions"]),
         "dim_ad_group": lambda: dim_ad_group(s["keywords"], s["ads_data"]),
         "dim_ad": lambda: dim_ad(s["ads_data"]),
         "dim_keyword": lambda: dim_keyword(s["keywords"]),

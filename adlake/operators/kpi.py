@@ -253,13 +253,14 @@ def kpi_10_ad_type_dist(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def metric_roas(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
-    """MET-2: revenue / cost per campaign (both sides pre-aggregated per campaign, then joined)."""
+    """MET-2: revenue / cost per campaign of either side (both pre-aggregated per campaign, then joined)."""
     key = "coalesce(campaign_id, 'Unknown') AS campaign_id"
     cost = silver["campaigns"].selectExpr(key, "cost_inr").groupBy("campaign_id").agg(F.expr(f"{COST_DEC} AS cost"))
     rev = silver["conversions"].selectExpr(key, "conversions_value").groupBy("campaign_id").agg(
         F.expr("sum(CAST(conversions_value AS DECIMAL(20,6))) AS revenue"))
     names = gold["dim_campaign"].select("campaign_id", "campaign_name")
-    t = cost.join(rev, "campaign_id", "left").join(names, "campaign_id", "left")
+    t = cost.join(rev, "campaign_id", "full").join(names, "campaign_id", "left").withColumn(
+        "cost", F.expr("coalesce(cost, CAST(0 AS DECIMAL(30,6)))"))
     revenue = "coalesce(revenue, CAST(0 AS DECIMAL(30,6)))"
     return t.selectExpr(
         "campaign_id",
@@ -286,7 +287,3 @@ KPI_BUILDERS = {
 
 def kpi(name: str, gold: Mapping[str, DataFrame], **params) -> DataFrame:
     return KPI_BUILDERS[name](gold, **params)
-
-
-def build_kpis(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {n: kpi(n, gold) for n in KPI_NAMES}

@@ -18,12 +18,16 @@ from pyspark.sql import types as T
 from adlake.functions import metrics as m
 from adlake.functions.keys import with_row_index
 from adlake.operators.kpi import KPI_NAMES, KPI_TITLES
+from adlake.plans.catalog import readable
 
 # Fixed values of the report rules: table-size management, sample-size flags,
 # the healthy target bands of the benchmark sheet, and the "no data" marker.
 REPORT_MAX_ROWS = 15
 REPORT_TOP_N = 10
 COMPLETE_KPIS = ("kpi_1_summary", "kpi_6_monthly_trend")
+TRUNCATED_KPIS = tuple(n for n in KPI_NAMES if n not in COMPLETE_KPIS)
+TRUNCATION_NOTE = "*(Showing top {shown} of {total} total rows. Full data available in source system.)*"
+ERROR_LINE = "Error fetching data: {}"
 LIMITED_SAMPLE_BELOW = 3
 NO_DATA = "No data available for this KPI."
 BENCHMARK_BANDS = (
@@ -33,6 +37,18 @@ BENCHMARK_BANDS = (
     ("Lead Rate", "overall_lead_rate_pct", 8.0, 10.0, True),
 )
 CURRENCY_SYMBOL = "₹"
+# Best against worst: KPI, its label, metric, whether less is better.
+BEST_WORST = (
+    ("kpi_2_cpl_ranking", "campaign_name", "campaign_cpl", True),
+    ("kpi_2_cpl_ranking", "campaign_name", "lead_rate_pct", False),
+    ("kpi_3_top_keywords", "keyword_text", "ctr_percentage", False),
+    ("kpi_4_age_performance", "age_range", "cpl_inr", True),
+    ("kpi_5_gender_performance", "gender", "cpl_inr", True),
+    ("kpi_7_adgroup_efficiency", "ad_group_name", "ctr_pct", False),
+    ("kpi_7_adgroup_efficiency", "ad_group_name", "avg_cpc_inr", True),
+    ("kpi_8_network_performance", "network_name", "cvr_pct", False),
+    ("kpi_9_day_of_week", "day_name", "cpl_inr", True),
+)
 
 # Each KPI's own ordering, plus its key columns as tie-break (a total order).
 KPI_ORDER: dict[str, list[tuple[str, bool]]] = {
@@ -90,8 +106,8 @@ def account_totals(kpi1: DataFrame) -> DataFrame:
 def truncate_for_report(df: DataFrame, kpi: str, max_rows: int = REPORT_MAX_ROWS, top_n: int = REPORT_TOP_N) -> DataFrame:
     """Tables over ``max_rows`` rows keep their top ``top_n`` by the KPI's own order.
 
-    Adds ``total_rows`` (a scalar subquery: one count, no window) and
-    ``truncated``.  KPI 1 and KPI 6 always stay complete.
+    Adds ``total_rows`` (a scalar subquery: one count, no window), ``truncated`` and
+    the ``note`` that says so.  KPI 1 and KPI 6 always stay complete.
     """
     n = df.select(F.count(F.lit(1))).scalar()
     if kpi in COMPLETE_KPIS:
@@ -102,7 +118,9 @@ def truncate_for_report(df: DataFrame, kpi: str, max_rows: int = REPORT_MAX_ROWS
         top = df.orderBy(*_order_cols(kpi)).limit(top_n).filter(n > max_rows)
         out = small.unionByName(top)
         truncated = n > max_rows
-    return out.withColumn("total_rows", n).withColumn("truncated", truncated)
+    before, after = TRUNCATION_NOTE.format(shown=top_n, total="\n").split("\n")
+    note = F.when(truncated, F.concat(F.lit(before), n.cast("string"), F.lit(after)))
+    return out.withColumn("total_rows", n).withColumn("truncated", truncated).withColumn("note", note)
 
 
 # ---------------------------------------------------------------- RPT-1, RPT-5
@@ -238,6 +256,12 @@ def best_vs_worst(df: DataFrame, label: str, metric: str, lower_is_better: bool
     )
 
 
+def best_vs_worst_kpis(kpis: Mapping[str, DataFrame]) -> DataFrame:
+    """RPT-8 for every KPI with a label and a rate: one row per KPI and metric."""
+    return reduce(DataFrame.unionByName, [
+        best_vs_worst(kpis[k], label, metric, lower).select(F.lit(k).alias("kpi"), "*") for k, label, metric, lower in BEST_WORST])
+
+
 def by_status(kpi1: DataFrame) -> DataFrame:
     """RPT-9: KPI 1 rolled up per campaign status with weighted rates."""
     t = kpi1.groupBy("campaign_status").agg(
@@ -273,7 +297,9 @@ def currency_text(c: str | Column) -> Column:
 
 def currency(kpi1: DataFrame) -> DataFrame:
     return kpi1.select("campaign_name", "campaign_status", "total_cost_inr",
-                       currency_text("total_cost_inr").alias("total_cost_display"))
+                       currency_text("total_cost_inr").alias("total_cost_display"),
+                       currency_text("average_cpc").alias("average_cpc_display"),
+                       currency_text("average_cpl").alias("average_cpl_display"))
 
 
 # ---------------------------------------------------------------- RPT-2
@@ -317,15 +343,23 @@ def _order_slots_sql(df: DataFrame, kpi: str, width: int) -> list[str]:
     return out
 
 
-def markdown_lines(kpis: Mapping[str, DataFrame]) -> DataFrame:
+def markdown_lines(kpis: Mapping[str, DataFrame], errors: Mapping[str, str] | None = None) -> DataFrame:
     """RPT-2: every KPI table as markdown lines ``(kpi, line_no, line)``.
 
     Line 1 is the title; a non-empty table follows with a header and separator
     line, then one line per row in the KPI's order; an empty table gets the
-    "no data" marker.  All tables' rows are numbered by one distributed row
-    index over a shared sort key (KPI number, then the KPI's own order).
+    "no data" marker, a KPI in ``errors`` its error text.  All tables' rows are numbered by one
+    distributed row index over a shared sort key (KPI number, then the KPI's own
+    order); a KPI's lines count from its first row.
     """
     names = [n for n in KPI_NAMES if n in kpis]
+    spark = kpis[names[0]].sparkSession if names else SparkSession.getActiveSession()
+    failed = spark.createDataFrame(
+        [(k, n, line) for k, msg in (errors or {}).items()
+         for n, line in ((1, f"## {KPI_TITLES[k]}"), (2, ERROR_LINE.format(" ".join(msg.split()))))],
+        "kpi string, line_no long, line string")
+    if not names:
+        return failed
     width = max(len(KPI_ORDER[n]) for n in names)
     slot_names = [f"_o{i}" for i in range(3 * width)]
     bodies = []
@@ -338,12 +372,11 @@ def markdown_lines(kpis: Mapping[str, DataFrame]) -> DataFrame:
         bodies.append(df.selectExpr(f"{no} AS kpi_no", f"'{name}' AS kpi", f"{line} AS line",
                                     *[f"{v} AS {n}" for v, n in zip(slots, slot_names)]))
     body = reduce(DataFrame.unionByName, bodies)
-    numbered = with_row_index(body, [F.col("kpi_no")] + [F.col(n).asc() for n in slot_names], "_row", partitions=4)
+    numbered = with_row_index(body, [F.col("kpi_no")] + [F.col(n).asc() for n in slot_names], "_row")
     firsts = numbered.groupBy("kpi").agg(F.min("_row").alias("_first"))  # one row per KPI
     rows = numbered.join(F.broadcast(firsts), "kpi").select(
         "kpi", (F.col("_row") - F.col("_first") + 4).alias("line_no"), "line")
 
-    spark = body.sparkSession
     registry = spark.createDataFrame(
         [(n, f"## {KPI_TITLES[n]}", "| " + " | ".join(kpis[n].columns) + " |",
           "|" + "|".join([" --- "] * len(kpis[n].columns)) + "|") for n in names],
@@ -363,36 +396,34 @@ def markdown_lines(kpis: Mapping[str, DataFrame]) -> DataFrame:
             ))
         ).alias("h"),
     ).select("kpi", "h.line_no", "h.line")
-    return head.unionByName(rows)
+    return head.unionByName(rows).unionByName(failed) if errors else head.unionByName(rows)
 
 
 # ---------------------------------------------------------------- report registry
 
 
-def report(name: str, kpis: Mapping[str, DataFrame], **params) -> DataFrame:
+def report(name: str, kpis: Mapping[str, DataFrame], errors: Mapping[str, str] | None = None) -> DataFrame:
+    """One report table; ``errors`` has the KPIs that could not be read, with the cause."""
+    if name.startswith("truncated_"):
+        k = name.removeprefix("truncated_")
+        return truncate_for_report(kpis[k], k)
     builders = {
         "account_totals": lambda: account_totals(kpis["kpi_1_summary"]),
-        "truncated": lambda: truncate_for_report(kpis[params.get("kpi", "kpi_7_adgroup_efficiency")],
-                                                 params.get("kpi", "kpi_7_adgroup_efficiency")),
+        "truncated": lambda: truncate_for_report(kpis["kpi_7_adgroup_efficiency"], "kpi_7_adgroup_efficiency"),
         "sample_flags": lambda: sample_flags(kpis),
         "benchmark_bands": lambda: benchmark_bands(kpis["kpi_1_summary"]),
         "zero_conversion": lambda: zero_conversion(kpis["kpi_1_summary"]),
         "best_vs_worst": lambda: best_vs_worst(kpis["kpi_2_cpl_ranking"], "campaign_name", "campaign_cpl", True),
+        "best_vs_worst_kpis": lambda: best_vs_worst_kpis(kpis),
         "by_status": lambda: by_status(kpis["kpi_1_summary"]),
         "currency": lambda: currency(kpis["kpi_1_summary"]),
         "zero_conv_spend_share": lambda: zero_conversion_spend_share(kpis["kpi_1_summary"]),
-        "markdown": lambda: markdown_lines(kpis),
-        "pack": lambda: report_pack(kpis),
+        "markdown": lambda: markdown_lines(kpis, errors),
+        "pack": lambda: report_pack(kpis, errors),
     }
     return builders[name]()
 
 
 def kpi_frames_from_catalog(spark: SparkSession, db: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Read saved KPI tables; unreadable ones are reported, not fatal (RPT-1)."""
-    frames, errors = {}, {}
-    for name in KPI_NAMES:
-        try:
-            frames[name] = spark.table(f"{db}.{name}")
-        except Exception as e:  # noqa: BLE001 - recorded per table
-            errors[name] = str(e).splitlines()[0][:500]
-    return frames, errors
+    """Saved KPI tables that can be read whole; the others, missing or damaged, with their error (RPT-1)."""
+    return readable(spark, {n: f"{db}.{n}" for n in KPI_NAMES}, whole=True)

@@ -10,28 +10,33 @@ from pyspark.sql import functions as F
 from adlake.operators.clean import apply_spec
 from adlake.operators.layer import LazyLayer
 from adlake.operators.spec import SPECS, SPEC_BY_SILVER
-from adlake.plans.joins import lookup_join
 
-# Geo lookup: the ad platform's geo-target list is a bounded reference table (order of
-# 10^5 rows).  It is broadcast only after checking it stays under this bound.
-GEO_BROADCAST_MAX_ROWS = 500_000
+# Rows without a city share one empty key; they are dealt out over this many.
+EMPTY_CITY_SALTS = 64
 
 
-def enrich_geo(locations: DataFrame, geo: DataFrame, max_broadcast_rows: int = GEO_BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich_geo(locations: DataFrame, geo: DataFrame) -> DataFrame:
     """SV-14 / JN-1 / PRJ-9: locations LEFT JOIN geo constants on city_id = constant_id.
 
-    Every location row is kept; unmatched rows get null city attributes.  A
-    broadcast hash join leaves the (large, possibly city-skewed) fact side in
-    place; beyond the size bound a shuffle join with AQE skew splitting is used.
+    Every location row is kept once: of several constants with one id the smallest
+    (name, canonical name, country) stands; unmatched rows get null city attributes.
+    Whether the constants are broadcast is the planner's choice, by their bytes.  The
+    empty city, a key that very many rows can share, is salted on both sides; AQE
+    splits any other skewed city.
     """
+    attrs = ["city_name", "canonical_name", "country_code"]
     g = geo.select(
         F.col("constant_id"),
         F.col("name").alias("city_name"),
         F.col("canonical_name"),
         F.col("country_code"),
-    )
-    joined = lookup_join(locations, g, locations["city_id"] == g["constant_id"], "left", max_broadcast_rows)
-    return joined.select(*[locations[c] for c in locations.columns], "city_name", "canonical_name", "country_code")
+    ).groupBy("constant_id").agg(F.min(F.struct(*attrs)).alias("g")).select("constant_id", "g.*")
+    salts = F.transform(F.sequence(F.lit(0), F.lit(EMPTY_CITY_SALTS - 1)), lambda k: F.concat(F.lit("#"), k.cast("string")))
+    g = g.select(F.explode(F.when(F.col("constant_id") == "", salts).otherwise(F.array("constant_id"))).alias("_city"), *attrs)
+    salt = F.pmod(F.xxhash64(*[locations[c] for c in locations.columns]), F.lit(EMPTY_CITY_SALTS)).cast("string")
+    city = F.when(F.col("city_id") == "", F.concat(F.lit("#"), salt)).otherwise(F.col("city_id"))
+    joined = locations.withColumn("_city", city).join(g, "_city", "left")
+    return joined.select(*locations.columns, *attrs)
 
 
 def silver_table(name: str, bronze: Mapping[str, DataFrame]) -> DataFrame:
@@ -44,15 +49,12 @@ def silver_table(name: str, bronze: Mapping[str, DataFrame]) -> DataFrame:
     return df
 
 
-def build_silver(bronze: Mapping[str, DataFrame], only: list[str] | None = None) -> LazyLayer:
-    """Every silver table whose bronze input is present, each built on first access."""
-    names = []
-    for spec in SPECS:
-        if only is not None and spec.silver not in only:
-            continue
-        if spec.bronze not in bronze:
-            continue
-        if spec.silver == "locations" and "geo_target_constant" not in bronze:
-            continue
-        names.append(spec.silver)
+GEO_SILVER = "geo_constants"
+#: Bronze tables each silver table reads.
+SILVER_INPUTS = {s.silver: (s.bronze, SPEC_BY_SILVER[GEO_SILVER].bronze) if s.silver == "locations" else (s.bronze,) for s in SPECS}
+
+
+def build_silver(bronze: Mapping[str, DataFrame]) -> LazyLayer:
+    """Every silver table whose bronze inputs are present, each built on first access."""
+    names = [n for n, inputs in SILVER_INPUTS.items() if all(b in bronze for b in inputs)]
     return LazyLayer(lambda n: silver_table(n, bronze), names)

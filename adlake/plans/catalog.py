@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adlake.operators.layer import LazyLayer, prefetch
 
+MAX_CONCURRENT_WRITES = 8
 OUTCOME_SCHEMA = "table_name string, status string, error string"
 
 
@@ -34,7 +36,7 @@ def list_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """CAT-5: first n rows (n = 3 raw, 10 clean in the reference's notebooks)."""
+    """CAT-5: first n rows."""
     return df.limit(n)
 
 
@@ -54,26 +56,46 @@ def save_table(df: DataFrame, full_name: str, fmt: str = "parquet", partition_by
     w.saveAsTable(full_name)
 
 
-def save_layer(spark: SparkSession, db: str, frames: Mapping[str, DataFrame], fmt: str = "parquet",
-               partition_by: Mapping[str, list[str]] | None = None) -> DataFrame:
-    """SNK-3: save every table; one failure does not stop the others.
+def save_tables(db: str, frames: Mapping[str, DataFrame], names: Sequence[str], blocked: Mapping[str, str] | None = None,
+                fmt: str = "parquet", partition_by: Mapping[str, list[str]] | None = None,
+                workers: int = MAX_CONCURRENT_WRITES) -> list[tuple[str, str, str | None]]:
+    """SNK-3: one outcome (name, ``ok`` / ``error`` / ``skipped``, cause) for every planned table, in order.
 
-    Returns one outcome row per table (status ``ok`` / ``error``).  The driver
-    loop only issues writes; the data moves executor -> storage.
+    Tables in ``blocked`` are not attempted; the value is the cause.  The others are
+    written side by side; one failure does not stop them, and its whole text is kept.
     """
-    create_database(spark, db)
-    outcomes = []
-    for name in list(frames.keys()) if not hasattr(frames, "names") else frames.names():
+    blocked = blocked or {}
+
+    def save(name: str) -> tuple[str, str, str | None]:
+        if name in blocked:
+            return name, "skipped", blocked[name]
         try:
             save_table(frames[name], f"{db}.{name}", fmt, (partition_by or {}).get(name))
-            outcomes.append((name, "ok", None))
         except Exception as e:  # noqa: BLE001 - isolated per table and reported
-            outcomes.append((name, "error", str(e).splitlines()[0][:500]))
-    return spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
+            return name, "error", str(e)
+        return name, "ok", None
+
+    if not names:
+        return []
+    with ThreadPoolExecutor(max_workers=min(workers, len(names))) as pool:
+        return list(pool.map(save, names))
+
+
+def save_layer(spark: SparkSession, db: str, frames: Mapping[str, DataFrame], fmt: str = "parquet",
+               partition_by: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """SNK-3: save every table of ``frames``; one outcome row per table."""
+    create_database(spark, db)
+    names = list(frames.names()) if hasattr(frames, "names") else list(frames.keys())
+    return spark.createDataFrame(save_tables(db, frames, names, fmt=fmt, partition_by=partition_by), OUTCOME_SCHEMA)
+
+
+def columns_text(df: DataFrame) -> str:
+    """CAT-6 on one line: ``name type`` of every column."""
+    return ",".join(f"{name} {kind}" for name, kind in df.dtypes)
 
 
 def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__") -> DataFrame:
-    """CAT-4: row count and column list per table, plus a grand-total row.
+    """CAT-4: row count, column count and typed columns per table, plus a grand-total row.
 
     Each count is a distributed aggregate; the per-table rows are unioned and
     one ``rollup`` over that union adds the total, so every table is read once.
@@ -88,7 +110,7 @@ def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__"
                 F.lit(n).alias("table_name"),
                 "row_count",
                 F.lit(len(frames[n].columns)).alias("n_columns"),
-                F.lit(",".join(frames[n].columns)).alias("columns"),
+                F.lit(columns_text(frames[n])).alias("columns"),
             )
             for n in names
         ],
@@ -108,19 +130,48 @@ def audit_frames(frames: Mapping[str, DataFrame], total_label: str = "__total__"
     )
 
 
-def audit(spark: SparkSession, db: str) -> DataFrame:
-    """CAT-4 over saved tables; a table that cannot be read is reported, not fatal."""
-    frames, bad = {}, []
-    for t in list_tables(spark, db):
+def readable(spark: SparkSession, tables: Mapping[str, str], whole: bool = False) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Tables (name -> full name) that can be read, and the error text of the others.
+
+    A missing table fails when it is resolved, a damaged file only when it is read.  So all
+    are counted in one job, and only if that fails each one by itself (``whole``: reading every column).
+    """
+    frames, errors = {}, {}
+    for name, table in tables.items():
         try:
-            frames[t] = spark.table(f"{db}.{t}")
+            frames[name] = spark.table(table)
+            frames[name].schema  # noqa: B018 - resolves the table
+        except Exception as e:  # noqa: BLE001 - recorded per table
+            frames.pop(name, None)
+            errors[name] = str(e)
+
+    def read(df: DataFrame) -> None:
+        df.write.format("noop").mode("overwrite").save() if whole else df.count()
+
+    def attempt(name: str) -> tuple[str, str | None]:
+        try:
+            read(frames[name])
         except Exception as e:  # noqa: BLE001
-            bad.append((t, str(e).splitlines()[0][:500]))
-    out = audit_frames(frames) if frames else None
-    if bad:
-        errs = spark.createDataFrame(
-            [(t, None, None, f"ERROR: {msg}") for t, msg in bad],
-            "table_name string, row_count long, n_columns int, columns string",
-        )
-        out = errs if out is None else out.unionByName(errs)
-    return out
+            return name, str(e)
+        return name, None
+
+    together = bool(frames) and not whole
+    try:
+        if together:
+            reduce(DataFrame.union, [df.agg(F.count(F.lit(1))) for df in frames.values()]).collect()
+    except Exception:  # noqa: BLE001 - which one is found out table by table
+        together = False
+    if frames and not together:
+        with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(frames))) as pool:
+            failed = {name: e for name, e in pool.map(attempt, list(frames)) if e is not None}
+        errors |= failed
+        frames = {n: df for n, df in frames.items() if n not in failed}
+    return frames, errors
+
+
+def audit(spark: SparkSession, db: str) -> DataFrame:
+    """CAT-4 over saved tables; a table that cannot be read, now or while counting, is a row with its error."""
+    frames, bad = readable(spark, {t: f"{db}.{t}" for t in list_tables(spark, db)})
+    schema = "table_name string, row_count long, n_columns int, columns string"
+    errs = spark.createDataFrame([(t, None, None, f"ERROR: {e}") for t, e in sorted(bad.items())], schema)
+    return audit_frames(frames).unionByName(errs) if frames else errs

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Container, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.operators.gold import GOLD_INPUTS, build_gold
+from adlake.operators.gold import DIMS, FACTS, GOLD_INPUTS, build_gold
 from adlake.operators.kpi import KPI_INPUTS, KPI_NAMES, kpi, metric_roas
 from adlake.operators.layer import LazyLayer, prefetch
-from adlake.operators.report import kpi_frames_from_catalog, report, report_pack
-from adlake.operators.silver import build_silver
-from adlake.plans.catalog import save_layer
+from adlake.operators.report import BEST_WORST, TRUNCATED_KPIS, report
+from adlake.operators.silver import SILVER_INPUTS, build_silver
+from adlake.operators.spec import SILVER_TABLES
+from adlake.plans.catalog import create_database, save_tables
 from adlake.session import ensure_checkpoint_dir
 from adlake.sources.fixtures import BronzeFixtures
 
@@ -23,12 +23,15 @@ REPORT_INPUTS = {
     "account_totals": ("kpi_1_summary",), "benchmark_bands": ("kpi_1_summary",),
     "zero_conversion": ("kpi_1_summary",), "by_status": ("kpi_1_summary",), "currency": ("kpi_1_summary",),
     "zero_conv_spend_share": ("kpi_1_summary",), "best_vs_worst": ("kpi_2_cpl_ranking",),
+    "best_vs_worst_kpis": tuple(dict.fromkeys(k for k, *_ in BEST_WORST)),
     "truncated": ("kpi_7_adgroup_efficiency",),
+    **{f"truncated_{k}": (k,) for k in TRUNCATED_KPIS},
 }
-MAX_CONCURRENT_JOBS = 8
 
-REPORTS = ("account_totals", "truncated", "sample_flags", "benchmark_bands", "zero_conversion", "best_vs_worst",
-           "by_status", "currency", "zero_conv_spend_share", "markdown", "pack")
+MAX_CONCURRENT_JOBS = 8
+REPORTS = ("account_totals", "truncated", *[f"truncated_{k}" for k in TRUNCATED_KPIS], "sample_flags", "benchmark_bands",
+           "zero_conversion", "best_vs_worst", "best_vs_worst_kpis", "by_status", "currency", "zero_conv_spend_share",
+           "markdown", "pack")
 
 
 @dataclass
@@ -44,7 +47,6 @@ class Lakehouse:
     _gold: LazyLayer | None = field(default=None, init=False)
     _kpis: LazyLayer | None = field(default=None, init=False)
     _saved_kpis: LazyLayer | None = field(default=None, init=False)
-    _saved_gold: LazyLayer | None = field(default=None, init=False)
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Lakehouse":
@@ -69,23 +71,11 @@ class Lakehouse:
         return self._kpis
 
     def _build_kpi(self, name: str) -> DataFrame:
-        """Build one KPI plan; its gold (and their silver) inputs are built concurrently first.
-
-        Gold tables already checkpointed for a report are read from their files.
-        """
+        """Build one KPI plan; its gold (and their silver) inputs are built concurrently first."""
         inputs = KPI_INPUTS[name]
-        todo = [g for g in inputs if not (self._saved_gold is not None and dict.__contains__(self._saved_gold, g))]
-        prefetch(self.silver, sorted({s for g in todo for s in GOLD_INPUTS[g] if s in self.silver}))
-        prefetch(self.gold, todo)
-        gold = {g: (self._saved_gold[g] if g not in todo else self.gold[g]) for g in inputs}
-        return kpi(name, gold)
-
-    @property
-    def saved_gold(self) -> LazyLayer:
-        """Gold tables checkpointed once for reports that read them through several KPIs."""
-        if self._saved_gold is None:
-            self._saved_gold = LazyLayer(lambda n: self._checkpoint(self.gold[n]), self.gold.names())
-        return self._saved_gold
+        prefetch(self.silver, sorted({s for g in inputs for s in GOLD_INPUTS[g] if s in self.silver}))
+        prefetch(self.gold, list(inputs))
+        return kpi(name, self.gold)
 
     @property
     def saved_kpis(self) -> LazyLayer:
@@ -121,50 +111,62 @@ class Lakehouse:
                 self.saved_kpis[n]
             return
         # create the layer objects here; each worker then builds its KPI plan
-        # (shared tables are built once, under per-table locks) and runs the
-        # checkpoint job.  Gold tables read by several of these KPIs are
-        # checkpointed first (concurrently), so no KPI recomputes them.
+        # (shared tables are planned once, under per-table locks) and runs the
+        # checkpoint job.  Only the KPI tables, aggregates all, are checkpointed.
         _ = (self.silver, self.gold, self.kpis)
-        uses = Counter(g for n in todo for g in KPI_INPUTS[n])
-        prefetch(self.saved_gold, sorted(g for g, c in uses.items() if c > 1), MAX_CONCURRENT_JOBS)
         saved = self.saved_kpis
         with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(todo))) as pool:
             list(pool.map(lambda n: saved[n], todo))
 
-    def report(self, name: str, **params) -> DataFrame:
+    def report(self, name: str) -> DataFrame:
         self.materialize_kpis(REPORT_INPUTS.get(name, KPI_NAMES))
-        return report(name, self.saved_kpis, **params)
+        return report(name, self.saved_kpis)
+
+
+def _missing(inputs: Iterable[str], have: Container[str], what: str) -> str | None:
+    """The cause for which a table cannot be built, or None."""
+    gone = [n for n in inputs if n not in have]
+    return f"needs {what} {', '.join(gone)}" if gone else None
 
 
 def run(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_db: str = "adlake_silver",
-        gold_db: str = "adlake_gold", analytics_db: str = "adlake_analytics", fmt: str = "parquet") -> DataFrame:
+        gold_db: str = "adlake_gold", analytics_db: str = "adlake_analytics", fmt: str = "parquet",
+        partition_by: Mapping[str, list[str]] | None = None) -> DataFrame:
     """Materialize every layer as tables; each layer reads the previous one's files.
 
     Writing a layer cuts the lineage (a lost executor re-reads files instead of
-    recomputing from bronze).  The report tables (``report_<name>``) are built
-    from the written KPI tables and saved next to them.  Per-table failures are collected, not raised
-    mid-way; the union of all outcomes is returned.
+    recomputing from bronze).  A layer reads only tables that *this* run saved: a
+    table whose input failed or is missing is ``skipped`` with the cause, and a
+    table left by an earlier run is never used.  Every planned table has one outcome row
+    (database, table, status, error).  ``partition_by`` names partition columns by table.
     """
-    outcomes = []
-    silver = build_silver(bronze)
-    outcomes.append(save_layer(spark, silver_db, silver, fmt))
-    saved_silver = {n: spark.table(f"{silver_db}.{n}") for n in silver.names() if spark.catalog.tableExists(f"{silver_db}.{n}")}
-    gold = build_gold(saved_silver)
-    outcomes.append(save_layer(spark, gold_db, gold, fmt))
-    saved_gold = {n: spark.table(f"{gold_db}.{n}") for n in gold.names() if spark.catalog.tableExists(f"{gold_db}.{n}")}
-    kpis = LazyLayer(lambda n: kpi(n, saved_gold), KPI_NAMES)
-    outcomes.append(save_layer(spark, analytics_db, kpis, fmt))
-    # report tables read the written KPI tables; an unreadable one is recorded by the pack
-    saved_kpis, errors = kpi_frames_from_catalog(spark, analytics_db)
+    outcomes: list[tuple[str, str, str, str | None]] = []
+
+    def save(db: str, frames: Mapping[str, DataFrame], names: Sequence[str], why) -> dict[str, DataFrame]:
+        create_database(spark, db)
+        blocked = {n: cause for n in names if (cause := why(n)) is not None}
+        got = save_tables(db, frames, names, blocked, fmt, partition_by)
+        outcomes.extend((db, *o) for o in got)
+        return {n: spark.table(f"{db}.{n}") for n, status, _ in got if status == "ok"}
+
+    present = build_silver(bronze)
+    silver = save(silver_db, present, SILVER_TABLES, lambda n: _missing(SILVER_INPUTS[n], bronze, "bronze"))
+    gold = save(gold_db, build_gold(silver), [*DIMS, *FACTS], lambda n: _missing(GOLD_INPUTS[n], silver, "silver"))
+    kpis = save(analytics_db, LazyLayer(lambda n: kpi(n, gold), KPI_NAMES), KPI_NAMES, lambda n: _missing(KPI_INPUTS[n], gold, "gold"))
+    status = {t: (s, e) for db, t, s, e in outcomes if db == analytics_db}
+    errors = {n: f"{status[n][0]}: {status[n][1]}" for n in KPI_NAMES if n not in kpis}
 
     def build_report(table: str) -> DataFrame:
+        return report(table.removeprefix("report_"), kpis, errors)
+
+    def why_not(table: str) -> str | None:
         name = table.removeprefix("report_")
-        return report_pack(saved_kpis, errors) if name == "pack" else report(name, saved_kpis)
-
-    buildable = [r for r in REPORTS if r == "pack" or all(k in saved_kpis for k in REPORT_INPUTS.get(r, KPI_NAMES))]
-    reports = LazyLayer(build_report, [f"report_{r}" for r in buildable])
-    outcomes.append(save_layer(spark, analytics_db, reports, fmt))
-    out = outcomes[0]
-    for o in outcomes[1:]:
-        out = out.unionByName(o)
-    return out
+        if name in ("pack", "markdown"):  # these say which KPI failed
+            return None
+        if name == "sample_flags":
+            return None if kpis else "needs a KPI table"
+        return _missing(REPORT_INPUTS.get(name, KPI_NAMES), kpis, "KPI")
+
+    tables = [f"report_{r}" for r in REPORTS]
+    save(analytics_db, LazyLayer(build_report, tables), tables, why_not)
+    return spark.createDataFrame(outcomes, "db string, table_name string, status string, error string")

@@ -55,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set one only when the session has none.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder;
-    it is never replaced here.  Only an unset session (tests) gets a scratch one.
+    it is never replaced here.  Only an unset local session (tests) gets a scratch
+    one; an unset cluster session is an error, as its executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"adlake-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

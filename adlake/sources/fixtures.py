@@ -54,6 +54,9 @@ class Dialect:
         """Day of week, 1 = Sunday ... 7 = Saturday."""
         return f"dayofweek({expr})" if self.name == "spark" else f"(dayofweek({expr}) + 1)"
 
+    def add_days(self, date: str, n: str) -> str:
+        return f"date_add({date}, CAST({n} AS INT))" if self.name == "spark" else f"({date} + CAST({n} AS INTEGER))"
+
     def finish(self, sql: str) -> str:
         return sql if self.name == "spark" else sql.replace("`", '"')
 
@@ -85,7 +88,7 @@ def _events(d: Dialect) -> str:
       CASE user_id % 3 WHEN 0 THEN 'ENABLED' WHEN 1 THEN 'PAUSED' ELSE 'REMOVED' END AS status,
       CASE user_id % 4 WHEN 0 THEN 'SEARCH' WHEN 1 THEN 'DISPLAY' WHEN 2 THEN 'VIDEO'
         ELSE 'PERFORMANCE_MAX' END AS channel,
-      CAST(ts AS DATE) AS d,
+      {d.add_days('CAST(ts AS DATE)', 'event_id % 4 * 120')} AS d,
       CAST(hour(ts) AS INT) AS hr,
       event_id % 5 AS imp,
       CAST(CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS BIGINT) AS clk,
@@ -194,11 +197,14 @@ def f03_search_term_analysis(d: Dialect) -> str:
 
 
 def f04_conversion_performance(d: Dialect) -> str:
+    """Conversions follow their click by up to twelve days, and those of campaign 5 are booked on a campaign without cost:
+    there are conversions without a campaign row, by day and by campaign, and a campaign without conversions."""
+    offline = "CASE cid WHEN '5' THEN {0} ELSE {1} END"
     return f"""WITH ev AS ({_events(d)})
     SELECT
-      d AS `segments.date`,
-      cid AS `campaign.id`,
-      {_ns('cname', 1)} AS `campaign.name`,
+      {d.add_days('d', 'event_id % 7 * 2')} AS `segments.date`,
+      {offline.format("'900'", 'cid')} AS `campaign.id`,
+      {_ns(offline.format("'Offline import'", 'cname'), 1)} AS `campaign.name`,
       {_ns("'customers/1/conversionActions/' || CAST(event_id % 3 AS STRING)", 2)} AS `segments.conversion_action`,
       {_ns("CASE event_id % 3 WHEN 0 THEN 'Lead form' WHEN 1 THEN 'Phone call' ELSE 'Enrollment' END", 3)}
         AS `segments.conversion_action_name`,
@@ -337,14 +343,16 @@ def f12_call_lead_generation(d: Dialect) -> str:
 
 
 def f13_geo_target_constant(d: Dialect) -> str:
+    copies = " UNION ALL ".join(f"SELECT c_custkey, c_nationkey, {k} AS copy FROM {d.t('customer')} WHERE c_custkey % {m} = 0"
+                                for k, m in ((0, 1), (1, 10), (2, 30)))
     return f"""SELECT
       CAST(c.c_custkey AS STRING) AS `geo_target_constant.id`,
-      {_ns("'City ' || CAST(c.c_custkey AS STRING)", 1, 'c.c_custkey', 23)} AS `geo_target_constant.name`,
+      {_ns("'City ' || CAST(c.c_custkey AS STRING) || substr(' (old)', 1, 6 * c.copy)", 1, 'c.c_custkey', 23)} AS `geo_target_constant.name`,
       {_ns("'City ' || CAST(c.c_custkey AS STRING) || ', ' || n.n_name || ', ' || r.r_name", 2, 'c.c_custkey', 23)}
         AS `geo_target_constant.canonical_name`,
       {_ns('substr(r.r_name, 1, 2)', 3, 'c.c_custkey', 23)} AS `geo_target_constant.country_code`,
       {_ns("'City'", 4, 'c.c_custkey', 23)} AS `geo_target_constant.target_type`
-    FROM {d.t('customer')} c
+    FROM ({copies}) c
     JOIN {d.t('nation')} n ON n.n_nationkey = c.c_nationkey
     JOIN {d.t('region')} r ON r.r_regionkey = n.n_regionkey"""
 
@@ -355,7 +363,7 @@ def f14_geographic_performance(d: Dialect) -> str:
     SELECT
       d AS `segments.date`,
       cid AS `campaign.id`,
-      {_ns(city, 1)} AS `segments.geo_target_city`,
+      {_ns(city, 1, mod=3)} AS `segments.geo_target_city`,
       {_ns("CASE event_id % 2 WHEN 0 THEN 'AREA_OF_INTEREST' ELSE 'LOCATION_OF_PRESENCE' END", 2)}
         AS `geographic_view.location_type`,
       {_nn('imp', 1)} AS `metrics.impressions`,

@@ -282,7 +282,10 @@ SILVER: dict[str, tuple[str, list[str], list[str], str]] = {
 }
 
 LOCATIONS = """SELECT l.*, g.name AS city_name, g.canonical_name, g.country_code
-FROM s_locations_base l LEFT JOIN s_geo_constants g ON l.city_id = g.constant_id"""
+FROM s_locations_base l LEFT JOIN (
+  SELECT * FROM s_geo_constants
+  QUALIFY row_number() OVER (PARTITION BY constant_id ORDER BY name, canonical_name, country_code) = 1) g
+ON l.city_id = g.constant_id"""
 
 
 def SK(*cols: str) -> str:
@@ -302,9 +305,12 @@ GOLD: dict[str, tuple[str, list[str]]] = {
         FROM (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id,
           arg_max({{'campaign_name': campaign_name, 'campaign_status': campaign_status,
                     'campaign_advertising_channel_type': campaign_advertising_channel_type}},
-                  {{'d': segments_date, 'n': campaign_name, 's': campaign_status,
+                  {{'own': own, 'd': segments_date, 'n': campaign_name, 's': campaign_status,
                     'c': campaign_advertising_channel_type}}) AS l
-          FROM s_campaigns GROUP BY 1)""", ["s_campaigns"]),
+          FROM (SELECT campaign_id, segments_date, campaign_name, campaign_status, campaign_advertising_channel_type, 1 AS own
+                FROM s_campaigns
+                UNION ALL SELECT campaign_id, segments_date, campaign_name, 'Unknown', 'Unknown', 0 FROM s_conversions)
+          GROUP BY 1)""", ["s_campaigns", "s_conversions"]),
     "dim_ad_group": (f"""SELECT {SK('ad_group_id')} AS ad_group_pk, ad_group_id, l.n AS ad_group_name,
           l.c AS campaign_id, {SK('l.c')} AS campaign_pk
         FROM (SELECT ad_group_id, arg_max({{'n': ad_group_name, 'c': campaign_id}},
@@ -338,8 +344,8 @@ GOLD: dict[str, tuple[str, list[str]]] = {
                 SELECT segments_date FROM s_campaigns UNION ALL SELECT segments_date FROM s_conversions)
               WHERE segments_date IS NOT NULL)""",
                  ["s_campaigns", "s_conversions"]),
-    "fact_campaign_perf": (f"""SELECT {SK('p.campaign_id')} AS campaign_pk, {DK('p.segments_date')} AS date_key,
-          p.campaign_id, p.segments_date,
+    "fact_campaign_perf": (f"""SELECT {SK('campaign_id')} AS campaign_pk, {DK('segments_date')} AS date_key,
+          campaign_id, segments_date,
           coalesce(p.impressions, 0) AS impressions, coalesce(p.clicks, 0) AS clicks,
           coalesce(p.cost_inr, 0.0) AS cost_inr, coalesce(c.conversions, 0.0) AS conversions,
           coalesce(c.conversions_value, 0.0) AS conversions_value
@@ -348,11 +354,11 @@ GOLD: dict[str, tuple[str, list[str]]] = {
                      CAST(sum(metrics_clicks) AS BIGINT) AS clicks,
                      CAST(sum(CAST(cost_inr AS {DEC})) AS DOUBLE) AS cost_inr
               FROM s_campaigns GROUP BY 1, 2) p
-        LEFT JOIN (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id, segments_date,
+        FULL JOIN (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id, segments_date,
                      sum(conversions) AS conversions,
                      CAST(sum(CAST(conversions_value AS {DEC})) AS DOUBLE) AS conversions_value
               FROM s_conversions GROUP BY 1, 2) c
-        ON p.campaign_id = c.campaign_id AND p.segments_date = c.segments_date""", ["s_campaigns", "s_conversions"]),
+        USING (campaign_id, segments_date)""", ["s_campaigns", "s_conversions"]),
     "fact_keyword_perf": (f"""SELECT {SK('keyword', 'keyword_match_type')} AS keyword_pk,
           {SK('ad_group_id')} AS ad_group_pk, {SK('campaign_id')} AS campaign_pk, {DK('segments_date')} AS date_key,
           metrics_impressions AS impressions, metrics_clicks AS clicks, cost_inr, quality_score
@@ -459,15 +465,16 @@ for _k, (_sql, _deps) in list(KPI.items()):
     if _sql.startswith("AUDIENCE:"):
         KPI[_k] = (_audience(_sql), _deps)
 
-ROAS = (f"""SELECT c.campaign_id, n.campaign_name, CAST(round(c.cost, 2) AS DOUBLE) AS total_cost_inr,
+ROAS = (f"""SELECT campaign_id, n.campaign_name, CAST(round(coalesce(c.cost, 0), 2) AS DOUBLE) AS total_cost_inr,
       CAST(round(coalesce(r.rev, 0), 2) AS DOUBLE) AS total_conversions_value,
-      {SR('CAST(coalesce(r.rev, 0) AS DOUBLE) / NULLIF(CAST(c.cost AS DOUBLE), 0)')} AS roas
+      {SR('CAST(coalesce(r.rev, 0) AS DOUBLE) / NULLIF(CAST(coalesce(c.cost, 0) AS DOUBLE), 0)')} AS roas
     FROM (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id, sum(CAST(cost_inr AS {DEC})) AS cost
           FROM s_campaigns GROUP BY 1) c
-    LEFT JOIN (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id, sum(CAST(conversions_value AS {DEC})) AS rev
-          FROM s_conversions GROUP BY 1) r ON c.campaign_id = r.campaign_id
-    LEFT JOIN g_dim_campaign n ON c.campaign_id = n.campaign_id""", ["s_campaigns", "s_conversions", "g_dim_campaign"])
+    FULL JOIN (SELECT coalesce(campaign_id, 'Unknown') AS campaign_id, sum(CAST(conversions_value AS {DEC})) AS rev
+          FROM s_conversions GROUP BY 1) r USING (campaign_id)
+    LEFT JOIN g_dim_campaign n USING (campaign_id)""", ["s_campaigns", "s_conversions", "g_dim_campaign"])
 
+# The report's titles.
 KPI_TITLES = {
     "kpi_1_summary": "KPI 1: High-Level Performance Summary",
     "kpi_2_cpl_ranking": "KPI 2: Campaign Performance Ranking by CPL",
@@ -510,6 +517,28 @@ BANDS = "(VALUES ('CTR', 6.5, 8.0, true), ('CPC', 45.0, 65.0, false), ('CPL', 10
 
 ALL_KPIS = [f"k_{k}" for k in KPI_LIST]
 
+def _money(c: str) -> str:
+    return f"'₹' || format('{{:,}}', CAST(round({c}) AS BIGINT))"
+
+
+def _best_worst(k: str, label: str, metric: str, less: bool) -> str:
+    lo, hi = (f"arg_min({label}, {{'v': {metric}, 'n': {label}}})", f"min({metric})"), (
+        f"arg_max({label}, {{'v': {metric}, 'n': {label}}})", f"max({metric})")
+    best, worst = (lo, hi) if less else (hi, lo)
+    return f"""SELECT '{k}' AS kpi, '{metric}' AS metric, count(*) AS entries, {best[0]} AS best, {best[1]} AS best_value,
+          {worst[0]} AS worst, {worst[1]} AS worst_value,
+          {SR(f"abs({worst[1]} - {best[1]}) / NULLIF({worst[1]}, 0) * 100")} AS gap_pct
+        FROM k_{k} WHERE {metric} IS NOT NULL"""
+
+
+BEST_WORST = [
+    ("kpi_2_cpl_ranking", "campaign_name", "campaign_cpl", True), ("kpi_2_cpl_ranking", "campaign_name", "lead_rate_pct", False),
+    ("kpi_3_top_keywords", "keyword_text", "ctr_percentage", False), ("kpi_4_age_performance", "age_range", "cpl_inr", True),
+    ("kpi_5_gender_performance", "gender", "cpl_inr", True), ("kpi_7_adgroup_efficiency", "ad_group_name", "ctr_pct", False),
+    ("kpi_7_adgroup_efficiency", "ad_group_name", "avg_cpc_inr", True), ("kpi_8_network_performance", "network_name", "cvr_pct", False),
+    ("kpi_9_day_of_week", "day_name", "cpl_inr", True),
+]
+
 REPORTS: dict[str, tuple[str, list[str]]] = {
     "report_account_totals": (_acct("campaigns,"), [K1]),
     "report_by_status": (_acct("campaign_status, campaigns,", "campaign_status"), [K1]),
@@ -522,7 +551,8 @@ REPORTS: dict[str, tuple[str, list[str]]] = {
                        AS zs,
                      {SPEND} AS ts FROM {K1})""", [K1]),
     "report_currency": (f"""SELECT campaign_name, campaign_status, total_cost_inr,
-          '₹' || format('{{:,}}', CAST(round(total_cost_inr) AS BIGINT)) AS total_cost_display FROM {K1}""", [K1]),
+          {_money('total_cost_inr')} AS total_cost_display, {_money('average_cpc')} AS average_cpc_display,
+          {_money('average_cpl')} AS average_cpl_display FROM {K1}""", [K1]),
     "report_benchmark_bands": (f"""SELECT m.campaign_name, m.campaign_status, m.metric, m.value, b.band_low,
           b.band_high, b.higher_is_better,
           CASE WHEN m.value IS NULL THEN NULL WHEN m.value < b.band_low THEN 'below'
@@ -545,11 +575,7 @@ REPORTS: dict[str, tuple[str, list[str]]] = {
         FROM ({_row_counts()})""", ALL_KPIS),
     "report_pack": (f"""SELECT kpi_no, kpi, title, CASE WHEN row_count = 0 THEN 'empty' ELSE 'ok' END AS status,
           row_count, CAST(NULL AS VARCHAR) AS error FROM ({_row_counts()})""", ALL_KPIS),
-    "report_truncated": (f"""SELECT t.*, n.total_rows, n.total_rows > 15 AS truncated
-        FROM (SELECT * FROM k_kpi_7_adgroup_efficiency
-              QUALIFY (SELECT count(*) FROM k_kpi_7_adgroup_efficiency) <= 15
-                   OR row_number() OVER (ORDER BY ctr_pct DESC NULLS LAST, ad_group_name, campaign_name) <= 10) t,
-             (SELECT count(*) AS total_rows FROM k_kpi_7_adgroup_efficiency) n""", ["k_kpi_7_adgroup_efficiency"]),
+    "report_best_vs_worst_kpis": (" UNION ALL ".join(_best_worst(*b) for b in BEST_WORST), sorted({f"k_{b[0]}" for b in BEST_WORST})),
 }
 
 MARKDOWN_ORDER = {
@@ -587,6 +613,21 @@ KPI_COLUMNS = {
 }
 
 
+def _truncated(k: str) -> str:
+    return f"""SELECT t.*, n.total_rows, n.total_rows > 15 AS truncated,
+          CASE WHEN n.total_rows > 15 THEN '*(Showing top 10 of ' || n.total_rows || ' total rows. Full data available in source system.)*'
+          END AS note
+        FROM (SELECT * FROM k_{k}
+              QUALIFY (SELECT count(*) FROM k_{k}) <= 15 OR row_number() OVER (ORDER BY {MARKDOWN_ORDER[k]}) <= 10) t,
+             (SELECT count(*) AS total_rows FROM k_{k}) n"""
+
+
+for _k in KPI_LIST:
+    if _k not in ("kpi_1_summary", "kpi_6_monthly_trend"):
+        REPORTS[f"report_truncated_{_k}"] = (_truncated(_k), [f"k_{_k}"])
+REPORTS["report_truncated"] = REPORTS["report_truncated_kpi_7_adgroup_efficiency"]
+
+
 def _markdown() -> str:
     parts = []
     for k in KPI_LIST:
@@ -659,13 +700,25 @@ def oracle_queries() -> dict[str, str]:
     for r, (sql, deps) in REPORTS.items():
         q[r] = with_ctes(sql, deps)
     silver_names = [s for s in SILVER if s != "locations_base"] + ["locations"]
+    kinds = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END"
     audit_rows = " UNION ALL ".join(
-        f"SELECT '{s}' AS table_name, count(*) AS row_count FROM s_{s}" for s in silver_names
+        f"""SELECT '{s}' AS table_name, (SELECT count(*) FROM s_{s}) AS row_count, CAST(count(*) AS INTEGER) AS n_columns,
+              string_agg(column_name || ' ' || {kinds}, ',') AS columns FROM (DESCRIBE SELECT * FROM s_{s})""" for s in silver_names
     )
     q["audit_silver"] = with_ctes(
-        f"""SELECT table_name, row_count FROM ({audit_rows})
-        UNION ALL SELECT '__total__', CAST(sum(row_count) AS BIGINT) FROM ({audit_rows})""",
+        f"""SELECT * FROM ({audit_rows}) UNION ALL SELECT '__total__', CAST(sum(row_count) AS BIGINT), NULL,
+            CAST(count(*) AS VARCHAR) FROM ({audit_rows})""",
         [f"s_{s}" for s in silver_names],
     )
+    saved = {"bronze": ["b_core_campaign_performance", "b_conversion_performance", "b_network_performance"],
+             "silver": ["s_campaigns", "s_conversions", "s_networks"],
+             "gold": ["g_dim_campaign", "g_dim_date", "g_dim_network", "g_fact_campaign_network_perf", "g_fact_campaign_perf"]}
+    q["saved_tables"] = with_ctes(" UNION ALL ".join(
+        f"""SELECT '{layer}' AS layer, '{t[2:]}' AS table_name, count(*) AS row_count, least(3, count(*)) AS preview_rows FROM {t}"""
+        for layer, tables in saved.items() for t in tables), [t for tables in saved.values() for t in tables])
+    q["saved_kpi_1_summary"] = q["kpi_1_summary"]
+    q["saved_columns"] = with_ctes(" UNION ALL ".join(
+        f"""SELECT '{t[2:]}' AS table_name, row_number() OVER () AS position, column_name, {kinds} AS column_type
+            FROM (DESCRIBE SELECT * FROM {t})""" for t in saved["silver"]), saved["silver"])
     q["bronze_csv_roundtrip"] = with_ctes("SELECT * FROM b_core_campaign_performance", ["b_core_campaign_performance"])
     return q

@@ -38,13 +38,46 @@ def test_fact_keys_exist_in_dims(lake):
 
 def test_fact_campaign_perf_preserves_totals(lake):
     s, f = lake.silver, lake.gold["fact_campaign_perf"]
-    assert f.count() == s["campaigns"].select("campaign_id", "segments_date").distinct().count()
+    days = [s[t].select("campaign_id", "segments_date") for t in ("campaigns", "conversions")]
+    assert f.count() == days[0].union(days[1]).distinct().count() > days[0].distinct().count()
     a = s["campaigns"].agg(F.sum("metrics_clicks")).first()[0]
     assert f.agg(F.sum("clicks")).first()[0] == a
-    # conversions on days with a campaign row are all kept, none duplicated
-    conv = s["conversions"].join(s["campaigns"].select("campaign_id", "segments_date").distinct(),
-                                 ["campaign_id", "segments_date"]).agg(F.sum("conversions")).first()[0]
-    assert f.agg(F.sum("conversions")).first()[0] == conv
+    # conversions are all kept, also on days and for campaigns without a campaign row, none duplicated
+    conv = s["conversions"].agg(F.sum("conversions")).first()[0]
+    assert f.agg(F.sum("conversions")).first()[0] == conv > 0
+    for k, leads in (("kpi_1_summary", "total_leads"), ("kpi_6_monthly_trend", "monthly_leads"), ("kpi_9_day_of_week", "total_leads")):
+        assert lake.kpis[k].agg(F.sum(leads)).first()[0] == conv, k
+    revenue = s["conversions"].agg(F.sum("conversions_value")).first()[0]
+    assert abs(lake.roas().agg(F.sum("total_conversions_value")).first()[0] - revenue) < 0.5
+
+
+def test_branches_of_the_kpis_have_rows_on_both_sides(lake):
+    """HAVING drops a campaign, a campaign has no conversion, there are months of two years."""
+    one, two = lake.kpis["kpi_1_summary"], lake.kpis["kpi_2_cpl_ranking"]
+    assert one.count() > two.count() > 0
+    assert 0 < one.filter("total_impressions > 0 AND total_leads = 0").count() < one.count()
+    months = lake.kpis["kpi_6_monthly_trend"].collect()
+    assert len({r.year for r in months}) == 2 and len(months) > 5
+
+
+@pytest.mark.parametrize("name", list(K.KPI_NAMES))
+def test_kpi_order(lake, name):
+    """SRT-1, SRT-2: the rows come in the KPI's own order (nulls last where it falls, first where it rises)."""
+    from adlake.operators.report import KPI_ORDER
+
+    rows = [r.asDict() for r in lake.kpis[name].collect()]
+
+    def before(a, b):
+        for c, desc in KPI_ORDER[name]:
+            x, y = a[c], b[c]
+            if x == y:
+                continue
+            if x is None or y is None:
+                return (x is None) != desc
+            return x > y if desc else x < y
+        return True
+
+    assert len(rows) > 1 and all(before(a, b) for a, b in zip(rows, rows[1:]))
 
 
 def test_dim_campaign_latest_row(spark):
