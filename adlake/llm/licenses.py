@@ -5,8 +5,8 @@ lower-case words of ASCII letters and digits; its set of word bigrams has n memb
 Dice = 2 common / (n + b).  Two bounds prune without loss at a least value t:
 
 * sizes: Dice can reach t only for t b / (2 - t) <= n <= (2 - t) b / t; other templates are not compared;
-* pivots: Dice >= t needs more than t / (2 - t) of a template's bigrams, so that a unit without any of the words
-  that more than the rest of its bigrams hold cannot reach it.  Texts without a pivot word are not cut into units.
+* pivots: Dice >= t needs t / (2 - t) of a template's bigrams, so that a unit without any of the words that more than
+  the rest of its bigrams hold cannot reach it.  Texts without a pivot word are not cut into units.
 
 Defined results: null and empty texts, and texts of fewer than two words, have no licence; of several templates
 the highest Dice wins, then the first name; repeated rows give repeated results; other columns play no part.
@@ -59,9 +59,6 @@ TEMPLATES: list[tuple[str, str]] = [
      "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 ]
 
-#: Words one of which a unit must have to be near any template (proved for given templates by ``pivots``).
-PIVOTS = ("license", "licensed", "software", "copyright", "source", "mpl")
-
 
 def bigrams(text: str) -> list[str]:
     """The set of word bigrams of a template, sorted."""
@@ -69,11 +66,27 @@ def bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def pivots(templates: list[list[str]], words: tuple[str, ...], threshold: float) -> tuple[str, ...]:
-    """``words`` if they prune without loss for these templates, else nothing: then no text is passed over."""
-    need = 1 - threshold / (2 - threshold)
-    sure = all(sum(1 for g in grams if set(g.split()) & set(words)) > need * len(grams) for grams in templates)
-    return words if sure else ()
+def sizes(b: int, threshold: float) -> tuple[int, int]:
+    """Least and greatest number of bigrams with which a unit can reach the threshold against b; also, the least
+    number of bigrams it then shares.  Reckoned as Dice is, so that rounding loses no unit at the threshold."""
+    low = next(n for n in range(1, b + 1) if 2 * n / (n + b) >= threshold)
+    high = b
+    while 2 * b / (high + 1 + b) >= threshold:
+        high += 1
+    return low, high
+
+
+def pivots(templates: list[list[str]], threshold: float) -> list[str]:
+    """Words one of which a unit must have to be near any template: of each template its longest words, until more of
+    its bigrams have one of them than a near unit can lack."""
+    chosen: set[str] = set()
+    for grams in templates:
+        lack = len(grams) - sizes(len(grams), threshold)[0]
+        for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+            if sum(1 for g in grams if not chosen.isdisjoint(g.split())) > lack:
+                break
+            chosen.add(w)
+    return sorted(chosen)
 
 
 def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]] | None = None,
@@ -82,21 +95,20 @@ def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     named = [(name, grams) for name, text in sorted(templates or TEMPLATES) if (grams := bigrams(text))]
-    sure = pivots([g for _, g in named], PIVOTS, threshold)
+    some = "|".join(pivots([g for _, g in named], threshold))
     text = f"cast(`{text_col}` AS string)"
     lines = rf"split({text}, '\n', -1)"
     units = f"CASE WHEN size({lines}) > 1 THEN concat({lines}, array({text})) ELSE {lines} END"
-    if sure:
-        units = f"CASE WHEN {text} rlike '(?i)(?<![a-z0-9])(?:{'|'.join(sure)})(?![a-z0-9])' THEN {units} END"
+    units = f"CASE WHEN {text} rlike '(?i)(?<![a-z0-9])(?:{some})(?![a-z0-9])' THEN {units} END"
     words = "transform(units, u -> filter(split(lower(regexp_replace(u, '[^A-Za-z0-9]+', ' ')), ' '), w -> w <> ''))"
     grams = """transform(filter(unit_words, w -> size(w) > 1), w -> array_distinct(
         transform(sequence(0, size(w) - 2), i -> concat(w[i], ' ', w[i + 1]))))"""
     # a template is compared only with units of a size that can reach the threshold
     compared = []
     for name, b in named:
-        low, high = threshold * len(b) / (2 - threshold), (2 - threshold) * len(b) / threshold
+        low, high = sizes(len(b), threshold)
         own = "split('" + ",".join(b) + "', ',')"
-        compared.append(f"""CASE WHEN size(g) BETWEEN {low!r}D AND {high!r}D THEN struct(
+        compared.append(f"""CASE WHEN size(g) BETWEEN {low} AND {high} THEN struct(
             cast(2 * size(array_intersect(g, {own})) AS double) / (size(g) + {len(b)}) AS dice, '{name}' AS license) END""")
     best = f"""filter(transform(unit_grams, g -> array_max(transform(filter(array({', '.join(compared)}), m -> m.dice >= {threshold!r}D),
         m -> struct(m.dice AS dice, -array_position(names, m.license) AS first, m.license AS license)))), m -> m IS NOT NULL)"""

@@ -32,7 +32,7 @@ _HASH = "xxhash64(words[{0}], words[{0} + 1], words[{0} + 2])"
 
 def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns, and the text's ``words`` (an empty array for null)."""
-    text = rf"btrim(coalesce(cast(`{text_col}` AS string), ''), ' \t\n\u000b\f\r')"
+    text = rf"btrim(coalesce(cast(`{text_col}` AS string), ''), ' \t\n\u000b\u000c\r')"
     return docs.withColumn("trimmed", F.expr(text)).withColumn(
         "words", F.expr(r"CASE WHEN trimmed = '' THEN cast(array() AS array<string>) ELSE split(trimmed, '[\\x20\\x09-\\x0D]+') END")).drop("trimmed")
 
