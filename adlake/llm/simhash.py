@@ -78,7 +78,7 @@ def links(fingerprints: DataFrame, column: str = "fp", distance: int = DISTANCE)
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, carry: list[Column] | None = None) -> DataFrame:
-    """(id, fp, component, *carry) of every row: its fingerprint and the smallest id of its group.
+    """(id, fp, root, component, *carry) of every row: its fingerprint, its group and the group's smallest id.
 
     Fingerprints are computed once and written to the shared folder; links, components and the
     way back to the rows are joins on distinct fingerprints.
@@ -90,7 +90,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = member.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(member.join(smallest, "root").select("fp", "component"), "fp")
+    return rows.join(member.join(smallest, "root").select("fp", "root", "component"), "fp")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -109,8 +109,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row, mark = fresh(docs, "row_digest"), fresh(docs, "times")
     digest = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     found = near_duplicates(docs, id_col, text_col, carry=[digest.alias("digest")])
-    least = found.groupBy(F.coalesce("component", "fp").alias("g"), F.col("component").isNull().alias("none"), "id", "digest").agg(
-        F.count(F.lit(1)).alias("n")).groupBy("g", "none").agg(
+    least = found.groupBy("root", "id", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "digest", "n")).alias("m"))
     stay = least.select(F.col("m.id").alias("stay_id"), F.col("m.digest").alias("stay_digest"), F.col("m.n").alias("stay_n"))
     kept = docs.withColumn(row, digest).join(

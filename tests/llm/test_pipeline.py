@@ -43,10 +43,12 @@ def test_no_leak_and_no_personal_data_is_left(spark):
 
 def test_one_of_each_group_stays(spark):
     rows = [(5, "a b c d e f g", "x"), (3, "a b c d e f g", "y"), (3, "a b c d e f g", "y"), (3, "a b c d e f g", "z"), (9, "other words stand here now", "x"),
-            (None, "a b c d e f g", "n"), (None, "only without an id here", "n"), (None, "only without an id here", "n")]
+            (None, "a b c d e f g", "n"), (None, "only without an id here", "n"), (None, "only without an id here", "n"),
+            (None, "Only without an id here", "n")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = simhash.keep_one_of_each(df).collect()
-    assert sorted((r.doc_id or -1, r.text) for r in got) == [(-1, "only without an id here"), (3, "a b c d e f g"), (9, "other words stand here now")]
+    assert sorted((r.doc_id or -1, r.text.lower()) for r in got) == [
+        (-1, "only without an id here"), (3, "a b c d e f g"), (9, "other words stand here now")]
 
 
 @pytest.mark.parametrize("which", ["odd", "empty"])
