@@ -191,8 +191,3 @@ def read_bronze(spark: SparkSession, db: str, tables: tuple[str, ...] = BRONZE_T
     """SRC-2: the bronze catalog tables that exist in ``db``."""
     have = {t.name for t in spark.catalog.listTables(db) if not t.isTemporary}
     return {t: spark.table(f"{db}.{t}") for t in tables if t in have}
-
-
-def land_report(spark: SparkSession, report: str, csv_path: str, bronze_path: str) -> DataFrame:
-    """Land one report type's CSV export with its declared schema."""
-    return land_csv(spark, csv_path, bronze_path, BRONZE_DDL[report], report in MULTILINE_REPORTS)
