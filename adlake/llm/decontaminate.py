@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import fresh, written
+from adlake.llm.common import fresh, sliced, written
 
 WIDTH = 10
 #: Windows of the test set in one block (about 200 bytes each in a task).
@@ -169,19 +169,40 @@ def cut_spans(text: str, hit: list[int]) -> str:
     return b"".join([*parts, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_share: float = 0.5, **how) -> DataFrame:
-    """Remove benchmark words: hit spans are cut out, and a document goes if more than ``max_share`` of its words are hit."""
-    name = fresh(docs, "leak")
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, hits: pa.Array) -> pa.Array:
-        return pa.array([cut_spans(t, h) if t is not None and h else t
-                         for t, h in zip(texts.to_pylist(), hits.to_pylist(), strict=True)], type=pa.string())
-
-    found = scan(docs, benchmark, text_col, out=name, **how)
-    n_hit = F.size(F.col(name)["hit"])
-    left = found.where(n_hit <= F.lit(max_share) * F.col(name)["n_words"])
-    return left.select(*[
-        (F.when(n_hit > 0, cut(F.col(f"`{c}`"), F.col(name)["hit"])).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`"))
-        for c in docs.columns])
+def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_share: float = 0.5, item_col: str = "item_id",
+           item_text: str = "text", width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """Remove benchmark words: hit spans are cut out, and a document goes if more than ``max_share`` of its words are hit.
 
+    Spans are judged on the text as given.  A test set of one block is looked up and cut out in one pass and
+    one worker; of several blocks all hits are gathered before anything is cut.
+    """
+    name = fresh(docs, "leak")
+    each = blocks(benchmark, item_col, item_text, width, block_windows)
+    first, more = next(each), next(each, None)
+    if more is None:
+        shared = docs.sparkSession.sparkContext.broadcast(first)
+
+        @F.arrow_udf("struct<share: double, text: string>")
+        def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in sliced(batches):
+                share, out = [], []
+                for t in texts.to_pylist():
+                    n, hit, _ = shared.value.scan(t)
+                    share.append(float(hit.sum()) / max(1, n))
+                    out.append(cut_spans(t, np.flatnonzero(hit).tolist()) if hit.any() else t)
+                yield pa.StructArray.from_arrays([pa.array(share, type=pa.float64()), pa.array(out, type=pa.string())], names=["share", "text"])
+
+        found = docs.withColumn(name, clean(F.col(f"`{text_col}`").cast("string")))
+    else:
+        @F.arrow_udf("string")
+        def cut(texts: pa.Array, hits: pa.Array) -> pa.Array:
+            return pa.array([cut_spans(t, h) if t is not None and h else t
+                             for t, h in zip(texts.to_pylist(), hits.to_pylist(), strict=True)], type=pa.string())
+
+        found = scan(docs, benchmark, text_col, item_col, item_text, width, block_windows, out=name)
+        found = found.withColumn(name, F.struct(
+            (F.size(F.col(name)["hit"]) / F.greatest(F.col(name)["n_words"], F.lit(1))).alias("share"),
+            cut(F.col(f"`{text_col}`"), F.col(name)["hit"]).alias("text")))
+    text = F.col(name)["text"]
+    left = found.where(F.col(name)["share"] <= max_share)
+    return left.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

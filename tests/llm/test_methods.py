@@ -178,6 +178,8 @@ def test_decontamination_blocks_agree(spark, odd, benchmark):
     one = decontaminate.scan(odd.select("doc_id", "text"), benchmark)
     many = decontaminate.scan(odd.select("doc_id", "text"), benchmark, block_windows=1)
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    clean = [sorted(map(repr, decontaminate.remove(odd, benchmark, block_windows=n).collect())) for n in (1, 10_000)]
+    assert clean[0] == clean[1] and 0 < len(clean[0]) < odd.count()
 
 
 def test_language_profiles():
