@@ -32,9 +32,9 @@ LAST = 0x1000
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the split pattern of the vocabulary file.
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
-#: Words kept per worker with their ids, in each of two generations (an efficiency bound only).
+#: Words kept by an encoder with their ids, in each of two generations (an efficiency bound only).
 CACHE_WORDS = 100_000
-#: Token pairs kept per worker with their verdict (an efficiency bound only).
+#: Token pairs kept by an encoder with their verdict (an efficiency bound only).
 CACHE_PAIRS = 100_000
 
 
@@ -77,7 +77,7 @@ def load_vocabulary(path: str) -> dict:
 
 
 class Encoder:
-    """Encodes texts with one vocabulary; lives in a worker process."""
+    """Encodes texts with one vocabulary."""
 
     def __init__(self, tables: dict, cache_words: int = CACHE_WORDS):
         import ahocorasick
@@ -217,22 +217,11 @@ class Decoder:
         return b"".join(parts)[:-1].decode("utf-8")
 
 
-_CODERS: dict[tuple, object] = {}
-
-
-def _coder(kind, shared):
-    """One coder of a kind per worker and vocabulary."""
-    key, tables = shared.value
-    if (kind, key) not in _CODERS:
-        _CODERS[kind, key] = kind(tables)
-    return _CODERS[kind, key]
-
-
 def share_vocabulary(spark: SparkSession, path: str) -> dict:
     """Broadcast the tables of a vocabulary file, for either direction; their size is bounded by the vocabulary."""
     tables = load_vocabulary(path)
     spell = {"names": tables.pop("names")}
-    return {"encode": spark.sparkContext.broadcast((path, tables)), "decode": spark.sparkContext.broadcast((path, spell))}
+    return {"encode": spark.sparkContext.broadcast(tables), "decode": spark.sparkContext.broadcast(spell)}
 
 
 def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "ids", shared: dict | None = None) -> DataFrame:
@@ -241,7 +230,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "i
 
     @F.arrow_udf("binary")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _coder(Encoder, tables)
+        coder = Encoder(tables.value)  # for the task: a worker that goes on to other work keeps none of it
         for texts in sliced(batches):
             yield pa.array([coder.encode(t.as_py()) for t in texts], type=pa.binary())
 
@@ -254,7 +243,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _coder(Decoder, tables)
+        coder = Decoder(tables.value)
         for ids in sliced(batches):
             yield pa.array([coder.decode(i.as_py()) for i in ids], type=pa.string())
 
@@ -268,7 +257,7 @@ def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", out: str
 
     @F.arrow_udf("struct<ids: binary, decoded: string>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, decoder = _coder(Encoder, to), _coder(Decoder, back)
+        encoder, decoder = Encoder(to.value), Decoder(back.value)
         for texts in sliced(batches):
             ids = [encoder.encode(t.as_py()) for t in texts]
             yield pa.StructArray.from_arrays(

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +75,5 @@ def sliced(batches: Iterator, rows: int = 256) -> Iterator:
     for batch in batches:
         for k in range(0, len(batch), rows):
             yield batch.slice(k, rows)
+        del batch
+        pa.default_memory_pool().release_unused()

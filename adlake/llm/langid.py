@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adlake.llm.common import crc_fold, fresh
+from adlake.llm.common import crc_fold, fresh, sliced
 
 #: Ranks in a profile, and n-grams taken of a document.
 RANKS = 400
@@ -82,7 +82,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", r
                 n = np.bincount(back, weights=np.concatenate((held[lang][1], n))).astype(np.int64)
             held[lang] = code, n.astype(np.int64)
 
-        for batch in batches:
+        for batch in sliced(batches, 2048):
             waiting: dict[str, list[np.ndarray]] = {}
             size: dict[str, int] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -140,7 +140,7 @@ def identify(model: dict, text: Column) -> Column:
     """Struct (lang, score) of a text column."""
     @F.arrow_udf("struct<lang: string, score: double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches):
             got = [nearest(t.as_py(), model) for t in texts]
             yield pa.StructArray.from_arrays(
                 [pa.array([x[0] for x in got], type=pa.string()), pa.array([x[1] for x in got], type=pa.float64())],
