@@ -33,9 +33,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the split pattern of the vocabulary file.
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 #: Words kept by an encoder with their ids, in each of two generations (an efficiency bound only).
-CACHE_WORDS = 100_000
+CACHE_WORDS = 50_000
 #: Token pairs kept by an encoder with their verdict (an efficiency bound only).
-CACHE_PAIRS = 100_000
+CACHE_PAIRS = 50_000
 
 
 def byte_alphabet() -> list[str]:

@@ -192,7 +192,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_sh
                     out.append(cut_spans(t, np.flatnonzero(hit).tolist()) if hit.any() else t)
                 yield pa.StructArray.from_arrays([pa.array(share, type=pa.float64()), pa.array(out, type=pa.string())], names=["share", "text"])
 
-        found = docs.withColumn(name, clean(F.col(f"`{text_col}`").cast("string")))
+        # not to be moved below the filter, which would scan every text twice
+        found = docs.withColumn(name, clean.asNondeterministic()(F.col(f"`{text_col}`").cast("string")))
     else:
         @F.arrow_udf("string")
         def cut(texts: pa.Array, hits: pa.Array) -> pa.Array:
