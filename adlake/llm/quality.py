@@ -1,9 +1,12 @@
 """Quality rules: shape counts of a text, and a hashed n-gram log-likelihood ratio of trusted to raw text.
 
-Only Spark's own functions run here.  Words and word pairs are hashed into ``BUCKETS`` buckets; two multinomials,
-over the trusted documents and over all documents, are counted with one partial aggregation per task.  A
-document's ratio is the mean over its words and pairs of log(p_trusted / p_raw), with one added to each count, and it
-is kept from ``THRESHOLD`` on.  Repeated three-word windows are found by sorting a text's window hashes (64 bits).
+Only Spark's own functions run here.  Words and word pairs are hashed into buckets; two multinomials, over the
+trusted documents and over all documents, are counted with one partial aggregation per task.  The buckets are a power of
+two that grows with the n-grams counted, so that at most ``LOAD`` of them share one on average at any size of the input
+(``BUCKETS`` are the least).  A document's ratio is the mean over its words and pairs of log(p_trusted / p_raw),
+with one added to each count, and it is kept from ``THRESHOLD`` on.  The ratios are broadcast up to ``BROADCAST_BUCKETS``,
+8 bytes each; beyond, the n-grams of each document are added up and joined with them by a shuffle.  Repeated
+three-word windows are found by sorting a text's window hashes (64 bits).
 
 Defined results: null and empty texts have no words and fail the base rule; without any trusted document the
 ratio is 0 for all; a trusted id that is listed twice counts once, repeated documents count each; rows without id
@@ -12,12 +15,17 @@ are never trusted; other columns play no part.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.common import written
+
+#: Least number of buckets, and the n-grams (with repeats) for each bucket from which on there are more.
 BUCKETS = 16384
+LOAD = 16
+#: Buckets whose ratios are broadcast (128 MB), and buckets in one broadcast row.
+BROADCAST_BUCKETS = 1 << 24
+CHUNK = 4096
 #: Mean log ratio from which on a document is kept: junk words are rare in trusted text by orders of magnitude.
 THRESHOLD = -0.35
 MIN_WORDS = 50
@@ -66,53 +74,78 @@ def shape(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }).drop("low", "packed", "near", "whole", "places", "lines")
 
 
-def grams(rows: DataFrame) -> DataFrame:
+def bucket_number(n_grams: int) -> int:
+    """Buckets for so many n-grams: the least power of two with at most ``LOAD`` in each, ``BUCKETS`` at least."""
+    return max(BUCKETS, 1 << max(0, -(-n_grams // LOAD) - 1).bit_length())
+
+
+def grams(rows: DataFrame, buckets: int) -> DataFrame:
     """One row for each word with the bucket of the word and of the pair it begins (null at the end); a text without
     words has one row of nulls."""
     pairs = "inline_outer(arrays_zip(words, slice(words, 2, greatest(size(words) - 1, 0))))"
     each = rows.select(*[c for c in rows.columns if c != "words"], F.expr(pairs).alias("w1", "w2"))
     return each.withColumns({
-        "bucket_1": F.expr(f"CASE WHEN w1 IS NOT NULL THEN cast(pmod(xxhash64(w1), {BUCKETS}) AS int) END"),
-        "bucket_2": F.expr(f"CASE WHEN w2 IS NOT NULL THEN cast(pmod(xxhash64(w1, w2), {BUCKETS}) AS int) END")}).drop("w1", "w2")
+        "bucket_1": F.expr(f"CASE WHEN w1 IS NOT NULL THEN pmod(xxhash64(w1), {buckets}L) END"),
+        "bucket_2": F.expr(f"CASE WHEN w2 IS NOT NULL THEN pmod(xxhash64(w1, w2), {buckets}L) END")}).drop("w1", "w2")
 
 
-def bucket_counts(texts: DataFrame) -> DataFrame:
+def bucket_counts(texts: DataFrame, buckets: int) -> DataFrame:
     """(bucket, n, trusted_n) of words and pairs of rows (words, trusted)."""
-    each = grams(texts).select("trusted", F.expr("explode(array(bucket_1, bucket_2))").alias("bucket")).where("bucket IS NOT NULL")
+    each = grams(texts, buckets).select("trusted", F.expr("explode(array(bucket_1, bucket_2))").alias("bucket")).where("bucket IS NOT NULL")
     return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("trusted"), 1)).alias("trusted_n"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
-    """Log ratio of each bucket; ``trusted`` has the ids of trusted documents."""
+def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """Log ratios of the buckets as rows (chunk, logs) of ``CHUNK`` neighbouring buckets, written to the shared folder,
+    and the number of buckets; ``trusted`` has the ids of trusted documents."""
     ids = trusted.select(F.col(id_col).alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
     known = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = ids.withColumn("trusted", F.lit(True))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(ids) if known else ids, F.col("id") == F.col("trusted_id"), "left")
-    counts = bucket_counts(with_words(rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))).drop("text")).collect()
-    raw, own = [0] * BUCKETS, [0] * BUCKETS
-    for r in counts:  # at most BUCKETS rows
-        raw[r["bucket"]], own[r["bucket"]] = r["n"], r["trusted_n"]
-    n_raw, n_own = sum(raw) + BUCKETS, sum(own) + BUCKETS
-    if n_own == BUCKETS:
-        return [0.0] * BUCKETS
-    return [math.log((a + 1) / n_own) - math.log((b + 1) / n_raw) for a, b in zip(own, raw, strict=True)]
+    rows = with_words(rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))).drop("text")
+    own = F.expr("greatest(2L * size(words) - 1, 0L)")
+    total = rows.agg(F.sum(own).alias("n"), F.sum(F.when(F.col("trusted"), own)).alias("trusted_n")).first()
+    buckets = bucket_number(total["n"] or 0)
+    n_raw, n_own = (total["n"] or 0) + buckets, (total["trusted_n"] or 0) + buckets
+    log = F.log((F.col("trusted_n") + 1) / n_own) - F.log((F.col("n") + 1) / n_raw) if n_own > buckets else F.lit(0.0)
+    place = [F.floor(F.col("bucket") / CHUNK).cast("bigint").alias("chunk"), (F.col("bucket") % CHUNK).cast("int").alias("at")]
+    counted = bucket_counts(rows, buckets).select(*place, log.alias("log"))
+    # every bucket has its place in the chunk, empty ones too
+    empty = docs.sparkSession.range(buckets).select(F.col("id").alias("bucket")).select(*place, F.lit(None).cast("double").alias("log"))
+    chunks = counted.unionByName(empty).groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "log"))).alias("xs"))
+    logs = "transform(filter(xs, (x, k) -> k = size(xs) - 1 OR xs[least(k + 1, size(xs) - 1)].at <> x.at), x -> coalesce(x.log, 0D))"
+    return written(chunks.select("chunk", F.expr(logs).alias("logs")), "log-ratios"), buckets
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+          threshold: float = THRESHOLD, min_words: int = MIN_WORDS, broadcast_buckets: int = BROADCAST_BUCKETS) -> DataFrame:
     """(id, the shape counts, ratio, base_failed, kept) of every row.
 
     Words and pairs are rows with their buckets' log ratios for as long as it takes to add them up in the task that made
-    them; what is shuffled is one row for each document.
+    them; what is shuffled is one row for each document.  Over ``broadcast_buckets``, one row for each bucket of
+    each document is shuffled to the bucket's ratio.
     """
-    ratios = log_ratios(docs, trusted, id_col, text_col)
-    table = "cast(split('" + ",".join(map(repr, ratios)) + "', ',') AS array<double>)"  # folded to a constant
+    chunks, buckets = log_ratios(docs, trusted, id_col, text_col)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    each = grams(shape(rows).select("row", "id", *counts, "words"))
-    log = F.expr(f"coalesce({table}[bucket_1], 0D) + coalesce({table}[bucket_2], 0D)")
-    sums = each.groupBy("row").agg(F.first("id").alias("id"), *[F.first(c).alias(c) for c in counts], F.sum(log).alias("log"))
+    each = grams(shape(rows).select("row", "id", *counts, "words"), buckets)
+    if buckets <= broadcast_buckets:
+        for k in (1, 2):
+            own = F.broadcast(chunks.select(F.col("chunk").alias(f"chunk_{k}"), F.col("logs").alias(f"logs_{k}")))
+            each = each.join(own, F.shiftright(f"bucket_{k}", CHUNK.bit_length() - 1) == F.col(f"chunk_{k}"), "left")
+        log = F.expr(" + ".join(f"coalesce(logs_{k}[cast(bucket_{k} % {CHUNK} AS int)], 0D)" for k in (1, 2)))
+        firsts = [F.first(c).alias(c) for c in ("id", *counts)]
+    else:
+        # a text's columns stand in the rows without a bucket (each has one), which are told apart to meet no other
+        each = each.withColumn("bucket", F.explode(F.array("bucket_1", "bucket_2")))
+        each = each.groupBy("row", F.coalesce("bucket", -1 - F.col("row")).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("times"), *[F.first(F.when(F.col("bucket").isNull(), F.col(c))).alias(c) for c in ("id", *counts)])
+        own = chunks.select("chunk", F.posexplode("logs").alias("at", "one")).select((F.col("chunk") * CHUNK + F.col("at")).alias("bucket"), "one")
+        each = each.join(own, "bucket", "left")
+        log = F.coalesce(F.col("times") * F.col("one"), F.lit(0.0))
+        firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("id", *counts)]
+    sums = each.groupBy("row").agg(*firsts, F.sum(log).alias("log"))
     ratio = F.when(F.col("n_words") > 0, F.col("log") / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return sums.select("id", *counts, ratio.alias("ratio"), failed.alias("base_failed"), (~failed & (ratio >= threshold)).alias("kept"))
