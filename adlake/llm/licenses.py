@@ -1,8 +1,11 @@
-"""License scan: lines and whole texts against licence templates, by the Dice coefficient over word bigrams.
+"""License scan: lines, whole texts and word windows against licence templates, by the Dice coefficient over word bigrams.
 
 Only Spark's own functions run here.  A unit (each line, and the whole text if it has several) is normalised to
 lower-case words of ASCII letters and digits; its set of word bigrams has n members, a template's has b, and
-Dice = 2 common / (n + b).  Two bounds prune without loss at a least value t:
+Dice = 2 common / (n + b).  Where the whole text is no licence, its words without the lines that are one are looked through
+for licences that are wrapped over lines or stand among other words: from each bigram of a template, the window of
+at most the greatest near size that ends with one and has the most of them for its length (2 hits / (length + b)) is a unit
+too.  A window within a longer one does not count; of others that overlap, the first does.  Two bounds prune without loss at a least value t:
 
 * sizes: Dice can reach t only for t b / (2 - t) <= n <= (2 - t) b / t; other templates are not compared;
 * pivots: Dice >= t needs t / (2 - t) of a template's bigrams, so that a unit without any of the words that more than
@@ -19,6 +22,27 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 
+#: Disclaimers that end the complete texts.
+_MIT = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+    "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE.")
+
 #: Public licence texts and notices, by SPDX identifier.
 TEMPLATES: list[tuple[str, str]] = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -58,6 +82,10 @@ TEMPLATES: list[tuple[str, str]] = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
      "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 ]
+#: The complete texts of the licences that consist of a notice above and a disclaimer.
+TEMPLATES += [(name, f"{text} {end}") for name, text in TEMPLATES for known, first, end in (
+    ("MIT", "Permission is", _MIT), ("BSD-2-Clause", "Redistribution", _BSD), ("BSD-3-Clause", "Redistribution", _BSD),
+    ("ISC", "Permission to", _ISC)) if name == known and text.startswith(first)]
 
 
 def bigrams(text: str) -> list[str]:
@@ -90,8 +118,11 @@ def pivots(templates: list[list[str]], threshold: float) -> list[str]:
 
 
 def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]] | None = None,
-         threshold: float = THRESHOLD) -> DataFrame:
-    """Add ``license`` (name or null), ``dice`` (of the best unit, null if none) and ``n_units`` with a licence."""
+         threshold: float = THRESHOLD, windows: bool = True) -> DataFrame:
+    """Add ``license`` (name or null), ``dice`` (of the best unit, null if none) and ``n_units`` with a licence.
+
+    Without ``windows``, only lines and whole texts are units.
+    """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     named = [(name, grams) for name, text in sorted(templates or TEMPLATES) if (grams := bigrams(text))]
@@ -101,28 +132,52 @@ def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str
     units = f"CASE WHEN size({lines}) > 1 THEN concat({lines}, array({text})) ELSE {lines} END"
     units = f"CASE WHEN {text} rlike '(?i)(?<![a-z0-9])(?:{some})(?![a-z0-9])' THEN {units} END"
     words = "transform(units, u -> filter(split(lower(regexp_replace(u, '[^A-Za-z0-9]+', ' ')), ' '), w -> w <> ''))"
-    grams = """transform(filter(unit_words, w -> size(w) > 1), w -> array_distinct(
-        transform(sequence(0, size(w) - 2), i -> concat(w[i], ' ', w[i + 1]))))"""
+    pairs = lambda w: f"CASE WHEN size({w}) > 1 THEN transform(sequence(0, size({w}) - 2), i -> concat({w}[i], ' ', {w}[i + 1])) END"
+    bigrams_of = lambda w: f"array_distinct({pairs(w)})"
     # a template is compared only with units of a size that can reach the threshold
-    compared = []
+    nothing = "cast(array() AS array<struct<first: int, last: int, dice: double, license: string>>)"
+    compared, near = [], []
     for name, b in named:
         low, high = sizes(len(b), threshold)
         own = "split('" + ",".join(b) + "', ',')"
         compared.append(f"""CASE WHEN size(g) BETWEEN {low} AND {high} THEN struct(
             cast(2 * size(array_intersect(g, {own})) AS double) / (size(g) + {len(b)}) AS dice, '{name}' AS license) END""")
-    best = f"""filter(transform(unit_grams, g -> array_max(transform(filter(array({', '.join(compared)}), m -> m.dice >= {threshold!r}D),
-        m -> struct(m.dice AS dice, -array_position(names, m.license) AS first, m.license AS license)))), m -> m IS NOT NULL)"""
+        end = f"""-array_max(transform(filter(sequence(j + {low - 1}, least(j + {high}, size(p)) - 1), l -> p[l] - p[j] < {high}),
+            l -> struct(cast(2 * (l - j + 1) AS double) / (p[l] - p[j] + 1 + {len(b)}) AS near, -p[l] AS last))).last"""
+        window = "array_distinct(slice(rest_grams, x.first + 1, x.last - x.first + 1))"
+        dice = f"transform(array({window}), g -> cast(2 * size(array_intersect(g, {own})) AS double) / (size(g) + {len(b)}))[0]"
+        near.append(f"""CASE WHEN size(array_intersect(rest_grams, {own})) >= {low} THEN flatten(transform(
+            array(filter(sequence(0, size(rest_grams) - 1), i -> array_contains({own}, rest_grams[i]))),
+            p -> filter(transform(transform(filter(sequence(0, size(p) - {low}), j -> p[j + {low - 1}] - p[j] < {high}),
+                j -> struct(p[j] AS first, {end} AS last)),
+                x -> struct(x.first AS first, -x.last AS last, {dice} AS dice, '{name}' AS license)), x -> x.dice >= {threshold!r}D)))
+            ELSE {nothing} END""")
+    best = f"""transform(transform(unit_words, w -> {bigrams_of('w')}),
+        g -> array_max(transform(filter(array({', '.join(compared)}), m -> m.dice >= {threshold!r}D),
+        m -> struct(m.dice AS dice, -array_position(names, m.license) AS first, m.license AS license))))"""
+    # the words of lines that are no licence; a word that no template has stands for each of those that are
+    rest = f"""CASE WHEN size(best) > 0 AND get(best, size(best) - 1) IS NULL THEN flatten(transform(slice(unit_words, 1, greatest(size(unit_words) - 1, 1)),
+        (w, k) -> CASE WHEN best[k] IS NULL THEN w ELSE array('-') END)) END"""
     names = "array(" + ", ".join(f"'{n}'" for n in sorted({n for n, _ in named})) + ")"
-    staged = docs.withColumn("units", F.expr(units)).withColumn("unit_words", F.expr(words)).withColumn("unit_grams", F.expr(grams))
-    found = staged.withColumn("names", F.expr(names)).withColumn("found", F.coalesce(F.expr(best), F.expr("array()")))
+    # a notice within a longer one is part of that; of others that overlap, the first counts
+    kept = "filter(windows, x -> NOT exists(windows, y -> y.first <= x.first AND y.last <= x.last AND (y.first < x.first OR y.last < x.last)))"
+    apart = """aggregate(array_sort(kept), struct(-1 AS last, 0 AS n), (a, x) -> CASE WHEN x.first > a.last
+        THEN struct(-x.last AS last, a.n + 1 AS n) ELSE a END, a -> a.n)"""
+    found = """concat(filter(best, m -> m IS NOT NULL), transform(kept,
+        x -> struct(x.dice AS dice, -array_position(names, x.license) AS first, x.license AS license)))"""
+    staged = docs
+    for column, expr in (("units", units), ("unit_words", words), ("names", names), ("best", f"coalesce({best}, array())"),
+                         ("rest", rest), ("rest_grams", pairs("rest")), ("windows", f"concat({', '.join(near)})" if windows else nothing), ("kept", kept),
+                         ("found", found), ("n_found", f"size(filter(best, m -> m IS NOT NULL)) + {apart}")):
+        staged = staged.withColumn(column, F.expr(expr))
     top = F.expr("array_max(found)")
-    return found.withColumns({"license": top["license"], "dice": top["dice"], "n_units": F.size("found").cast("bigint")}).drop(
-        "units", "unit_words", "unit_grams", "names", "found")
+    return staged.withColumns({"license": top["license"], "dice": top["dice"], "n_units": F.col("n_found").cast("bigint")}).drop(
+        "units", "unit_words", "names", "best", "rest", "rest_grams", "windows", "kept", "found", "n_found")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, license, dice and n_units of every document."""
-    return scan(docs.select("doc_id", "text")).select("doc_id", "license", "dice", "n_units")
+    """doc_id, license, dice and n_units of every document, by lines and whole texts as in its SQL."""
+    return scan(docs.select("doc_id", "text"), windows=False).select("doc_id", "license", "dice", "n_units")
 
 
 def oracle_sql(templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> str:
