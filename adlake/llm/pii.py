@@ -4,8 +4,8 @@ The tagger is trained in numpy from labelled spans (by default the spans that th
 sample of windows of the corpus).  A text is laid out in windows of ``WINDOW`` characters that overlap by half;
 each window is decoded by Viterbi on its own, and the tags are reconciled over the whole text: a character
 takes its tag from the window in which it stands most centrally, and spans are read off the united tags.
-Every kind of span holds a digit or an at-sign, so a window with neither in it or near it has no span and
-is not decoded.  A span of the tagger is added where no span of the patterns overlaps it.
+Every span of the patterns holds a digit or an at-sign, so a tagger that learnt from them does not decode a window with
+neither in it or near it; one that learnt from given labels decodes every window.  A span of the tagger is added where no span of the patterns overlaps it.
 
 Defined results: null and empty texts have no spans; a corpus without any pattern match has no tagger and keeps
 the patterns' spans (none); a span that begins a window's worth from the next anchor is found by the patterns
@@ -91,8 +91,10 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 # -- windows
 
-def windows_of(text: str) -> np.ndarray:
+def windows_of(text: str, every: bool = False) -> np.ndarray:
     """Starts of the windows that are decoded."""
+    if every:
+        return np.arange(-1, len(text) // STRIDE + 1) * STRIDE if text else np.empty(0, dtype=np.int64)
     anchors = np.array([m.start() for m in _ANCHOR.finditer(text)], dtype=np.int64)
     if not len(anchors):
         return anchors
@@ -288,10 +290,10 @@ def viterbi(p: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.n
     return out, np.take_along_axis(sure.transpose(1, 0, 2), out[:, :, None], axis=2)[:, :, 0]
 
 
-def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray) -> list[tuple[str, int, int]]:
+def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, every: bool = False) -> list[tuple[str, int, int]]:
     """Spans of the whole text: each character's tag is that of the window in which it stands most centrally.
 
-    A span needs a digit or at-sign and a mean probability of its tags of at least ``SURE``.
+    A span needs a mean probability of its tags of at least ``SURE`` and, unless ``every`` window was decoded, a digit or at-sign.
     """
     middle = slice(WINDOW // 4, WINDOW // 4 + STRIDE)  # the middle halves of all windows tile the text
     place = (starts[:, None] + np.arange(WINDOW)[None, :])[:, middle].reshape(-1)
@@ -305,13 +307,14 @@ def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray)
             spans[-1][3] += q
         elif t % 2:
             spans.append([kind, at, at + 1, q])
-    return [(k, a, b) for k, a, b, q in spans if q >= SURE * (b - a) and _ANCHOR.search(text, a, b)]
+    return [(k, a, b) for k, a, b, q in spans if q >= SURE * (b - a) and (every or _ANCHOR.search(text, a, b))]
 
 
 def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
     """The tagger's spans of each text; windows of many texts are decoded together."""
     out: list[list] = [[] for _ in texts]
     held: list[tuple[int, np.ndarray, int]] = []  # text, starts, number of windows
+    every_window = "every" in p
     cut, size, tags = [], 0, []
 
     def decode():
@@ -320,14 +323,14 @@ def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list
         got, sure = map(np.concatenate, zip(*(viterbi(p, every[k : k + DECODE]) for k in range(0, len(every), DECODE)), strict=True))
         at = 0
         for k, starts, n in held:
-            out[k] = reconcile(texts[k], starts, got[at : at + n], sure[at : at + n])
+            out[k] = reconcile(texts[k], starts, got[at : at + n], sure[at : at + n], every_window)
             at += n
         held.clear()
         cut.clear()
         size = 0
 
     for k, text in enumerate(texts):
-        starts = windows_of(text) if text else ()
+        starts = windows_of(text, every_window) if text else ()
         if len(starts):
             held.append((k, starts, len(starts)))
             cut.append(cut_windows(text, starts))
@@ -352,7 +355,7 @@ def training_windows(docs: DataFrame, text_col: str = "text", spans_col: str | N
             got, lab = [], []
             for row in range(batch.num_rows):
                 text = batch.column(0)[row].as_py()
-                starts = windows_of(text)
+                starts = windows_of(text, spans_col is not None)
                 if not len(starts):
                     continue
                 spans = base_spans(text) if spans_col is None else [
@@ -365,7 +368,7 @@ def training_windows(docs: DataFrame, text_col: str = "text", spans_col: str | N
             yield pa.RecordBatch.from_arrays([pa.array(got, type=pa.binary()), pa.array(lab, type=pa.binary())], names=["win", "tag"])
 
     text = F.col(text_col).cast("string")
-    rows = docs.where(text.rlike("[0-9@]")).select(text.alias("text"), *([F.col(spans_col)] if spans_col else []))
+    rows = docs.where(text.rlike("[0-9@]") if spans_col is None else text != "").select(text.alias("text"), *([F.col(spans_col)] if spans_col else []))
     each = rows.mapInArrow(cut, "win binary, tag binary").groupBy("win").agg(F.min("tag").alias("tag"))
     each = each.select("win", "tag", F.xxhash64("win").alias("h"), (F.col("tag") != F.lit(bytes(WINDOW))).alias("marked"))
     pick = [r for marked, n in ((True, n_with), (False, n_without))
@@ -375,9 +378,14 @@ def training_windows(docs: DataFrame, text_col: str = "text", spans_col: str | N
 
 
 def train(docs: DataFrame, text_col: str = "text", spans_col: str | None = None) -> dict[str, np.ndarray] | None:
-    """A tagger from labelled windows of the corpus; None where no window has a span."""
+    """A tagger from labelled windows of the corpus; None where no window has a span.
+
+    One that was trained on given labels decodes every window, as these may hold neither a digit nor an at-sign.
+    """
     ids, tags = training_windows(docs, text_col, spans_col)
-    return fit(ids, tags) if tags.any() else None
+    if not tags.any():
+        return None
+    return fit(ids, tags) | ({} if spans_col is None else {"every": np.ones(1)})
 
 
 SPANS = "array<struct<kind: string, start: int, end: int, base: boolean>>"
