@@ -7,7 +7,8 @@ differ, level by level, down to the records.  Each level is a Spark table and ea
 nodes, so that equal parts of an archive are never looked at below the node that proves them equal.
 
 Records at one place are added up before they are hashed (their number and the sums of four parts of their digests), so
-that any number of copies at one place costs partial sums only.
+that any number of copies at one place costs partial sums only.  At differing places with several records the audit
+descends once more, to the digests of the records and their numbers.
 
 Defined results: a record without place stands at -1; null columns are hashed apart from empty ones; equal records at one
 place count with their number; an empty replica differs in every record, two empty ones in none; other columns than
@@ -79,10 +80,18 @@ def differing(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.where(~F.col("digest_a").eqNullSafe(F.col("digest_b")))
 
 
+def record_counts(records: DataFrame, place_col: str, digest: Column, where: DataFrame) -> DataFrame:
+    """(place, digest, n): the different records at the places of ``where``, with their numbers."""
+    place = F.coalesce(F.col(place_col).cast("bigint"), F.lit(-1))
+    found = records.withColumns({"_place": place}).join(where.select(F.col("place").alias("_place")), "_place", "left_semi")
+    return found.select(F.col("_place").alias("place"), digest.alias("digest")).groupBy("place", "digest").agg(F.count(F.lit(1)).alias("n"))
+
+
 def audit(a: DataFrame, b: DataFrame, place_col: str, columns: list[str], leaf: int = LEAF, fanout: int = FANOUT) -> DataFrame:
     """(place, status, digest_a, digest_b, n_a, n_b) of every place at which two replicas differ.
 
-    status: ``changed``, ``missing`` (only in a) or ``extra`` (only in b).
+    status: ``changed``, ``missing`` (only in a) or ``extra`` (only in b).  A place that holds several records on a side
+    has a row for each record digest whose numbers differ: ``changed`` then is another number of equal records.
     """
     low_a, low_b = (written(places(x, place_col, record_digest(*columns)), "merkle-0") for x in (a, b))
     levels = height(low_a, low_b, leaf=leaf, fanout=fanout)
@@ -95,6 +104,14 @@ def audit(a: DataFrame, b: DataFrame, place_col: str, columns: list[str], leaf:
         apart = differing(under(tree_a[k]), under(tree_b[k]))
         if k:
             apart = written(apart, f"merkle-apart-{k}")
+    apart = written(apart, "merkle-apart-0")
+    several = F.greatest(F.coalesce("n_a", F.lit(0)), F.coalesce("n_b", F.lit(0))) > 1
+    crowded = apart.where(several)
+    if not crowded.isEmpty():
+        records = [record_counts(x, place_col, record_digest(*columns), crowded).select("place", "digest", F.col("digest").alias(f"digest_{k}"), F.col("n").alias(f"n_{k}"))
+                   for k, x in (("a", a), ("b", b))]
+        differ = records[0].join(records[1], ["place", "digest"], "full").where(~F.col("n_a").eqNullSafe(F.col("n_b"))).drop("digest")
+        apart = apart.where(~several).unionByName(differ)
     status = F.when(F.col("digest_b").isNull(), "missing").when(F.col("digest_a").isNull(), "extra").otherwise("changed")
     return apart.select("place", status.alias("status"), "digest_a", "digest_b", F.coalesce("n_a", F.lit(0)).cast("bigint").alias("n_a"),
                         F.coalesce("n_b", F.lit(0)).cast("bigint").alias("n_b"))
