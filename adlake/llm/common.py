@@ -58,7 +58,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, max_rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet into the session's shared folder and read it back.
 
     Used where a costly column is read more than once: the lineage is cut, lost executors
@@ -66,7 +66,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", max_rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

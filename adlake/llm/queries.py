@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import bpe, brown, decontaminate, langid, licenses, merkle, pii, quality, simhash, substring
+from adlake.llm import (
+    alignment, bpe, brown, decontaminate, langid, licenses, merkle, pii, quality, simhash, substring, topk, whitening,
+)
 from adlake.llm.common import documents, with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": lambda spark, sf: decontaminate.report(
         documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")),
     "op10_bpe": lambda spark, sf: bpe.digests(documents(spark, sf)),
+    "op11_topk": lambda spark, sf: topk.report(spark.read.parquet(f"{sf}/embeddings.parquet")),
+    "op12_whitening": lambda spark, sf: whitening.report(spark.read.parquet(f"{sf}/embeddings.parquet")),
+    "op13_alignment": lambda spark, sf: alignment.report(documents(spark, sf)),
 }
 QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
 
@@ -28,4 +33,5 @@ QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
     "op3_merkle": merkle.ORACLE_SQL,
+    "op11_topk": topk.ORACLE_SQL,
 }
