@@ -16,14 +16,21 @@ def _ref(name: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
 
 
+def _part_sql(text: str, alone: bool) -> str:
+    """One natural key as text, null -> 'Unknown'; beside others its own '\\' and '~' are escaped, so that no two
+    different lists of keys are joined to one text."""
+    whole = f"coalesce(CAST({text} AS STRING), '{UNKNOWN}')"
+    return whole if alone else f"replace(replace({whole}, r'\\', r'\\\\'), '{KEY_SEP}', r'\\{KEY_SEP}')"
+
+
 def surrogate_key_sql(*natural_keys: str) -> str:
-    """GD-14 as SQL text: md5 of the natural keys joined by '~', each null -> 'Unknown'."""
-    parts = ", ".join(f"coalesce(CAST({_ref(k)} AS STRING), '{UNKNOWN}')" for k in natural_keys)
+    """GD-14 as SQL text: md5 of the natural keys joined by '~', each null -> 'Unknown' and escaped."""
+    parts = ", ".join(_part_sql(_ref(k), len(natural_keys) == 1) for k in natural_keys)
     return f"md5(concat_ws('{KEY_SEP}', {parts}))"
 
 
 def surrogate_key(*natural_keys: str | Column) -> Column:
-    """Stable key: md5 of the natural keys joined by '~', each null -> 'Unknown'.
+    """Stable key: md5 of the natural keys joined by '~', each null -> 'Unknown' and escaped.
 
     Pure per-row function: facts compute it themselves, no lookup join and no
     shuffle; identical across runs and reproducible in any SQL engine.
@@ -32,6 +39,8 @@ def surrogate_key(*natural_keys: str | Column) -> Column:
     if all(isinstance(k, str) for k in natural_keys):
         return F.expr(surrogate_key_sql(*natural_keys))
     parts = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit(UNKNOWN)) for k in natural_keys]
+    if len(parts) > 1:
+        parts = [F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit(KEY_SEP), F.lit("\\" + KEY_SEP)) for x in parts]
     return F.md5(F.concat_ws(KEY_SEP, *parts))
 
 

@@ -34,6 +34,8 @@ def _nk(c: str):
 
 
 SK, DK = surrogate_key_sql, date_key_sql
+#: Month of a date key (yyyyMM), by which saved facts can be partitioned.
+MONTH_KEY = "month_key"
 MONEY_DEC = "DECIMAL(20,6)"  # exact sums of currency values (micros / 1e6)
 
 
@@ -287,3 +289,34 @@ def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
 def build_gold(silver: Mapping[str, DataFrame]) -> LazyLayer:
     """All 13 gold tables, each built lazily from the silver mapping."""
     return LazyLayer(lambda n: gold_table(n, silver), DIMS + FACTS)
+
+
+def by_month(df: DataFrame, name: str) -> DataFrame:
+    """A gold table to be saved by month: facts and ``dim_date`` get the month of their date key.
+
+    Facts are dealt out by month before they are written, so that a month has few files; the hint lets AQE split
+    a month that holds many rows.
+    """
+    if name != "dim_date" and name not in FACTS:
+        return df
+    out = df.withColumn(MONTH_KEY, F.expr("CAST(date_key DIV 100 AS INT)"))
+    return out.hint("rebalance", MONTH_KEY) if name in FACTS else out
+
+
+def in_period(gold: Mapping[str, DataFrame], period: str) -> LazyLayer:
+    """The gold tables with facts and ``dim_date`` restricted to the days for which ``period``, a condition on ``dim_date``, holds.
+
+    Facts keep their rows by a semi-join on the day and its month.  Where they were saved by month (``by_month``) and Spark
+    broadcasts the days, which it decides by their bytes, only these months' files are read (dynamic partition pruning).
+    """
+    days = gold["dim_date"].where(period)
+
+    def table(name: str) -> DataFrame:
+        if name == "dim_date":
+            return days
+        if name not in FACTS:
+            return gold[name]
+        keys = ["date_key", *[k for k in (MONTH_KEY,) if k in gold[name].columns]]
+        return gold[name].join(days.select(*keys), keys, "left_semi")
+
+    return LazyLayer(table, DIMS + FACTS)

@@ -8,13 +8,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.operators.gold import DIMS, FACTS, GOLD_INPUTS, build_gold
+from adlake.operators.gold import DIMS, FACTS, GOLD_INPUTS, MONTH_KEY, build_gold, by_month
 from adlake.operators.kpi import KPI_INPUTS, KPI_NAMES, kpi, metric_roas
 from adlake.operators.layer import LazyLayer, prefetch
 from adlake.operators.report import BEST_WORST, TRUNCATED_KPIS, report
 from adlake.operators.silver import SILVER_INPUTS, build_silver
 from adlake.operators.spec import SILVER_TABLES
-from adlake.plans.catalog import create_database, save_tables
+from adlake.plans.catalog import OUTCOME_SCHEMA, create_database, save_tables
 from adlake.session import ensure_checkpoint_dir
 from adlake.sources.fixtures import BronzeFixtures
 
@@ -123,50 +123,59 @@ class Lakehouse:
         return report(name, self.saved_kpis)
 
 
-def _missing(inputs: Iterable[str], have: Container[str], what: str) -> str | None:
-    """The cause for which a table cannot be built, or None."""
+def _blocked(inputs: Iterable[str], have: Container[str], what: str, causes: Mapping[str, str | None]) -> tuple[str, str] | None:
+    """Why a table cannot be built (class of cause, text), or None.  The class says whether something above it failed in this
+    run (``failed_input``) or only was not there (``missing_input``)."""
     gone = [n for n in inputs if n not in have]
-    return f"needs {what} {', '.join(gone)}" if gone else None
+    if not gone:
+        return None
+    absent = all(causes.get(n) in (None, "missing_input") for n in gone)
+    return "missing_input" if absent else "failed_input", f"needs {what} {', '.join(gone)}"
 
 
 def run(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_db: str = "adlake_silver",
         gold_db: str = "adlake_gold", analytics_db: str = "adlake_analytics", fmt: str = "parquet",
-        partition_by: Mapping[str, list[str]] | None = None) -> DataFrame:
+        partition_by: Mapping[str, list[str]] | None = None, facts_by_month: bool = False,
+        reports: Sequence[str] = REPORTS) -> DataFrame:
     """Materialize every layer as tables; each layer reads the previous one's files.
 
     Writing a layer cuts the lineage (a lost executor re-reads files instead of
     recomputing from bronze).  A layer reads only tables that *this* run saved: a
     table whose input failed or is missing is ``skipped`` with the cause, and a
     table left by an earlier run is never used.  Every planned table has one outcome row
-    (database, table, status, error).  ``partition_by`` names partition columns by table.
+    (database, table, status, class of cause, error).  ``partition_by`` names partition columns by table;
+    ``facts_by_month`` partitions the facts by the month of their date key, so that a period reads its own files only.
     """
-    outcomes: list[tuple[str, str, str, str | None]] = []
+    outcomes: list[tuple[str, str, str, str | None, str | None]] = []
+    partition_by = dict(partition_by or {})
 
-    def save(db: str, frames: Mapping[str, DataFrame], names: Sequence[str], why) -> dict[str, DataFrame]:
+    def save(db: str, frames: Mapping[str, DataFrame], names: Sequence[str], why) -> tuple[dict[str, DataFrame], dict[str, str | None]]:
         create_database(spark, db)
         blocked = {n: cause for n in names if (cause := why(n)) is not None}
         got = save_tables(db, frames, names, blocked, fmt, partition_by)
         outcomes.extend((db, *o) for o in got)
-        return {n: spark.table(f"{db}.{n}") for n, status, _ in got if status == "ok"}
+        return {n: spark.table(f"{db}.{n}") for n, status, *_ in got if status == "ok"}, {n: cause for n, _, cause, _ in got}
 
-    present = build_silver(bronze)
-    silver = save(silver_db, present, SILVER_TABLES, lambda n: _missing(SILVER_INPUTS[n], bronze, "bronze"))
-    gold = save(gold_db, build_gold(silver), [*DIMS, *FACTS], lambda n: _missing(GOLD_INPUTS[n], silver, "silver"))
-    kpis = save(analytics_db, LazyLayer(lambda n: kpi(n, gold), KPI_NAMES), KPI_NAMES, lambda n: _missing(KPI_INPUTS[n], gold, "gold"))
-    status = {t: (s, e) for db, t, s, e in outcomes if db == analytics_db}
-    errors = {n: f"{status[n][0]}: {status[n][1]}" for n in KPI_NAMES if n not in kpis}
+    silver, causes = save(silver_db, build_silver(bronze), SILVER_TABLES, lambda n: _blocked(SILVER_INPUTS[n], bronze, "bronze", {}))
+    stars = build_gold(silver)
+    if facts_by_month:
+        partition_by |= {n: [MONTH_KEY] for n in FACTS if n not in partition_by}
+        stars = LazyLayer(lambda n, plain=stars: by_month(plain[n], n), [*DIMS, *FACTS])
+    gold, below = save(gold_db, stars, [*DIMS, *FACTS], lambda n: _blocked(GOLD_INPUTS[n], silver, "silver", causes))
+    kpis, below = save(analytics_db, LazyLayer(lambda n: kpi(n, gold), KPI_NAMES), KPI_NAMES, lambda n: _blocked(KPI_INPUTS[n], gold, "gold", below))
+    errors = {t: f"{s}: {e}" for db, t, s, _, e in outcomes if db == analytics_db and s != "ok"}
 
     def build_report(table: str) -> DataFrame:
         return report(table.removeprefix("report_"), kpis, errors)
 
-    def why_not(table: str) -> str | None:
+    def why_not(table: str) -> tuple[str, str] | None:
         name = table.removeprefix("report_")
         if name in ("pack", "markdown"):  # these say which KPI failed
             return None
         if name == "sample_flags":
-            return None if kpis else "needs a KPI table"
-        return _missing(REPORT_INPUTS.get(name, KPI_NAMES), kpis, "KPI")
+            return None if kpis else _blocked(KPI_NAMES, kpis, "KPI", below)
+        return _blocked(REPORT_INPUTS.get(name, KPI_NAMES), kpis, "KPI", below)
 
-    tables = [f"report_{r}" for r in REPORTS]
+    tables = [f"report_{r}" for r in reports]
     save(analytics_db, LazyLayer(build_report, tables), tables, why_not)
-    return spark.createDataFrame(outcomes, "db string, table_name string, status string, error string")
+    return spark.createDataFrame(outcomes, f"db string, {OUTCOME_SCHEMA}")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from adlake.operators.spec import BRONZE_TABLES
 
@@ -164,30 +168,119 @@ CORE_CAMPAIGN_DDL = BRONZE_DDL["core_campaign_performance"]
 MULTILINE_REPORTS = frozenset({"ads_data", "asset"})
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None,
-             multiline: bool = False) -> DataFrame:
+#: The raw text of a record that could not be parsed, and the folders that accepted and rejected records are landed in.
+RAW, PART = "_raw_record", "part"
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def csv_options(multiline: bool = False, quarantine: bool = False, rfc: bool = False) -> dict[str, str]:
+    """The reader options that batch and incremental landing share.
+
+    A record that does not fit the schema stops the job, or is kept as raw text with ``quarantine``; none becomes nulls.
+    ``rfc`` is for files as ``write_csv`` makes them: quotes are doubled inside quotes, and a quoted empty field is an empty string,
+    where it is null otherwise (a field that is one NUL character is null then).
+    """
+    own = {"header": "true", "multiLine": str(multiline).lower()}
+    own |= {"escape": '"', "nullValue": "\x00"} if rfc else {}
+    return own | ({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW} if quarantine else {"mode": "FAILFAST"})
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: str | StructType | None = None,
+             multiline: bool = False, rfc: bool = False) -> DataFrame:
     """SRC-1: distributed CSV scan with a header.
 
     With a declared schema there is no inference pass over the data; without
     one the schema is inferred (an extra full read, as the reference's pandas
     read does).  ``multiline`` accepts quoted fields spanning lines.
     """
-    r = spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", multiline)
+    r = spark.read.options(**csv_options(multiline, rfc=rfc))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header, quotes doubled inside quotes; nulls are empty, empty strings are quoted."""
+    df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def land_csv(spark: SparkSession, csv_path: str, bronze_path: str, schema: str | StructType | None = None,
-             multiline: bool = False) -> DataFrame:
+             multiline: bool = False, rfc: bool = False) -> DataFrame:
     """SRC-1 + SNK-1: land raw CSV as Parquet (overwrite, parent folders created).
 
     Returns the landed table read back from its files.
     """
-    read_csv(spark, csv_path, schema, multiline).write.mode("overwrite").parquet(bronze_path)
+    read_csv(spark, csv_path, schema, multiline, rfc).write.mode("overwrite").parquet(bronze_path)
     return spark.read.parquet(bronze_path)
 
 
+def declared(schema: str | StructType) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+def split_rejects(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of a quarantining reader with ``part`` (accepted or rejected), the raw record and its file; a rejected row has no
+    other values, as what could be parsed of it is not to be trusted."""
+    bad = F.col(RAW).isNotNull()
+    return rows.select(
+        *[F.when(~bad, F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields], RAW,
+        F.when(bad, F.col("_metadata.file_name")).alias("_source_file"),
+        F.when(bad, REJECTED).otherwise(ACCEPTED).alias(PART))
+
+
+def land_csv_quarantine(spark: SparkSession, csv_path: str | list[str], bronze_path: str, schema: str | StructType, multiline: bool = False,
+                        rfc: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SRC-1 + SNK-1 with rejects: (accepted rows, rejected records with their raw text and file).
+
+    The files are parsed once; one job writes both, each to its folder, so that both are there or neither.  A record
+    with too few or too many fields, or with a field that does not fit its type, is rejected.
+    """
+    schema = declared(schema)
+    reader = spark.read.options(**csv_options(multiline, quarantine=True, rfc=rfc))
+    rows = reader.schema(StructType([*schema.fields, StructField(RAW, StringType())])).csv(csv_path)
+    split_rejects(rows, schema).write.mode("overwrite").partitionBy(PART).parquet(bronze_path)
+    return landed(spark, bronze_path, schema)
+
+
+def landed(spark: SparkSession, bronze_path: str, schema: str | StructType) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows and rejected records (raw text, file) of a quarantining landing; a filter on the folder's name reads one of both."""
+    schema = declared(schema)
+    every = StructType([*schema.fields, *StructType.fromDDL(f"{RAW} string, _source_file string, {PART} string").fields])
+    rows = spark.read.schema(every).parquet(bronze_path)
+    accepted = rows.where(F.col(PART) == ACCEPTED).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return accepted, rows.where(F.col(PART) == REJECTED).select(F.col(RAW).alias("record"), F.col("_source_file").alias("source_file"))
+
+
 def read_bronze(spark: SparkSession, db: str, tables: tuple[str, ...] = BRONZE_TABLES) -> dict[str, DataFrame]:
     """SRC-2: the bronze catalog tables that exist in ``db``."""
     have = {t.name for t in spark.catalog.listTables(db) if not t.isTemporary}
     return {t: spark.table(f"{db}.{t}") for t in tables if t in have}
+
+
+def check_bronze(spark: SparkSession, db: str, tables: tuple[str, ...] = BRONZE_TABLES) -> DataFrame:
+    """SRC-2: every bronze table of the contract against what a database has, from the catalog alone (no data is read).
+
+    One row each: status (``ok`` / ``differs`` / ``missing``), and the columns that are missing, surplus or of another type, in
+    the contract's (surplus: the table's) order.
+    """
+    have, rows = read_bronze(spark, db, tables), []
+    for name in tables:
+        if name not in have:
+            rows.append((name, "missing", None, None, None, None))
+            continue
+        want = {f.name: f.dataType for f in declared(BRONZE_DDL[name]).fields}
+        got = {f.name: f.dataType for f in have[name].schema.fields}
+        missing, surplus = [c for c in want if c not in got], [c for c in got if c not in want]
+        retyped = [f"{c} {got[c].simpleString()}" for c in want if c in got and got[c] != want[c]]
+        rows.append((name, "differs" if missing or surplus or retyped else "ok", len(got), *map(",".join, (missing, surplus, retyped))))
+    return spark.createDataFrame(rows, "table_name string, status string, n_columns int, missing string, surplus string, retyped string")
+
+
+def measure_bronze(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, empty cells and characters of text of every table; one scan and one partial aggregate each."""
+    parts = []
+    for name, df in tables.items():
+        cells = " + ".join(f"CAST(`{c}` IS NULL AS BIGINT)" for c in df.columns)
+        text = " + ".join([f"coalesce(char_length(`{c}`), 0)" for c, kind in df.dtypes if kind == "string"] or ["0"])
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), F.expr(f"coalesce(sum({cells}), 0)").alias("null_cells"),
+                            F.expr(f"CAST(coalesce(sum({text}), 0) AS BIGINT)").alias("text_chars")).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)

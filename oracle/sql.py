@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 
+from adlake.sources.bronze import BRONZE_DDL
 from adlake.sources.fixtures import Dialect, fixture_sql
 
 
@@ -289,7 +290,10 @@ ON l.city_id = g.constant_id"""
 
 
 def SK(*cols: str) -> str:
-    return "md5(concat_ws('~', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Unknown')" for c in cols) + "))"
+    parts = [f"coalesce(CAST({c} AS VARCHAR), 'Unknown')" for c in cols]
+    if len(parts) > 1:  # escaped, so that ('a~b', 'c') and ('a', 'b~c') differ
+        parts = [rf"replace(replace({p}, '\', '\\'), '~', '\~')" for p in parts]
+    return "md5(concat_ws('~', " + ", ".join(parts) + "))"
 
 
 def DK(d: str) -> str:
@@ -710,9 +714,8 @@ def oracle_queries() -> dict[str, str]:
             CAST(count(*) AS VARCHAR) FROM ({audit_rows})""",
         [f"s_{s}" for s in silver_names],
     )
-    saved = {"bronze": ["b_core_campaign_performance", "b_conversion_performance", "b_network_performance"],
-             "silver": ["s_campaigns", "s_conversions", "s_networks"],
-             "gold": ["g_dim_campaign", "g_dim_date", "g_dim_network", "g_fact_campaign_network_perf", "g_fact_campaign_perf"]}
+    gold_names = list(GOLD)
+    saved = {"bronze": [f"b_{b}" for b in BRONZE_DDL], "silver": [f"s_{s}" for s in silver_names], "gold": [f"g_{g}" for g in gold_names]}
     q["saved_tables"] = with_ctes(" UNION ALL ".join(
         f"""SELECT '{layer}' AS layer, '{t[2:]}' AS table_name, count(*) AS row_count, least(3, count(*)) AS preview_rows FROM {t}"""
         for layer, tables in saved.items() for t in tables), [t for tables in saved.values() for t in tables])
@@ -721,4 +724,83 @@ def oracle_queries() -> dict[str, str]:
         f"""SELECT '{t[2:]}' AS table_name, row_number() OVER () AS position, column_name, {kinds} AS column_type
             FROM (DESCRIBE SELECT * FROM {t})""" for t in saved["silver"]), saved["silver"])
     q["bronze_csv_roundtrip"] = with_ctes("SELECT * FROM b_core_campaign_performance", ["b_core_campaign_performance"])
+    q["saved_bronze"] = with_ctes(" UNION ALL ".join(map(_measured, BRONZE_DDL)), saved["bronze"])
+    q["saved_kpi_tables"] = with_ctes(" UNION ALL ".join(_digest(k, f"k_{k}") for k in KPI_LIST), [f"k_{k}" for k in KPI_LIST])
+    q["saved_month_kpis"] = _month_kpis()
+    q["saved_outcomes"] = _outcomes(silver_names, gold_names)
+    damaged = {"networks": "damaged", "keywords": "missing", "genders": "missing"}
+    kept = " UNION ALL ".join(f"SELECT * FROM ({audit_rows}) WHERE table_name = '{s}'" for s in silver_names if s not in damaged)
+    q["audit_saved_silver"] = with_ctes(
+        f"""SELECT *, 'ok' AS status FROM ({kept})
+            UNION ALL SELECT '__total__', CAST(sum(row_count) AS BIGINT), NULL, CAST(count(*) AS VARCHAR), 'total' FROM ({kept}) """
+        + " ".join(f"UNION ALL SELECT '{t}', NULL, NULL, NULL, '{x}'" for t, x in damaged.items()), [f"s_{s}" for s in silver_names])
+    unread = ("kpi_3_top_keywords", "kpi_5_gender_performance", "kpi_7_adgroup_efficiency", "kpi_8_network_performance", "kpi_10_ad_type_dist")
+    q["report_pack_saved"] = with_ctes(" UNION ALL ".join(
+        f"SELECT {n} AS kpi_no, '{k}' AS kpi, '{KPI_TITLES[k]}' AS title, " + (
+            "'error' AS status, CAST(NULL AS BIGINT) AS row_count" if k in unread else
+            "'empty' AS status, CAST(0 AS BIGINT) AS row_count" if k == "kpi_2_cpl_ranking" else
+            f"CASE WHEN count(*) = 0 THEN 'empty' ELSE 'ok' END AS status, count(*) AS row_count FROM k_{k}")
+        for n, k in enumerate(KPI_LIST, start=1)), [f"k_{k}" for k in KPI_LIST])
+    q["replaced_table"] = with_ctes(
+        """SELECT campaign_id, CAST(sum(metrics_clicks) AS BIGINT) AS clicks, count(DISTINCT ad_network) AS networks,
+             'ok:,ok:,error:execution,error:analysis' AS saves FROM s_networks GROUP BY campaign_id""", ["s_networks"])
+    odd = {"network_performance": ("ok", len(_columns("network_performance")), "", "", ""),
+           "asset": ("differs", len(_columns("asset")), "asset.source", "extra", "asset.id bigint")}
+    q["bronze_contract"] = " UNION ALL ".join(
+        f"SELECT '{b}' AS table_name, '{odd[b][0]}' AS status, {odd[b][1]} AS n_columns, '{odd[b][2]}' AS missing, '{odd[b][3]}' AS surplus, '{odd[b][4]}' AS retyped"
+        if b in odd else f"SELECT '{b}', 'missing', NULL, NULL, NULL, NULL" for b in sorted(BRONZE_DDL, key=lambda b: b not in odd))
+    q["bronze_csv_quarantine"] = with_ctes(
+        """SELECT campaign_id, CAST(sum(1 - bad) AS BIGINT) AS accepted, CAST(sum(bad) AS BIGINT) AS rejected, count(*) AS records,
+             CAST(sum(metrics_clicks) FILTER (bad = 0) AS BIGINT) AS clicks FROM (
+           SELECT *, CASE WHEN (CAST(campaign_id AS INTEGER) % 5, day(segments_date)) IN ((1, 3), (2, 4), (3, 5)) THEN 1 ELSE 0 END AS bad
+           FROM b_core_campaign_performance) GROUP BY campaign_id""", ["b_core_campaign_performance"])
+    for b, (broken, empty) in {"ads_data": ("ad_group_ad_ad_responsive_search_ad_headlines", "ad_group_ad_ad_responsive_search_ad_descriptions"),
+                               "asset": ("asset_text_asset_text", "asset_sitelink_asset_link_text")}.items():
+        q[f"bronze_csv_multiline_{b}"] = with_ctes(
+            f"""SELECT * REPLACE ('"a", ' || chr(10) || ',,' || {broken} || chr(10) || chr(10) || ' "" ' AS {broken},
+                  CASE WHEN {empty} IS NULL THEN '' END AS {empty}) FROM b_{b}""", [f"b_{b}"])
     return q
+
+
+def _columns(table: str) -> dict[str, str]:
+    """Flattened column names and types of a bronze table, as declared."""
+    return {c.replace(".", "_"): kind for c, kind in re.findall(r"`([^`]+)` (\w+)", BRONZE_DDL[table])}
+
+
+def _measured(table: str) -> str:
+    cols = _columns(table)
+    cells = " + ".join(f"count(*) - count({c})" for c in cols)
+    text = " + ".join([f"coalesce(sum(length({c})), 0)" for c, kind in cols.items() if kind == "STRING"] or ["0"])
+    return f"""SELECT '{table}' AS table_name, 'ok' AS status, {len(cols)} AS n_columns, count(*) AS row_count,
+        CAST({cells} AS BIGINT) AS null_cells, CAST({text} AS BIGINT) AS text_chars FROM b_{table}"""
+
+
+def _digest(k: str, table: str) -> str:
+    cells = ", ".join(f"coalesce(CAST({f'CAST({c} AS DECIMAL(38,2))' if t == 'd' else c} AS VARCHAR), '')" for c, t in (x.split(":") for x in KPI_COLUMNS[k]))
+    return f"""SELECT '{k}' AS kpi, count(*) AS row_count,
+        CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {cells})), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest FROM {table}"""
+
+
+def _month_kpis() -> str:
+    """Digests of all KPIs over facts of the latest month of dim_date."""
+    facts = [g for g in GOLD if g.startswith("fact_")]
+    deps = sorted({d for k in KPI_LIST for d in CTES[f"k_{k}"][1]})
+    body = with_ctes("", deps).rstrip()
+    month = "date_key // 100 = (SELECT max(date_key // 100) FROM g_dim_date)"
+    own = [f"m_{g} AS (SELECT * FROM g_{g} WHERE {month})" for g in facts if f"g_{g}" in deps]
+    own += [f"p_{k} AS ({re.sub(r'g_fact_', 'm_fact_', CTES[f'k_{k}'][0])})" for k in KPI_LIST]
+    return body + ",\n" + ",\n".join(own) + "\n" + " UNION ALL ".join(_digest(k, f"p_{k}") for k in KPI_LIST)
+
+
+def _outcomes(silver_names: list[str], gold_names: list[str]) -> str:
+    """Outcomes of a run whose keyword report breaks and whose gender report is absent."""
+    failed = {"dim_ad_group", "dim_keyword", "fact_keyword_perf", "kpi_3_top_keywords", "kpi_7_adgroup_efficiency", "kpi_10_ad_type_dist"}
+    absent = {"genders", "dim_gender", "fact_gender_perf", "kpi_5_gender_performance"}
+    planned = [("silver", f"s_{s}") for s in silver_names] + [("gold", f"g_{g}") for g in gold_names] + [("analytics", f"k_{k}") for k in KPI_LIST]
+    rows = []
+    for layer, t in planned:
+        name = t[2:]
+        fate = "'error', 'execution', NULL" if name == "keywords" else "'skipped', 'failed_input', NULL" if name in failed else \
+            "'skipped', 'missing_input', NULL" if name in absent else f"'ok', NULL, (SELECT count(*) FROM {t})"
+        rows.append(f"('{layer}', '{name}', {fate})")
+    return with_ctes(f"SELECT * FROM (VALUES {', '.join(rows)}) v(layer, table_name, status, cause, row_count)", [t for _, t in planned])

@@ -57,14 +57,16 @@ def test_every_query_has_an_oracle():
 
 
 def test_registered_queries_cover_the_survey_plan():
-    """queries() holds exactly the planned keys: 22 silver, 8 dims, 5 facts, 10 KPIs, ROAS, 20 reports, 5 more."""
+    """queries() holds exactly the planned keys: 22 silver, 8 dims, 5 facts, 10 KPIs, ROAS, 20 reports, 16 more."""
     from adlake.operators.gold import DIMS, FACTS
     from adlake.operators.kpi import KPI_NAMES
     from adlake.operators.spec import SILVER_TABLES
     from adlake.plans.pipeline import REPORTS
 
     expected = ({f"silver_{s}" for s in SILVER_TABLES} | set(DIMS) | set(FACTS) | set(KPI_NAMES)
-                | {"metric_roas", "audit_silver", "bronze_csv_roundtrip", "saved_tables", "saved_kpi_1_summary", "saved_columns"}
+                | {"metric_roas", "audit_silver", "bronze_csv_roundtrip", "saved_tables", "saved_kpi_1_summary", "saved_columns",
+                   "saved_bronze", "saved_kpi_tables", "saved_month_kpis", "saved_outcomes", "audit_saved_silver", "report_pack_saved",
+                   "replaced_table", "bronze_contract", "bronze_csv_quarantine", "bronze_csv_multiline_ads_data", "bronze_csv_multiline_asset"}
                 | {f"report_{r}" for r in REPORTS})
     assert set(own(E.queries())) == expected
-    assert len(expected) == 22 + 8 + 5 + 10 + 1 + 20 + 5
+    assert len(expected) == 22 + 8 + 5 + 10 + 1 + 20 + 16
