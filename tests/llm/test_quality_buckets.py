@@ -1,4 +1,4 @@
-"""Buckets grow with the n-grams, so that junk words do not share theirs with trusted ones."""
+"""A fixed number of buckets, and a threshold from trusted documents that are held out of the counts."""
 
 from pyspark.sql import functions as F
 
@@ -7,9 +7,24 @@ from adlake.llm import quality
 SF = "/root/testdata/sf0.1"
 
 
-def test_bucket_number():
-    assert [quality.bucket_number(n) for n in (0, 157_894, 16 * 16384, 16 * 16384 + 1, 8_017_672, 10**12)] == [
-        16384, 16384, 16384, 32768, 1 << 19, 1 << 36]
+def test_a_verdict_follows_the_counts_only(spark):
+    """The buckets of a word do not follow the size of the table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert quality.log_ratios(docs.limit(3), docs.limit(1)).count() == quality.BUCKETS // quality.CHUNK
+    assert quality.log_ratios(docs.limit(0), docs.limit(0)).count() == quality.BUCKETS // quality.CHUNK
+
+
+def test_threshold(spark):
+    rows = spark.createDataFrame([(k, float(k % 7) / 100, False) for k in range(200)] + [(500, -9.0, True), (501, -9.0, False)], "id long, ratio double, base_failed boolean")
+    trusted = spark.range(201).select(F.col("id").alias("doc_id")).union(spark.createDataFrame([(500,)], "doc_id long"))
+    held = [r.ratio for r in rows.where(quality.held_out() & F.expr("id < 200")).collect()]
+    assert 20 < len(held) < 60
+    mean = sum(held) / len(held)
+    spread = max((sum((x - mean) ** 2 for x in held) / len(held)) ** 0.5, quality.LEAST_SPREAD)
+    assert abs(quality.threshold_of(rows, trusted) - (mean - quality.SPREADS * spread)) < 1e-5
+    assert quality.threshold_of(rows, trusted.limit(0)) == float("-inf")
+    kept_in = rows.where(~quality.held_out() & F.expr("id < 200")).limit(1)
+    assert abs(quality.threshold_of(kept_in, trusted) - (kept_in.first().ratio - quality.SPREADS * quality.LEAST_SPREAD)) < 1e-5
 
 
 def test_junk_is_told_from_prose(spark):

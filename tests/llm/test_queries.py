@@ -131,13 +131,16 @@ def test_quality(spark, docs):
         two = [digest(b, a) for a, b in zip(one, w[1:], strict=False)]  # Spark hashes further columns with the last hash as seed
         grams[d] = [(h - (1 << 64) * (h >> 63)) % quality.BUCKETS for h in one + two]
         raw.update(grams[d])
-        own.update(grams[d] if d in good else ())
+        own.update(grams[d] if d in good and zlib.crc32(str(d).encode()) % quality.FOLDS != 2 else ())
     n_raw, n_own = raw.total() + quality.BUCKETS, own.total() + quality.BUCKETS
+    ratio = {d: sum(math.log((own[g] + 1) / n_own) - math.log((raw[g] + 1) / n_raw) for g in grams[d]) / max(1, len(grams[d])) for d in grams}
+    held = [ratio[d] for d in good if not got[d].base_failed and zlib.crc32(str(d).encode()) % quality.FOLDS == 2]
+    mean = sum(held) / len(held)
+    spread = max((sum((x - mean) ** 2 for x in held) / len(held)) ** 0.5, quality.LEAST_SPREAD)
     for d, t, _ in docs:
         r = got[d]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == shape(t)
-        ratio = sum(math.log((own[g] + 1) / n_own) - math.log((raw[g] + 1) / n_raw) for g in grams[d]) / max(1, len(grams[d]))
-        assert math.isclose(r.ratio, ratio, abs_tol=1e-9) and r.kept == (not r.base_failed and ratio >= quality.THRESHOLD)
+        assert math.isclose(r.ratio, ratio[d], abs_tol=1e-9) and r.kept == (not r.base_failed and ratio[d] >= mean - quality.SPREADS * spread)
     assert any(not r.kept and not r.base_failed for r in got.values())
     assert all(got[d].kept for d in good if not got[d].base_failed)
 
