@@ -14,6 +14,7 @@ the named output column replaces one of the same name.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -32,10 +33,11 @@ LAST = 0x1000
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the split pattern of the vocabulary file.
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
-#: Words kept by an encoder with their ids, in each of two generations (an efficiency bound only).
-CACHE_WORDS = 50_000
+#: Words of at most ``CACHE_LENGTH`` characters kept by an encoder with their ids, in each of two generations (an efficiency bound only).
+CACHE_WORDS = 100_000
+CACHE_LENGTH = 24
 #: Token pairs kept by an encoder with their verdict (an efficiency bound only).
-CACHE_PAIRS = 50_000
+CACHE_PAIRS = 200_000
 
 
 def byte_alphabet() -> list[str]:
@@ -83,7 +85,7 @@ class Encoder:
         import ahocorasick
 
         self.split, self.pair, self.special = tables["split"], tables["pair"], tables["special"]
-        self.compat: dict[tuple[int, int], bool] = {}
+        self.compat: dict[int, bool] = {}
         text: dict[int, str] = tables["text"]
         self.size = {i: len(t) for i, t in text.items()}
         valid: dict[int, bool] = {}
@@ -119,11 +121,10 @@ class Encoder:
                 return True
 
     def compatible(self, a: int, b: int) -> bool:
-        ok = self.compat.get((a, b))
-        if ok is None:
-            if len(self.compat) >= CACHE_PAIRS:
-                self.compat.clear()
-            ok = self.compat[a, b] = self.side_by_side(a, b)
+        """Entry of the pair-compatibility table, which is filled as pairs are met."""
+        if len(self.compat) >= CACHE_PAIRS:
+            self.compat.clear()
+        ok = self.compat[a << 32 | b] = self.side_by_side(a, b)
         return ok
 
     def encode_word(self, word: str) -> bytes:
@@ -132,33 +133,37 @@ class Encoder:
         whole = self.token.get(w)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        n = len(w)
+        n, known, size, shorter = len(w), self.compat.get, self.size, self.shorter
         start: list[int] = [0] * n
-        for end, (i, size) in self.longest.iter(w):  # by rising end: the longest of each start comes last
-            start[end - size + 1] = i
+        for end, (i, length) in self.longest.iter(w):  # by rising end: the longest of each start comes last
+            start[end - length + 1] = i
         untried = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, token = 0, start[0]
+        at, token, last = 0, start[0], -1
         while at < n:
-            last = out[-1] if out else None
-            while True:
-                end = at + self.size[token]
-                if untried[end] and (last is None or self.compatible(last, token)):
+            end = at + size[token]
+            if untried[end]:
+                ok = last < 0
+                if not ok:
+                    ok = known(last << 32 | token)
+                    if ok is None:
+                        ok = self.compatible(last, token)
+                if ok:
                     out.append(token)
-                    at = end
-                    token = start[at] if at < n else 0
-                    break
-                less = self.shorter[token]
-                if less is not None:
-                    token = less
+                    at, last = end, token
+                    if at < n:
+                        token = start[at]
                     continue
-                untried[at] = 0
-                out.pop()
-                at -= self.size[last]
-                token = last
-                # ``last`` itself is refused now, as its end has been given up
-                break
-        return np.array(out, dtype="<u4").tobytes()
+            less = shorter[token]
+            if less is not None:
+                token = less
+                continue
+            # nothing fits here: give up this place, and go on with the next shorter of the last token
+            untried[at] = 0
+            token = out.pop()
+            at -= size[token]
+            last = out[-1] if out else -1
+        return struct.pack(f"<{len(out)}I", *out)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -183,6 +188,8 @@ class _Words(dict):
         self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > CACHE_LENGTH:
+            return self.make(word)
         ids = self.old.get(word)
         if ids is None:
             ids = self.make(word)
