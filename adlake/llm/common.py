@@ -47,6 +47,20 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns of these names (in any letter case) under fresh ones, and the new names by the old.
+
+    For operators that make columns of their own on the way; ``put_back`` gives the names back.
+    """
+    own = {n.lower() for n in names}
+    new = {c: fresh(df, f"aside_{c}") for c in df.columns if c.lower() in own}
+    return (df.withColumnsRenamed(new) if new else df), new
+
+
+def put_back(df: DataFrame, new: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed({b: a for a, b in new.items()}) if new else df
+
+
 def crc_fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text (fold 0)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % F.lit(folds)

@@ -64,7 +64,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", r
     """Profiles (lang, gram, rank from 0) from every row with a language.
 
     Tasks count n-grams with numpy and hand on one row for each language and n-gram; the sums
-    are Spark's, and a window with a row limit keeps the first ranks of each language.
+    are Spark's, and a window keeps the first ranks of each language: of each task's sums at most ``ranks`` rows of a
+    language reach the one that ranks them.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -103,7 +104,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", r
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     total = used.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
-    return total.withColumn("rank", F.row_number().over(first) - 1).where(F.col("rank") < ranks).select("lang", "gram", "rank")
+    # the filter is on the row number itself: only so does Spark keep each task's first ranks of a language before it shuffles them
+    numbered = total.withColumn("place", F.row_number().over(first)).where(F.col("place") <= ranks)
+    return numbered.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 def collect_profiles(profiles: DataFrame, ranks: int = RANKS, max_languages: int = MAX_LANGUAGES) -> dict:

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.common import put_back, set_aside
+
 THRESHOLD = 0.8
 
 #: Disclaimers that end the complete texts.
@@ -117,6 +119,10 @@ def pivots(templates: list[list[str]], threshold: float) -> list[str]:
     return sorted(chosen)
 
 
+#: Columns that a scan makes on its way; columns of the caller with these names are set aside.
+STEPS = ("units", "unit_words", "names", "best", "rest", "rest_grams", "windows", "kept", "found", "n_found")
+
+
 def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]] | None = None,
          threshold: float = THRESHOLD, windows: bool = True) -> DataFrame:
     """Add ``license`` (name or null), ``dice`` (of the best unit, null if none) and ``n_units`` with a licence.
@@ -126,6 +132,8 @@ def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     named = [(name, grams) for name, text in sorted(templates or TEMPLATES) if (grams := bigrams(text))]
+    docs, aside = set_aside(docs, *STEPS)
+    text_col = aside.get(text_col, text_col)
     some = "|".join(pivots([g for _, g in named], threshold))
     text = f"cast(`{text_col}` AS string)"
     lines = rf"split({text}, '\n', -1)"
@@ -171,8 +179,7 @@ def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str
                          ("found", found), ("n_found", f"size(filter(best, m -> m IS NOT NULL)) + {apart}")):
         staged = staged.withColumn(column, F.expr(expr))
     top = F.expr("array_max(found)")
-    return staged.withColumns({"license": top["license"], "dice": top["dice"], "n_units": F.col("n_found").cast("bigint")}).drop(
-        "units", "unit_words", "names", "best", "rest", "rest_grams", "windows", "kept", "found", "n_found")
+    return put_back(staged.withColumns({"license": top["license"], "dice": top["dice"], "n_units": F.col("n_found").cast("bigint")}).drop(*STEPS), aside)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -82,9 +82,9 @@ def differing(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def record_counts(records: DataFrame, place_col: str, digest: Column, where: DataFrame) -> DataFrame:
     """(place, digest, n): the different records at the places of ``where``, with their numbers."""
-    place = F.coalesce(F.col(place_col).cast("bigint"), F.lit(-1))
-    found = records.withColumns({"_place": place}).join(where.select(F.col("place").alias("_place")), "_place", "left_semi")
-    return found.select(F.col("_place").alias("place"), digest.alias("digest")).groupBy("place", "digest").agg(F.count(F.lit(1)).alias("n"))
+    # the digest is taken before the join, so that no column of the records is in its way
+    own = records.select(F.coalesce(F.col(place_col).cast("bigint"), F.lit(-1)).alias("place"), digest.alias("digest"))
+    return own.join(where.select("place"), "place", "left_semi").groupBy("place", "digest").agg(F.count(F.lit(1)).alias("n"))
 
 
 def audit(a: DataFrame, b: DataFrame, place_col: str, columns: list[str], leaf: int = LEAF, fanout: int = FANOUT) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import crc_fold, written
+from adlake.llm.common import crc_fold, put_back, set_aside, written
 
 #: Buckets that words and word pairs are hashed to, at any size of the input.
 BUCKETS = 1 << 18
@@ -47,8 +47,14 @@ def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "words", F.expr(r"CASE WHEN trimmed = '' THEN cast(array() AS array<string>) ELSE split(trimmed, '[\\x20\\x09-\\x0D]+') END")).drop("trimmed")
 
 
+#: Columns that the counts make on their way; columns of the caller with these names are set aside.
+STEPS = ("trimmed", "lines", "low", "hashes", "packed", "near", "whole", "places")
+
+
 def shape(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``words``, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    docs, aside = set_aside(docs, *STEPS)
+    text_col = aside.get(text_col, text_col)
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     lines = rf"filter(split({text}, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"
     hashes = f"CASE WHEN size(words) < 4 THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, size(words) - 3), i -> {_HASH.format('i')}) END"
@@ -71,10 +77,10 @@ def shape(docs: DataFrame, text_col: str = "text") -> DataFrame:
     })
     for name, expr in (("hashes", hashes), ("packed", packed), ("near", near), ("whole", whole), ("places", places)):
         counted = counted.withColumn(name, F.expr(expr))
-    return counted.withColumns({
+    return put_back(counted.withColumns({
         "n_dup_lines": F.expr("cast(size(lines) - size(array_distinct(lines)) AS bigint)"),
         "n_repeat_words": F.expr(covered),
-    }).drop("low", "hashes", "packed", "near", "whole", "places", "lines")
+    }).drop(*STEPS), aside)
 
 
 def grams(rows: DataFrame, buckets: int) -> DataFrame:
