@@ -71,7 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_MADE: list[tuple[str, str]] = []
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (for landed files)."""
+    """A fresh sub-folder of the shared checkpoint folder (for landed files); ``clear_shared`` removes it."""
     base = ensure_checkpoint_dir(spark)
-    return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex[:12]])
+    path = "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex[:12]])
+    _MADE.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Remove the folders that this application made in the shared folder, and say how many there were.
+
+    For long-lived sessions, between jobs: DataFrames that read such a folder cannot be used after it.
+    """
+    own = [p for app, p in _MADE if app == spark.sparkContext.applicationId]
+    _MADE[:] = [x for x in _MADE if x[1] not in own]
+    conf, gone = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for p in own:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

@@ -220,3 +220,39 @@ def test_keys_are_injective(spark, rows):
     known = {tuple("Unknown" if v is None else v for v in r) for r in rows}
     assert len({r.k for r in got}) == len(known) and all(r.k == r.s for r in got)
     assert all(re.fullmatch("[0-9a-f]{32}", r.k) for r in got)
+
+
+# -- command line and shared folder
+
+def test_cli_with_rejects_contract_and_months(spark, capsys):
+    from adlake.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="adlake-cli2-")
+    for name in ("network_performance", "ads_data"):
+        B.write_csv(bronze_frame(spark, SF_SMALL, name), os.path.join(base, name))
+    with open(f"{base}/network_performance/more.csv", "w") as f:
+        f.write(",".join(f.name for f in B.declared(B.BRONZE_DDL["network_performance"])) + "\nno date,1,c,SEARCH,1,2,3.0\n")
+    main(["land", "--csv", base, "--bronze-db", "c2_bronze", "--rfc", "--rejects-db", "c2_rejects"])
+    assert spark.table("c2_rejects.network_performance").first().record == "no date,1,c,SEARCH,1,2,3.0"
+    assert spark.table("c2_rejects.ads_data").count() == 0
+    for name in ("network_performance", "ads_data"):
+        assert spark.table(f"c2_bronze.{name}").count() == bronze_frame(spark, SF_SMALL, name).count()
+    main(["check", "--bronze-db", "c2_bronze"])
+    assert "missing" in capsys.readouterr().out
+    main(["run", "--bronze-db", "c2_bronze", "--silver-db", "c2_s", "--gold-db", "c2_g", "--analytics-db", "c2_a", "--facts-by-month"])
+    assert [c.name for c in spark.catalog.listColumns("c2_g.fact_campaign_network_perf") if c.isPartition] == ["month_key"]
+    main(["audit", "--db", "c2_g", "--expect", "gold"])
+    out = capsys.readouterr().out
+    assert "missing_input" in out and "ERROR: no such table" in out
+
+
+def test_clear_shared(spark):
+    from adlake import session
+
+    kept = list(session._MADE)
+    session._MADE.clear()
+    path = session.shared_dir(spark, "clear")
+    spark.range(3).write.parquet(path)
+    assert session.clear_shared(spark) == 1 and session.clear_shared(spark) == 0
+    assert not os.path.exists(path.removeprefix("file:"))
+    session._MADE.extend(kept)
