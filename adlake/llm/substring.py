@@ -86,29 +86,48 @@ def pieces(raw: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bo
 # -- the index of a batch
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order and ranks of the suffixes of a text whose suffixes all differ; symbols below 2**16.
+    """Order and ranks of the suffixes of a text whose suffixes all differ.
 
-    Prefix doubling that sorts only what still ties: ``rank`` is the first place of a suffix's group.
+    Prefix doubling that sorts only what still ties: ``rank`` is the first place of a suffix's group.  A suffix's key, its
+    group and its place are packed in one number where they fit, so that plain numbers are sorted.
     """
-    n = len(text)
-    wide = np.concatenate((text.astype(np.uint64), np.zeros(3, dtype=np.uint64)))
-    key = (wide[:n] << np.uint64(48)) | (wide[1 : n + 1] << np.uint64(32)) | (wide[2 : n + 2] << np.uint64(16)) | wide[3 : n + 3]
-    order = np.argsort(key)
-    place, depth = np.arange(n), 4
-    rank = np.empty(n + 1, dtype=np.int64)
-    rank[n] = 0
-    key = key[order]
+    n, u = len(text), np.uint64
+    seen = np.bincount(text)
+    text = (np.cumsum(seen > 0) * (seen > 0))[text].astype(u)  # the symbols that occur, from 1 on
+    bits, place_bits = int(text.max(initial=1)).bit_length(), n.bit_length()
+    depth = max(1, (64 - place_bits) // bits)
+    wide = np.concatenate((text, np.zeros(depth, dtype=u)))
+    key = wide[:n].copy()
+    for k in range(1, depth):
+        key <<= u(bits)
+        key |= wide[k : k + n]
+    mask = u((1 << place_bits) - 1)
+
+    def ordered(key: np.ndarray, p: np.ndarray, key_bits: int) -> tuple[np.ndarray, np.ndarray]:
+        if key_bits + place_bits > 64:
+            by = np.argsort(key)
+            return key[by], p[by]
+        key <<= u(place_bits)
+        key |= p.astype(u)
+        key.sort()
+        return key >> u(place_bits), (key & mask).astype(np.int32)
+
+    place = np.arange(n, dtype=np.int32)
+    key, p = ordered(key, place, depth * bits)
+    order, rank = p.copy(), np.zeros(n + 1, dtype=np.int32)
     while True:
-        first = np.concatenate(([True], key[1:] != key[:-1]))
-        rank[order[place]] = place[first][np.cumsum(first) - 1]
-        last = np.concatenate((first[1:], [True]))
-        place = place[~(first & last)]
-        if not len(place):
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        size = np.diff(np.append(head, len(key)))
+        rank[p] = np.repeat(place[head], size)
+        more = size > 1
+        tied = np.repeat(more, size)
+        if not more.any():
             return order, rank
-        p = order[place]
-        key = (rank[p].astype(np.uint64) << np.uint64(32)) | rank[np.minimum(p + depth, n)].astype(np.uint64)
-        by = np.argsort(key, kind="stable")
-        order[place], key = p[by], key[by]
+        p, place, size = p[tied], place[tied], size[more]
+        key = np.repeat(np.arange(len(size), dtype=u) << u(place_bits), size)
+        key |= rank[np.minimum(p + np.int32(min(depth, n)), np.int32(n))].astype(u)
+        key, p = ordered(key, p, len(size).bit_length() + place_bits)
+        order[place] = p
         depth *= 2
 
 
@@ -129,9 +148,13 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def run_index(text: np.ndarray) -> dict[str, np.ndarray]:
-    """Run-compressed transform: run symbols and lengths, and the text places of the suffixes at both ends of each run."""
-    order, _ = suffix_array(text)
+def run_index(text: np.ndarray, separators: int = 0) -> dict[str, np.ndarray]:
+    """Run-compressed transform: run symbols and lengths, and the text places of the suffixes at both ends of each run.
+
+    The symbols below ``separators`` end the strings of the text, each another one.  They count as one symbol in the order of
+    the suffixes, which so has a small alphabet, and as different ones everywhere else.
+    """
+    order, _ = suffix_array(np.maximum(text, separators - 1) if separators else text)
     before = text[order - 1]
     head = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
     tail = np.concatenate((head[1:] - 1, [len(order) - 1]))
@@ -140,14 +163,16 @@ def run_index(text: np.ndarray) -> dict[str, np.ndarray]:
     return {"symbol": before[head], "size": tail - head + 1, "head": order[head], "tail": order[tail], "above": above, "below": below}
 
 
-def matched(text: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def matched(text: np.ndarray, length: int = LENGTH, separators: int = 0) -> np.ndarray:
     """Marks the symbols that a string of ``length`` symbols covers that also starts elsewhere in the text.
 
     The longest match of a suffix with its neighbour above (below) in the order is one less than that of the suffix
     one to the left, unless the suffix stands at the head (tail) of a run.  So the sampled run ends carry all match
     lengths, and a sample of length v at place p stands for the matches of p, p+1, ... up to the next sample.
+    (Where separators count as one symbol in the order, both hold for matches cut off at the next separator, as the suffix one to
+    the left is cut off at the same.)
     """
-    index = run_index(text)
+    index = run_index(text, separators)
     cover = np.zeros(len(text) + 1, dtype=np.int64)
     for place, other in ((index["head"], index["above"]), (index["tail"], index["below"])):
         place, other = place[other >= 0], other[other >= 0]
@@ -172,7 +197,7 @@ def marks(batch: list[bytes], length: int = LENGTH) -> list[list[tuple[int, int]
         parts.append(np.array([k], dtype=np.int32))
         begin.append(at)
         at += len(raw) + 1
-    hit = matched(np.concatenate(parts), length).view(np.int8)
+    hit = matched(np.concatenate(parts), length, len(batch)).view(np.int8)
     edge = np.diff(np.concatenate(([0], hit, [0])))
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     out: list[list[tuple[int, int]]] = [[] for _ in batch]
