@@ -1,11 +1,13 @@
 """Personal data: exact patterns, and a character-level bidirectional LSTM with CRF transitions that adds to them.
 
-The tagger is trained in numpy from labelled spans (by default the spans that the patterns find in a bounded
-sample of windows of the corpus).  A text is laid out in windows of ``WINDOW`` characters that overlap by half;
+The tagger is trained in numpy from labelled spans, by default those that the patterns find in a bounded sample of windows of the
+corpus, as they stand and disguised by fixed rules (``(at)`` for the at-sign, other separators, no plus), which no pattern matches.
+A text is laid out in windows of ``WINDOW`` characters that overlap by half;
 each window is decoded by Viterbi on its own, and the tags are reconciled over the whole text: a character
 takes its tag from the window in which it stands most centrally, and spans are read off the united tags.
-Every span of the patterns holds a digit or an at-sign, so a tagger that learnt from them does not decode a window with
-neither in it or near it; one that learnt from given labels decodes every window.  A span of the tagger is added where no span of the patterns overlaps it.
+Every span of the patterns, plain or disguised, holds a digit, an at-sign or a bracketed ``at`` or ``dot``, so a tagger that learnt from them
+does not decode a window with none of these in it or near it, and keeps spans that pass the patterns' checks of digits; one that learnt
+from given labels decodes every window.  A span of the tagger is added where no span of the patterns overlaps it.
 
 Defined results: null and empty texts have no spans; a corpus without any pattern match has no tagger and keeps
 the patterns' spans (none); a span that begins a window's worth from the next anchor is found by the patterns
@@ -16,6 +18,7 @@ are kept as they are.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +35,10 @@ STRIDE = WINDOW // 2
 NEAR = STRIDE
 #: Windows with and without spans that the tagger is trained on: the bound of the training sample.
 TRAIN_WITH, TRAIN_WITHOUT = 600, 300
+#: Windows with disguised spans, beside those.
+TRAIN_DISGUISED = 1200
 HIDDEN = 16
-STEPS = 300
+STEPS = 600
 BATCH = 32
 #: Least mean probability of a span's tags for a span of the tagger to be added.
 SURE = 0.9
@@ -46,7 +51,12 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHOR = re.compile(r"[0-9@]")
+_AT = re.compile(r"[(\[]at[)\]]")
+_ANCHOR = re.compile(r"[0-9@]|[(\[](?:at|dot)[)\]]")
+#: How a span is disguised: what stands for the at-sign and for the dots of an address, for the dots of an ip number, between a card's
+#: groups of four, and for a phone number's plus (with the last, slashes stand between its groups of digits).
+DISGUISES = {"email": ((" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", ".")), "ip": ("[.]", "(.)", " . "),
+             "card": (".", "/", "_"), "phone": ("00", "", "/")}
 
 
 def luhn(digits: str) -> bool:
@@ -89,6 +99,47 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def disguised(kind: str, span: str, n: int) -> str:
+    """A span as someone writes it who does not want it found: the ``n``-th way of its kind, by a fixed rule."""
+    way = DISGUISES[kind][n % len(DISGUISES[kind])]
+    if kind == "email":
+        name, host = span.split("@", 1)
+        return name + way[0] + host.replace(".", way[1])
+    if kind == "ip":
+        return span.replace(".", way)
+    if kind == "card":
+        digits = "".join(c for c in span if c not in " -")
+        return way.join(digits[k : k + 4] for k in range(0, len(digits), 4))
+    return "/".join(re.findall("[0-9]+", span)) if way == "/" else way + span[1:]
+
+
+def disguise(text: str, spans: list[tuple[str, int, int]], n: int | None = None) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text with each span disguised, in the ``n``-th way or one that a checksum of it picks, and where the spans then stand.
+
+    Of spans that overlap the first is disguised, and the others are left out.
+    """
+    parts, out, at, done = [], [], 0, 0
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if a >= done:
+            new = disguised(kind, text[a:b], zlib.crc32(text[a:b].encode("utf-8", "surrogatepass")) if n is None else n)
+            parts += [text[done:a], new]
+            at += a - done
+            out.append((kind, at, at + len(new)))
+            at, done = at + len(new), b
+    return "".join([*parts, text[done:]]), out
+
+
+def plausible(kind: str, span: str) -> bool:
+    """Whether what the tagger found can be of its kind at all: the checks of the patterns, whatever stands between the digits."""
+    digits = _DIGIT.findall(span)
+    if kind == "email":
+        return "@" in span or bool(_AT.search(span))
+    if kind == "ip":
+        numbers = [p.lstrip("0") or "0" for p in re.findall("[0-9]+", span)]
+        return len(numbers) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in numbers)
+    return 16 <= len(digits) <= 19 and luhn("".join(digits)) if kind == "card" else 8 <= len(digits) <= 15
+
+
 # -- windows
 
 def windows_of(text: str, every: bool = False) -> np.ndarray:
@@ -293,7 +344,7 @@ def viterbi(p: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.n
 def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, every: bool = False) -> list[tuple[str, int, int]]:
     """Spans of the whole text: each character's tag is that of the window in which it stands most centrally.
 
-    A span needs a mean probability of its tags of at least ``SURE`` and, unless ``every`` window was decoded, a digit or at-sign.
+    A span needs a mean probability of its tags of at least ``SURE`` and, unless the labels were given (``every``), to be ``plausible``.
     """
     middle = slice(WINDOW // 4, WINDOW // 4 + STRIDE)  # the middle halves of all windows tile the text
     place = (starts[:, None] + np.arange(WINDOW)[None, :])[:, middle].reshape(-1)
@@ -307,7 +358,7 @@ def reconcile(text: str, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray,
             spans[-1][3] += q
         elif t % 2:
             spans.append([kind, at, at + 1, q])
-    return [(k, a, b) for k, a, b, q in spans if q >= SURE * (b - a) and (every or _ANCHOR.search(text, a, b))]
+    return [(k, a, b) for k, a, b, q in spans if q >= SURE * (b - a) and (every or plausible(k, text[a:b]))]
 
 
 def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
@@ -345,14 +396,15 @@ def tagged_spans(p: dict[str, np.ndarray], texts: list[str | None]) -> list[list
 # -- Spark
 
 def training_windows(docs: DataFrame, text_col: str = "text", spans_col: str | None = None, n_with: int = TRAIN_WITH,
-                     n_without: int = TRAIN_WITHOUT) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded sample of labelled windows: of distinct windows those of smallest hash, with and without spans.
+                     n_without: int = TRAIN_WITHOUT, n_disguised: int = TRAIN_DISGUISED) -> tuple[np.ndarray, np.ndarray]:
+    """A bounded sample of labelled windows: of distinct windows those of smallest hash, with spans, without, and with disguised ones.
 
-    ``spans_col`` (array of struct kind, start, end) holds the labels; without it the patterns' spans are the labels.
+    ``spans_col`` (array of struct kind, start, end) holds the labels; without it the patterns' spans are the labels, and a
+    text with spans is taken again with all of them disguised, once in each way, so that the tagger learns what the patterns miss.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got, lab = [], []
+            got, lab, new = [], [], []
             for row in range(batch.num_rows):
                 text = batch.column(0)[row].as_py()
                 starts = windows_of(text, spans_col is not None)
@@ -360,19 +412,29 @@ def training_windows(docs: DataFrame, text_col: str = "text", spans_col: str | N
                     continue
                 spans = base_spans(text) if spans_col is None else [
                     (s["kind"], s["start"], s["end"]) for s in batch.column(1)[row].as_py() or []]
-                tag = np.zeros(len(text) + 3 * WINDOW, dtype=np.int64)
-                tag[WINDOW : WINDOW + len(text)] = tags_of(len(text), spans)
-                for w, t in zip(cut_windows(text, starts), tag[(starts + WINDOW)[:, None] + np.arange(WINDOW)], strict=True):
-                    got.append(w.astype(np.uint8).tobytes())
-                    lab.append(t.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(got, type=pa.binary()), pa.array(lab, type=pa.binary())], names=["win", "tag"])
+                versions = [(text, starts, spans)]
+                if spans_col is None and spans:
+                    for n in range(max(map(len, DISGUISES.values()))):
+                        other, moved = disguise(text, spans, n)
+                        versions.append((other, windows_of(other), moved))
+                for k, (text, starts, spans) in enumerate(versions):
+                    tag = np.zeros(len(text) + 3 * WINDOW, dtype=np.int64)
+                    tag[WINDOW : WINDOW + len(text)] = tags_of(len(text), spans)
+                    for w, t in zip(cut_windows(text, starts), tag[(starts + WINDOW)[:, None] + np.arange(WINDOW)], strict=True):
+                        if k == 0 or t.any():
+                            got.append(w.astype(np.uint8).tobytes())
+                            lab.append(t.astype(np.uint8).tobytes())
+                            new.append(min(k, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(got, type=pa.binary()), pa.array(lab, type=pa.binary()), pa.array(new, type=pa.int32())], names=["win", "tag", "new"])
 
     text = F.col(text_col).cast("string")
     rows = docs.where(text.rlike("[0-9@]") if spans_col is None else text != "").select(text.alias("text"), *([F.col(spans_col)] if spans_col else []))
-    each = rows.mapInArrow(cut, "win binary, tag binary").groupBy("win").agg(F.min("tag").alias("tag"))
-    each = each.select("win", "tag", F.xxhash64("win").alias("h"), (F.col("tag") != F.lit(bytes(WINDOW))).alias("marked"))
-    pick = [r for marked, n in ((True, n_with), (False, n_without))
-            for r in each.where(F.col("marked") == marked).orderBy("h", "win").limit(n).collect()]
+    each = rows.mapInArrow(cut, "win binary, tag binary, new int").groupBy("win").agg(F.min("tag").alias("tag"), F.min("new").alias("new"))
+    kind = F.when(F.col("tag") == F.lit(bytes(WINDOW)), "without").when(F.col("new") == 1, "disguised").otherwise("with")
+    each = each.select("win", "tag", F.xxhash64("win").alias("h"), kind.alias("kind"))
+    pick = [r for kind, n in (("with", n_with), ("without", n_without), ("disguised", n_disguised))
+            for r in each.where(F.col("kind") == kind).orderBy("h", "win").limit(n).collect()]
     as_rows = lambda k: np.array([list(r[k]) for r in pick], dtype=np.int64).reshape(-1, WINDOW)
     return as_rows("win"), as_rows("tag")
 
