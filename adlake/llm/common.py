@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.session import ensure_checkpoint_dir
+from adlake.session import ensure_checkpoint_dir, shared_dir
 
 #: Word separators of every operator here that splits on ASCII white space: \x20 and \x09-\x0D.
 #: ``bytes.split()`` splits on exactly these, ``bytes.lower()`` lower-cases exactly A-Z.
@@ -78,8 +78,7 @@ def written(df: DataFrame, name: str, max_rows_per_file: int = 0) -> DataFrame:
     Used where a costly column is read more than once: the lineage is cut, lost executors
     re-read the files, and later scans read only the columns they need.
     """
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    path = shared_dir(df.sparkSession, name)
     df.write.option("maxRecordsPerFile", max_rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
