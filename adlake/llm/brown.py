@@ -1,15 +1,20 @@
 """Language-model scores by Brown class-based bigrams.
 
-Units are the most frequent words, and the last bytes of all other words (a rarer word is modelled as its ending
-followed by the word among those with that ending).  Exchange clustering assigns every unit to a class: from a
-round-robin start each unit moves to the class that raises the class-bigram likelihood most, sweep after sweep.
+Units are all words found ``LEAST`` times or more, and the last bytes of all other words (a rarer word is modelled as its
+ending followed by the word among those with that ending; endings of fewer tokens are one unit).  Exchange clustering assigns
+every unit to a class.  It begins with a core, the most frequent words and endings, which fits one matrix: from a
+round-robin start each of its units moves to the class that raises the class-bigram likelihood most, sweep after sweep.  All
+units then start in the class of their core unit (a word outside the core: its ending's) and are exchanged in Spark: unit
+bigrams are joined with classes, and in each round every unit, against the classes of the round before, moves to its best class;
+a round that does not raise the likelihood of the whole is undone and ends the exchange.
 A text's probability is the product, over its tokens, of the class transition, the unit within its class and, for
 words outside the frequent ones, the word within its ending, each smoothed:
 
     (n(c', c) + K p(c)) / (n(c') + K),   (n(u) + 1/2) / (n(c) + units(c)/2),   (n(w) + 1) / (n(e) + words(e) + 1)
 
 Counts of words, units and unit bigrams cover all training texts.  The model that travels is bounded by its parameters
-(units squared, ``HOT`` words); counts of all other words stay in Spark and meet the texts in a join.
+(core units squared, ``HOT`` words, three-byte endings); counts and classes of all other words stay in Spark and meet the texts
+in joins.  A bit map of those that have a class travels, so that few others are looked for.
 
 Defined results: a null or empty text has the end token only; with no training text every count is zero and the
 scores follow from the formulas; repeated rows count and come out as often as they are there; a null id
@@ -19,6 +24,7 @@ counts as the empty text in the fold; other columns play no part.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +34,28 @@ from pyspark.sql import functions as F
 
 from adlake.llm.common import crc_fold, written
 
-#: Frequent words that are units of their own, and endings that are units.
+#: Words and endings of the core, whose classes the exchange in Spark begins with.
 WORDS, ENDINGS = 1000, 500
+#: Tokens from which on a word, or an ending of rarer words, is a unit of its own.
+LEAST = 50
 ENDING = 3
 CLASSES = 48
 SWEEPS = 6
+#: Rounds of the exchange in Spark at most, and the part by which a round must raise the likelihood for another one.
+ROUNDS, RISE = 2, 0.001
 #: Words whose counts travel to the tasks; those of all others are joined.
 HOT = 150_000
 #: Weight of the class frequencies in the transitions.
 SMOOTH = 20.0
 #: Distinct words or unit pairs a task holds before it hands on partial counts.
 FLUSH = 250_000
+#: Tokens of which a task counts unit pairs at once.
+BLOCK = 2_000_000
+#: Bits of the map of words that have a class and do not travel (2 MB whatever the corpus).
+MAP_BITS = 24
+
+#: A transition's classes, and its words whose classes are to be looked up.
+LINK = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 END, REST = 0, 1  # units: the end token, and endings that are no unit
 
@@ -75,14 +92,21 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Lookup(dict):
-    """Word -> its number if its count travels, else the complement of its ending's unit."""
+    """Word -> its number if its count travels, else the complement of its ending's unit, less ``ASK`` if it may have a class."""
+
+    ASK = 1 << 40
 
-    def __init__(self, hot: list[bytes], ending: dict[bytes, int]):
+    def __init__(self, hot: list[bytes], ending: dict[bytes, int], bits: bytes | None = None):
         super().__init__((w, k) for k, w in enumerate(hot))
-        self.ending = ending
+        self.ending, self.bits = ending, bits
 
     def __missing__(self, word: bytes) -> int:
-        return ~self.ending.get(word[-ENDING:], REST)
+        unit = ~self.ending.get(word[-ENDING:], REST)
+        if self.bits is not None:
+            bit = zlib.crc32(word) >> (32 - MAP_BITS)
+            if self.bits[bit >> 3] >> (bit & 7) & 1:
+                return unit - self.ASK
+        return unit
 
 
 _LOOKUPS: dict[str, Lookup] = {}
@@ -91,40 +115,84 @@ _LOOKUPS: dict[str, Lookup] = {}
 def _lookup(model: dict) -> Lookup:
     if model["key"] not in _LOOKUPS:
         _LOOKUPS.clear()
-        _LOOKUPS[model["key"]] = Lookup(model["hot"], model["ending"])
+        _LOOKUPS[model["key"]] = Lookup(model["hot"], model["ending"], model["bits"])
     return _LOOKUPS[model["key"]]
 
 
-def _numbers(model: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Lookup numbers and units of a text's words."""
+def _numbers(model: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lookup numbers and units of a text's words, and which of these may have a class that does not travel."""
     number = np.fromiter(map(_lookup(model).__getitem__, words), dtype=np.int64, count=len(words))
-    return number, np.where(number >= 0, model["unit"][np.maximum(number, 0)], ~number)
+    ask = number < -(Lookup.ASK >> 1)
+    number = np.where(ask, number + Lookup.ASK, number)
+    return number, np.where(number >= 0, model["unit"][np.maximum(number, 0)], ~number), ask
+
+
+def _bit_map(words: DataFrame) -> bytes:
+    """A map of 2**MAP_BITS bits with the first bits of each word's crc32 set; Spark builds it in parts of 4 KB."""
+    rows = words.select(F.shiftright(F.crc32("word"), 32 - MAP_BITS).alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits")).collect()
+    out = bytearray(1 << (MAP_BITS - 3))
+    for r in rows:
+        out[r["part"] * 4096 : (r["part"] + 1) * 4096] = r["bits"]
+    return bytes(out)
 
 
-def unit_bigrams(texts: DataFrame, shared, units: int) -> np.ndarray:
-    """Matrix of unit bigrams over all texts, the end token before the first and after the last word."""
+def _asked(unit: np.ndarray, words: list[bytes], ask: np.ndarray) -> tuple[list, list, list, list]:
+    """Units and, where to be looked up, words of both sides of a text's links of which a side has to be looked up."""
+    named = [None, *[w if k else None for w, k in zip(words, ask.tolist(), strict=True)], None]
+    at = np.flatnonzero(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))
+    return unit[at].tolist(), unit[at + 1].tolist(), [named[k] for k in at], [named[k + 1] for k in at]
+
+
+def unit_bigrams(texts: DataFrame, shared) -> DataFrame:
+    """(a, b, aw, bw, n): bigrams of units over all texts, the end token before the first and after the last word; ``aw`` and ``bw``
+    name words whose unit is still to be looked up, and is a or b if there is none."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        total = np.zeros(units * units, dtype=np.int64)
-        waiting, size = [], 0
+        size = model["dense"]
+        waiting, held = [], 0
+        odd: dict[tuple, int] = {}
+
+        def rows() -> pa.RecordBatch:
+            nonlocal waiting, held
+            pair, n = np.unique(np.concatenate(waiting or [np.zeros(0, dtype=np.int64)]), return_counts=True)
+            keys, none = list(odd), pa.nulls(len(pair), pa.binary())
+            out = pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate((pair // size, np.array([k[0] for k in keys], dtype=np.int64)))),
+                pa.array(np.concatenate((pair % size, np.array([k[1] for k in keys], dtype=np.int64)))),
+                *[pa.concat_arrays([none, pa.array([k[c] for k in keys], type=pa.binary())]) for c in (2, 3)],
+                pa.array(np.concatenate((n, np.array(list(odd.values()), dtype=np.int64))))], names=["a", "b", "aw", "bw", "n"])
+            waiting, held = [], 0
+            odd.clear()
+            return out
+
         for batch in batches:
             for text in _texts(batch, 0):
-                _, unit = _numbers(model, tokens_of(text))
+                words = tokens_of(text)
+                _, unit, ask = _numbers(model, words)
                 unit = np.concatenate(([END], unit, [END]))
-                waiting.append(unit[:-1] * units + unit[1:])
-                size += len(unit)
-                if size > 500_000:
-                    np.add(total, np.bincount(np.concatenate(waiting), minlength=len(total)), out=total)
-                    waiting, size = [], 0
-        if waiting:
-            np.add(total, np.bincount(np.concatenate(waiting), minlength=len(total)), out=total)
-        pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
-
-    found = texts.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(units * units)
-    out[found["pair"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(units, units)
+                if ask.any():
+                    for k in zip(*_asked(unit, words, ask), strict=True):
+                        odd[k] = odd.get(k, 0) + 1
+                    known = ~(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))
+                    waiting.append((unit[:-1] * size + unit[1:])[known])
+                else:
+                    waiting.append(unit[:-1] * size + unit[1:])
+                held += len(unit)
+                if held > BLOCK or len(odd) > FLUSH:
+                    yield rows()
+        yield rows()
+
+    found = texts.mapInArrow(count, "a bigint, b bigint, aw binary, bw binary, n bigint")
+    return found.groupBy("a", "b", "aw", "bw").agg(F.sum("n").alias("n"))
+
+
+def _looked_up(rows: DataFrame, cold: DataFrame, name: str, word: str, value: str) -> DataFrame:
+    """Column ``name`` replaced by the ``value`` that ``cold`` has for the word in column ``word``, if any.  Rows without a word are dealt out."""
+    key = F.coalesce(word, F.concat(F.lit(" "), F.pmod(F.xxhash64(*rows.columns), F.lit(1000)).cast("string")).cast("binary"))
+    there = cold.select(F.col("word").alias("_word"), F.col(value).alias("_value"))
+    return rows.withColumn("_key", key).join(there, F.col("_key") == F.col("_word"), "left").select(
+        *[F.coalesce("_value", name).alias(c) if c == name else c for c in rows.columns])
 
 
 def _h(x: np.ndarray) -> np.ndarray:
@@ -155,7 +223,7 @@ def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.
             pair[a] -= right
             pair[:, a] -= left
             pair[a, a] -= own
-            row, col = pair.sum(axis=1), pair.sum(axis=0)
+            row, col = pair.sum(axis=1) + left, pair.sum(axis=0) + right  # the links with other units, wherever w goes
             held = _h(pair)
             diag = np.arange(classes)
             gain = (_h(pair + right) - held).sum(axis=1) + (_h(pair.T + left) - held.T).sum(axis=1)
@@ -176,46 +244,184 @@ def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.
     return cls
 
 
+def likelihood(pair: np.ndarray) -> float:
+    """What the classes add to the log-likelihood of the bigrams."""
+    return float(_h(pair).sum() - _h(pair.sum(axis=1)).sum() - _h(pair.sum(axis=0)).sum())
+
+
+def best_classes(pair: np.ndarray, cls: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The class of each unit that raises the likelihood most if it alone moves; ``right`` and ``left`` are its counts by the class of
+    the unit after and before it, without ``own``, those with itself.  As in ``exchange``, for many units at once."""
+    m, size = right.shape
+    unit, diag = np.arange(m), np.arange(size)
+    p = np.repeat(pair[None], m, axis=0)
+    p[unit, cls] -= right
+    p[unit, :, cls] -= left
+    p[unit, cls, cls] -= own
+    row, col, held = p.sum(axis=2) + left, p.sum(axis=1) + right, _h(p)
+    gain = (_h(p + right[:, None, :]) - held).sum(axis=2) + (_h(p + left[:, :, None]) - held).sum(axis=1)
+    d, h = p[:, diag, diag], held[:, diag, diag]
+    gain -= _h(d + right) + _h(d + left) - 2 * h
+    gain += _h(d + right + left + own[:, None]) - h
+    gain -= _h(row + (right.sum(axis=1) + own)[:, None]) - _h(row) + _h(col + (left.sum(axis=1) + own)[:, None]) - _h(col)
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[unit, best] <= gain[unit, cls] + 1e-9, cls, best)
+
+
+def _moves(shared):
+    """Sorted rows (unit, side, c, n) of whole units: counts by the class after (side 0) and before (1), with itself (2), and its class (3)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = shared.value
+
+        def moved(rows: np.ndarray) -> pa.RecordBatch:
+            units, at = np.unique(rows[:, 0], return_inverse=True)
+            out = np.zeros(len(units), dtype=np.int64)
+            for k in range(0, len(units), 128):
+                part = rows[(at >= k) & (at < k + 128)] if len(units) > 128 else rows
+                cell = np.zeros((min(128, len(units) - k), 4, len(pair)))
+                np.add.at(cell, (np.searchsorted(units, part[:, 0]) - k, part[:, 1], part[:, 2]), part[:, 3])
+                cls, own = cell[:, 3].argmax(axis=1), cell[:, 2].sum(axis=1)
+                each = np.arange(len(cls))
+                for side in (0, 1):
+                    cell[each, side, cls] -= own
+                best = best_classes(pair, cls, cell[:, 0], cell[:, 1], own)
+                out[k : k + 128] = np.where(units[k : k + 128] == END, cls, best)
+            return pa.RecordBatch.from_arrays([pa.array(units), pa.array(out)], names=["unit", "cls"])
+
+        rest = np.zeros((0, 4), dtype=np.int64)
+        for batch in batches:
+            rows = np.concatenate((rest, np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)))
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0])) if len(rows) else 0  # the last unit may go on in the next batch
+            if last:
+                yield moved(rows[:last])
+            rest = rows[last:]
+        if len(rest):
+            yield moved(rest)
+
+    return run
+
+
+def spread(bigrams: DataFrame, cls: DataFrame, size: int, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """Classes (unit, cls) after the exchange of all units, and the counts of class pairs: (a, b, n) joined with classes, round by round."""
+    spark = bigrams.sparkSession
+
+    def joined(cls: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        parts = [bigrams.join(cls.withColumnRenamed("unit", there), there).groupBy(F.col(here).alias("unit"), F.lit(side).cast("bigint").alias("side"), F.col("cls").alias("c")).agg(
+            F.sum("n").alias("n")) for side, here, there in ((0, "a", "b"), (1, "b", "a"))]
+        rows = written(parts[0].union(parts[1]), "class-bigrams")
+        found = rows.where("side = 0").join(cls, "unit").groupBy("cls", "c").agg(F.sum("n").alias("n")).toArrow()
+        pair = np.zeros((size, size))
+        pair[found["cls"].to_numpy(), found["c"].to_numpy()] = found["n"].to_numpy()
+        return rows, pair
+
+    rows, pair = joined(cls)
+    for _ in range(rounds):
+        own = bigrams.where("a = b").groupBy(F.col("a").alias("unit")).agg(F.sum("n").alias("n"))
+        every = rows.union(own.select("unit", F.lit(2).cast("bigint"), F.lit(0).cast("bigint"), "n")).union(
+            cls.select("unit", F.lit(3).cast("bigint"), "cls", F.lit(1).cast("bigint")))
+        shared = spark.sparkContext.broadcast(pair)
+        moved = written(every.repartition("unit").sortWithinPartitions("unit").mapInArrow(_moves(shared), "unit bigint, cls bigint"), "classes")
+        rows, new = joined(moved)
+        before, after = likelihood(pair), likelihood(new)
+        if after <= before:
+            break
+        cls, pair = moved, new
+        if after - before < RISE * abs(before):
+            break
+    return cls, pair
+
+
 def train(texts: DataFrame, words: int = WORDS, endings: int = ENDINGS, classes: int = CLASSES, hot: int = HOT,
-          sweeps: int = SWEEPS) -> tuple[dict, DataFrame]:
-    """(model, counts) from one column of texts; ``counts`` (word, n) of all words is written to the shared folder."""
+          sweeps: int = SWEEPS, least: int = LEAST, rounds: int = ROUNDS) -> tuple[dict, DataFrame]:
+    """(model, counts) from one column of texts; ``counts`` (word, n, emit) of all words is written to the shared folder.
+
+    ``emit`` is for words that have a class and do not travel.  ``model["cold"]`` has their units and classes, or is None.
+    """
+    spark = texts.sparkSession
     counts = written(word_counts(texts), "word-counts")
     n_docs = texts.count()
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = counts.orderBy(F.desc("n"), "word").limit(hot).toArrow()
     hot_words, hot_n = top["word"].to_pylist(), top["n"].to_numpy().astype(np.float64)
-    own = hot_words[:words]
-    tail = f"substring(word, greatest(length(word) - {ENDING - 1}, 1), {ENDING})"
-    rest = counts.where(~F.col("word").isin(own)) if own else counts
-    ends = rest.groupBy(F.expr(tail).alias("ending")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
-    ends = written(ends, "endings")
-    listed = ends.orderBy(F.desc("n"), "ending").limit(endings).collect()
-    ending = {bytes(r["ending"]): 2 + len(own) + k for k, r in enumerate(listed)}
-    units = 2 + len(own) + len(listed)
-    of_ending, kinds = np.zeros(units), np.zeros(units)
-    for r in listed:
-        of_ending[ending[bytes(r["ending"])]], kinds[ending[bytes(r["ending"])]] = r["n"], r["words"]
-    every = ends.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    n_core = min(words, len(hot_words))
+    many = max(n_core, int((hot_n >= least).sum()))  # the hot words that have a class of their own: the first ones
+    core = F.lit(False)
+    if n_core:
+        low, word = int(hot_n[n_core - 1]), hot_words[n_core - 1]
+        core = (F.col("n") > low) | ((F.col("n") == low) & (F.col("word") <= F.lit(word)))
+    ending_of = f"substring(word, greatest(length(word) - {ENDING - 1}, 1), {ENDING})"
+    rest = counts.where(~core).select("n", F.expr(ending_of).alias("ending"), (F.col("n") < least).alias("rare"))
+    ends = written(rest.groupBy("ending").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("rare"), F.col("n")).otherwise(0)).alias("rare"),
+        F.sum(F.col("rare").cast("bigint")).alias("words")), "endings")
+    heads = {bytes(r["ending"]): 2 + n_core + k for k, r in enumerate(ends.orderBy(F.desc("n"), "ending").limit(endings).collect())}
+    listed = ends.where(F.col("rare") >= least).orderBy(F.desc("rare"), "ending").collect()  # as many as there are ends of three bytes at most
+    ending = {bytes(r["ending"]): 2 + k for k, r in enumerate(listed)}
+    first = 2 + len(listed)  # units: the end, the rest, endings, hot words, others
+    dense = first + many
+    of_ending, kinds = np.zeros(dense), np.zeros(dense)
+    for k, r in enumerate(listed):
+        of_ending[2 + k], kinds[2 + k] = r["rare"], r["words"]
+    every = ends.agg(F.sum("rare").alias("n"), F.sum("words").alias("words")).first()
     of_ending[REST], kinds[REST] = (every["n"] or 0) - of_ending.sum(), (every["words"] or 0) - kinds.sum()
-    unit = np.array([2 + k if k < len(own) else ending.get(w[-ENDING:], REST) for k, w in enumerate(hot_words)] or [REST], dtype=np.int64)
-    model = {"key": uuid.uuid4().hex, "hot": hot_words, "ending": ending, "unit": unit}
-
-    sc = texts.sparkSession.sparkContext
-    shared = sc.broadcast(model)
-    n = unit_bigrams(texts, shared, units)
-    cls = exchange(n, classes, sweeps)
-    size = int(cls.max()) + 1
-    member = np.eye(size)[cls]
-    pair = member.T @ n @ member
+    unit = np.array([first + k if k < many else ending.get(w[-ENDING:], REST) for k, w in enumerate(hot_words)] or [REST], dtype=np.int64)
+    core_of = np.array([END, REST, *[heads.get(e, REST) for e in ending],
+                        *[2 + k if k < n_core else heads.get(w[-ENDING:], REST) for k, w in enumerate(hot_words[:many])]], dtype=np.int64)
+
+    cold = bits = None
+    if many == len(hot_words) == hot:
+        low, word = int(hot_n[-1]), hot_words[-1]
+        others = counts.where((F.col("n") >= least) & ((F.col("n") < low) | ((F.col("n") == low) & (F.col("word") > F.lit(word)))))
+        cold = written(others.select("word", "n", (F.monotonically_increasing_id() + dense).alias("unit")), "cold-words")
+        bits = _bit_map(cold)
+    model = {"key": uuid.uuid4().hex, "hot": hot_words, "ending": ending, "unit": unit, "bits": bits, "dense": dense}
+    found = written(unit_bigrams(texts, spark.sparkContext.broadcast(model)), "unit-bigrams")
+    bigrams = found.select("a", "b", "n")
+    if cold is not None:
+        asked = found.where("aw IS NOT NULL OR bw IS NOT NULL")
+        asked = _looked_up(_looked_up(asked, cold, "a", "aw", "unit"), cold, "b", "bw", "unit")
+        bigrams = written(found.where("aw IS NULL AND bw IS NULL").select("a", "b", "n").union(asked.select("a", "b", "n")), "unit-bigrams")
+
+    # the core's classes, then those of all units
+    def by_unit(own: np.ndarray, of_cold) -> DataFrame:
+        table = spark.createDataFrame(pa.table({"unit": np.arange(dense), "cls": own.astype(np.int64)}))
+        return table if cold is None else table.union(cold.select("unit", of_cold.cast("bigint").alias("cls")))
+
+    head = F.lit(REST)
+    if cold is not None and heads:
+        head = F.coalesce(F.element_at(F.create_map(*[x for e, k in heads.items() for x in (F.lit(e.hex().upper()), F.lit(k))]), F.hex(F.expr(ending_of))), F.lit(REST))
+    units = 2 + n_core + len(heads)
+    cores = by_unit(core_of, head)
+    pairs = bigrams.join(cores.select(F.col("unit").alias("a"), F.col("cls").alias("x")), "a").join(
+        cores.select(F.col("unit").alias("b"), F.col("cls").alias("y")), "b").groupBy("x", "y").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros((units, units))
+    n[pairs["x"].to_numpy(), pairs["y"].to_numpy()] = pairs["n"].to_numpy()
+    cls_core = exchange(n, classes, sweeps)
+    size = int(cls_core.max()) + 1
+    start = by_unit(cls_core[core_of], F.element_at(F.array(*[F.lit(int(c)) for c in cls_core]), head + 1))
+    table, pair = spread(bigrams, written(start, "classes"), size, rounds if dense > 2 else 0)
+    cls = cls_core[core_of]
+    own = table.where(F.col("unit") < dense).toArrow()
+    cls[own["unit"].to_numpy()] = own["cls"].to_numpy()
+
     freq = pair.sum(axis=0)
     share = (freq + 0.5) / (freq.sum() + 0.5 * size)
-    n_unit = n.sum(axis=0)
-    n_class = np.bincount(cls, weights=n_unit, minlength=size)
-    in_class = np.bincount(cls, minlength=size)
-    is_ending = np.concatenate(([False, True], np.zeros(len(own), dtype=bool), np.ones(len(listed), dtype=bool)))
+    n_unit = np.concatenate(([n_docs], of_ending[1:first], hot_n[:many]))
+    n_class, in_class = np.bincount(cls, weights=n_unit, minlength=size), np.bincount(cls, minlength=size).astype(np.float64)
+    if cold is not None:
+        cold = written(cold.join(table, "unit"), "cold-words")
+        for r in cold.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+            n_class[r["cls"]] += r["n"]
+            in_class[r["cls"]] += r["words"]
+        below = F.element_at(F.array(*[F.lit(float(x)) for x in n_class + 0.5 * in_class]), (F.col("cls") + 1).cast("int"))
+        counts = written(counts.join(cold.select("word", F.log10((F.col("n") + 0.5) / below).alias("emit")), "word", "left"), "word-counts")
+    else:
+        counts = counts.withColumn("emit", F.lit(None).cast("double"))
+    is_ending = (np.arange(dense) > END) & (np.arange(dense) < first)
     model |= {
-        "units": units, "classes": cls, "n_tokens": int(total["n"] or 0) + n_docs, "n_words": int(total["v"]) + (n_docs > 0),
-        "n_end": n_docs, "hot_log": np.log10((hot_n if len(hot_n) else np.zeros(1)) + 1),
+        "units": dense, "classes": cls, "n_tokens": int(total["n"] or 0) + n_docs, "n_words": int(total["v"]) + (n_docs > 0),
+        "n_end": n_docs, "hot_log": np.log10((hot_n if len(hot_n) else np.zeros(1)) + 1), "cold": cold,
         "move": np.log10((pair + SMOOTH * share) / (pair.sum(axis=1, keepdims=True) + SMOOTH)),
         "emit": np.log10((n_unit + 0.5) / (n_class + 0.5 * in_class)[cls]) - np.where(is_ending, np.log10(of_ending + kinds + 1), 0.0),
         "is_ending": is_ending,
@@ -227,18 +433,20 @@ def score(docs: DataFrame, model: dict, counts: DataFrame, id_col: str = "doc_id
     """(id, n_tokens, n_known, base_log, score): tokens, known tokens, sum of log10(count + 1), log10 probability.
 
     The tasks add up all that the travelling model knows.  A word outside of it is one row (word, text, times in the text),
-    joined with its count; the sums of both meet by text.
+    joined with its count; transitions to or from a word whose class does not travel are rows joined with its class; the sums
+    meet by text.
     """
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(model)
+    sc, cold = docs.sparkSession.sparkContext, model["cold"]
+    shared = sc.broadcast({k: v for k, v in model.items() if k != "cold"})
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            row, word, times, at, n_tok, n_known, base, prob = [], [], [], [], [], [], [], []
+            row, word, times, at, n_tok, n_known, base, prob, spare = [], [], [], [], [], [], [], [], []
+            links: tuple[list, ...] = ([], [], [], [], [])  # text, classes, words to be looked up
             for key, text in zip(batch.column(0).to_pylist(), _texts(batch, 2), strict=True):
                 words = tokens_of(text)
-                number, unit = _numbers(m, words)
+                number, unit, ask = _numbers(m, words)
                 cls = m["classes"][np.concatenate(([END], unit, [END]))]
                 hot = number >= 0
                 log = m["hot_log"][np.maximum(number, 0)] * hot
@@ -251,30 +459,54 @@ def score(docs: DataFrame, model: dict, counts: DataFrame, id_col: str = "doc_id
                 word += seldom
                 times.append(0)
                 times += seldom.values()
+                # a word that may have a class: its emission as one that has none
+                maybe = {words[k]: float(m["emit"][unit[k]]) for k in np.flatnonzero(ask).tolist()}
+                spare += [0.0, *[maybe.get(w, 0.0) for w in seldom]]
+                move = m["move"][cls[:-1], cls[1:]]
+                if maybe:
+                    asked = _asked(cls, words, ask)
+                    for to, some in zip(links, ([key] * len(asked[0]), *asked), strict=True):
+                        to += some
+                    move = move[~(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))]
                 n_tok.append(len(words) + 1)
                 n_known.append(int(hot.sum()) + (m["n_end"] > 0))
                 base.append(float(log.sum() + np.log10(m["n_end"] + 1)))
-                prob.append(float(m["move"][cls[:-1], cls[1:]].sum() + m["emit"][unit].sum() + m["emit"][END] + log[m["is_ending"][unit]].sum()))
+                prob.append(float(move.sum() + m["emit"][unit[~ask]].sum() + m["emit"][END] + log[m["is_ending"][unit]].sum()))
             # sums and ids stand in a text's first row
             own = np.full(len(row), -1)
             own[at] = np.arange(len(at))
             own = pa.array(own, mask=own < 0)
             first = [batch.column(1), pa.array(n_tok, type=pa.int64()), pa.array(n_known, type=pa.int64()),
                      pa.array(base, type=pa.float64()), pa.array(prob, type=pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row, type=pa.int64()), pa.array(word, type=pa.binary()), pa.array(times, type=pa.int64()),
-                 *[c.take(own) for c in first]], names=["row", "word", "times", "id", "n_tokens", "n_known", "base", "prob"])
+            arrays = [pa.array(row, type=pa.int64()), pa.array(word, type=pa.binary()), pa.array(times, type=pa.int64()), pa.array(spare, type=pa.float64()),
+                      *[c.take(own) for c in first], *[pa.nulls(len(row), kind) for kind in LINK]]
+            more = [pa.array(links[0], type=pa.int64()), *[pa.nulls(len(links[0]), c.type) for c in arrays[1:9]],
+                    *[pa.array(c, type=kind) for c, kind in zip(links[1:], LINK, strict=True)]]
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(arrays, more, strict=True)], names=[
+                "row", "word", "times", "spare", "id", "n_tokens", "n_known", "base", "prob", "x", "y", "aw", "bw"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = numbered.schema["id"].dataType.simpleString()
     rows = numbered.mapInArrow(
-        parts, f"row bigint, word binary, times bigint, id {kind}, n_tokens bigint, n_known bigint, base double, prob double")
+        parts, f"row bigint, word binary, times bigint, spare double, id {kind}, n_tokens bigint, n_known bigint, base double, prob double, "
+               "x bigint, y bigint, aw binary, bw binary")
+    if cold is not None:  # read twice, and the rows' numbers must be the same
+        rows = written(rows, "scored-parts")
     log = F.log10(F.coalesce("n", F.lit(0)) + 1) * F.col("times")
     known = F.coalesce("n_known", F.lit(0)) + F.when(F.col("n") > 0, F.col("times")).otherwise(0)
-    return rows.join(counts, "word", "left").groupBy("row").agg(
-        F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"),
-        F.sum(F.coalesce("base", F.lit(0.0)) + log).alias("base_log"),
-        F.sum(F.coalesce("prob", F.lit(0.0)) + log).alias("score")).drop("row")
+    own = F.when(F.col("emit").isNotNull(), F.col("emit") * F.col("times")).otherwise(log + F.col("spare") * F.col("times"))
+    found = rows.where("word IS NOT NULL").join(counts, "word", "left").select(
+        "row", "id", "n_tokens", known.alias("n_known"), (F.coalesce("base", F.lit(0.0)) + log).alias("base_log"),
+        (F.coalesce("prob", F.lit(0.0)) + own).alias("score"))
+    if cold is not None:
+        asked = rows.where("word IS NULL").select("row", "x", "y", "aw", "bw")
+        asked = _looked_up(_looked_up(asked, cold, "x", "aw", "cls"), cold, "y", "bw", "cls")
+        size = len(model["move"])
+        move = F.element_at(F.array(*[F.lit(float(x)) for x in model["move"].ravel()]), (F.col("x") * size + F.col("y") + 1).cast("int"))
+        none = [F.lit(None).cast(kind).alias("id"), *[F.lit(None).cast("bigint").alias(c) for c in ("n_tokens", "n_known")], F.lit(0.0).alias("base_log")]
+        found = found.union(asked.select("row", *none, move.alias("score")))
+    return found.groupBy("row").agg(
+        F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_log", "score")]).drop("row")
 
 
 def report(docs: DataFrame) -> DataFrame:
