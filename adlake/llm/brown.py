@@ -302,15 +302,27 @@ def _moves(shared):
     return run
 
 
-def spread(bigrams: DataFrame, cls: DataFrame, size: int, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
-    """Classes (unit, cls) after the exchange of all units, and the counts of class pairs: (a, b, n) joined with classes, round by round."""
+def _classed(rows: DataFrame, cls: DataFrame, unit: str, name: str, dense: int, cold: bool) -> DataFrame:
+    """``rows`` with the class of the unit in column ``unit``.  The classes of the units that travel are broadcast, so that the rows stay
+    where they are; only those with another unit are shuffled."""
+    def to(part: DataFrame) -> DataFrame:
+        return part.select(F.col("unit").alias(unit), F.col("cls").alias(name))
+
+    travels = F.col("unit") < dense
+    near = rows.where(F.col(unit) < dense).join(F.broadcast(to(cls.where(travels))), unit)
+    return near if not cold else near.unionByName(rows.where(F.col(unit) >= dense).join(to(cls.where(~travels)), unit))
+
+
+def spread(bigrams: DataFrame, cls: DataFrame, size: int, dense: int, cold: bool, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """Classes (unit, cls) after the exchange of all units, and the counts of class pairs: (a, b, n) joined with classes, round by round.
+    Units below ``dense`` travel; ``cold``: there are others."""
     spark = bigrams.sparkSession
 
     def joined(cls: DataFrame) -> tuple[DataFrame, np.ndarray]:
-        parts = [bigrams.join(cls.withColumnRenamed("unit", there), there).groupBy(F.col(here).alias("unit"), F.lit(side).cast("bigint").alias("side"), F.col("cls").alias("c")).agg(
+        parts = [_classed(bigrams, cls, there, "c", dense, cold).groupBy(F.col(here).alias("unit"), F.lit(side).cast("bigint").alias("side"), "c").agg(
             F.sum("n").alias("n")) for side, here, there in ((0, "a", "b"), (1, "b", "a"))]
         rows = written(parts[0].union(parts[1]), "class-bigrams")
-        found = rows.where("side = 0").join(cls, "unit").groupBy("cls", "c").agg(F.sum("n").alias("n")).toArrow()
+        found = _classed(rows.where("side = 0"), cls, "unit", "cls", dense, cold).groupBy("cls", "c").agg(F.sum("n").alias("n")).toArrow()
         pair = np.zeros((size, size))
         pair[found["cls"].to_numpy(), found["c"].to_numpy()] = found["n"].to_numpy()
         return rows, pair
@@ -393,14 +405,14 @@ def train(texts: DataFrame, words: int = WORDS, endings: int = ENDINGS, classes:
         head = F.coalesce(F.element_at(F.create_map(*[x for e, k in heads.items() for x in (F.lit(e.hex().upper()), F.lit(k))]), F.hex(F.expr(ending_of))), F.lit(REST))
     units = 2 + n_core + len(heads)
     cores = by_unit(core_of, head)
-    pairs = bigrams.join(cores.select(F.col("unit").alias("a"), F.col("cls").alias("x")), "a").join(
-        cores.select(F.col("unit").alias("b"), F.col("cls").alias("y")), "b").groupBy("x", "y").agg(F.sum("n").alias("n")).toArrow()
+    coded = _classed(_classed(bigrams, cores, "a", "x", dense, cold is not None), cores, "b", "y", dense, cold is not None)
+    pairs = coded.groupBy("x", "y").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros((units, units))
     n[pairs["x"].to_numpy(), pairs["y"].to_numpy()] = pairs["n"].to_numpy()
     cls_core = exchange(n, classes, sweeps)
     size = int(cls_core.max()) + 1
     start = by_unit(cls_core[core_of], F.element_at(F.array(*[F.lit(int(c)) for c in cls_core]), head + 1))
-    table, pair = spread(bigrams, written(start, "classes"), size, rounds if dense > 2 else 0)
+    table, pair = spread(bigrams, written(start, "classes"), size, dense, cold is not None, rounds if dense > 2 else 0)
     cls = cls_core[core_of]
     own = table.where(F.col("unit") < dense).toArrow()
     cls[own["unit"].to_numpy()] = own["cls"].to_numpy()
