@@ -4,8 +4,8 @@ Units are all words found ``LEAST`` times or more, and the last bytes of all oth
 ending followed by the word among those with that ending; endings of fewer tokens are one unit).  Exchange clustering assigns
 every unit to a class.  It begins with a core, the most frequent words and endings, which fits one matrix: from a
 round-robin start each of its units moves to the class that raises the class-bigram likelihood most, sweep after sweep.  All
-units then start in the class of their core unit (a word outside the core: its ending's) and are exchanged in Spark: unit
-bigrams are joined with classes, and in each round every unit, against the classes of the round before, moves to its best class;
+units then start in the class of their core unit (a word outside the core: its ending's) and are exchanged in Spark: the tasks
+count unit bigrams by class, one row a unit, Spark brings the rows of each unit together, and in each round every unit, against the classes of the round before, moves to its best class;
 a round that does not raise the likelihood of the whole is undone and ends the exchange.
 A text's probability is the product, over its tokens, of the class transition, the unit within its class and, for
 words outside the frequent ones, the word within its ending, each smoothed:
@@ -25,14 +25,15 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import crc_fold, written
+from adlake.llm.common import crc_fold, sliced, written
 
 #: Words and endings of the core, whose classes the exchange in Spark begins with.
 WORDS, ENDINGS = 1000, 500
@@ -54,6 +55,16 @@ BLOCK = 2_000_000
 #: Bits of the map of words that have a class and do not travel (2 MB whatever the corpus).
 MAP_BITS = 24
 
+#: Parts that counts are dealt to; a task hands on one row for each, with all its numbers packed.
+PARTS_BITS = 11
+#: Unit pairs in a packed row of the whole counts.
+PACK = 8192
+#: Deals unit pairs evenly to parts, and back.
+MIX = 0x9E3779B97F4A7C15
+UNMIX = pow(MIX, -1, 1 << 64)
+#: A unit pair is one number: the first unit, shifted, and the second.
+PAIR = 32
+
 #: A transition's classes, and its words whose classes are to be looked up.
 LINK = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
@@ -72,7 +83,7 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[bytes | None]:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over one text column: counted in the tasks, summed by Spark."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
+        held: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays(
@@ -82,8 +93,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in _texts(batch, 0):
-                for w in tokens_of(text):
-                    held[w] = held.get(w, 0) + 1
+                held.update(tokens_of(text))
                 if len(held) > FLUSH:
                     yield rows()
         yield rows()
@@ -92,12 +102,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Lookup(dict):
-    """Word -> its number if its count travels, else the complement of its ending's unit, less ``ASK`` if it may have a class."""
+    """Word -> its number if its count travels, else the complement of its ending's unit, less ``ASK`` if it may have a class.
+
+    The empty word stands for the end token.
+    """
 
     ASK = 1 << 40
 
     def __init__(self, hot: list[bytes], ending: dict[bytes, int], bits: bytes | None = None):
         super().__init__((w, k) for k, w in enumerate(hot))
+        self[b""] = ~END
         self.ending, self.bits = ending, bits
 
     def __missing__(self, word: bytes) -> int:
@@ -119,8 +133,17 @@ def _lookup(model: dict) -> Lookup:
     return _LOOKUPS[model["key"]]
 
 
+def _flat(batch: pa.RecordBatch, column: int) -> list[bytes]:
+    """The words of all texts, an empty one before the first text and after each."""
+    words = [b""]
+    for text in _texts(batch, column):
+        words += tokens_of(text)
+        words.append(b"")
+    return words
+
+
 def _numbers(model: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lookup numbers and units of a text's words, and which of these may have a class that does not travel."""
+    """Lookup numbers and units of words, and which of these may have a class that does not travel."""
     number = np.fromiter(map(_lookup(model).__getitem__, words), dtype=np.int64, count=len(words))
     ask = number < -(Lookup.ASK >> 1)
     number = np.where(ask, number + Lookup.ASK, number)
@@ -137,54 +160,100 @@ def _bit_map(words: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _asked(unit: np.ndarray, words: list[bytes], ask: np.ndarray) -> tuple[list, list, list, list]:
-    """Units and, where to be looked up, words of both sides of a text's links of which a side has to be looked up."""
-    named = [None, *[w if k else None for w, k in zip(words, ask.tolist(), strict=True)], None]
-    at = np.flatnonzero(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))
-    return unit[at].tolist(), unit[at + 1].tolist(), [named[k] for k in at], [named[k + 1] for k in at]
+def _named(words: list[bytes], ask: np.ndarray, at: np.ndarray) -> list[bytes | None]:
+    """The words at these places, where they are to be looked up."""
+    return [words[k] if x else None for k, x in zip(at.tolist(), ask[at].tolist(), strict=True)]
+
+
+def _packed(part: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """One row for each part, given in order: the part, and its keys and their counts in one string."""
+    part, first = np.unique(part, return_index=True)
+    edge = [*first.tolist(), len(key)]
+    return pa.array(part.astype(np.int64)), pa.array([key[x:y].tobytes() + n[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:], strict=True)], type=pa.binary())
+
+
+def _unpacked(cells: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of packed rows."""
+    both = [np.frombuffer(c, dtype=np.int64).reshape(2, -1) for c in cells]
+    return tuple(np.concatenate([np.zeros(0, dtype=np.int64), *[x[k] for x in both]]) for k in (0, 1))
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sums of their counts."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1])))
+    return key[first], np.add.reduceat(n[order], first) if len(key) else n
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple]]]:
+    """Keys and counts of the packed rows, and the other rows, of each part; rows (part, cells or none, other columns) sorted by part."""
+    part, cells, single = None, [], []
+    for batch in batches:
+        for p, packed, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if p != part and part is not None:
+                yield *_unpacked(cells), single
+                cells, single = [], []
+            part = p
+            if packed is None:
+                single.append(tuple(row))
+            else:
+                cells.append(packed)
+    if part is not None:
+        yield *_unpacked(cells), single
 
 
 def unit_bigrams(texts: DataFrame, shared) -> DataFrame:
-    """(a, b, aw, bw, n): bigrams of units over all texts, the end token before the first and after the last word; ``aw`` and ``bw``
-    name words whose unit is still to be looked up, and is a or b if there is none."""
+    """Bigrams of units a, b over all texts, the end token before the first and after the last word: packed rows (cells) of units that
+    are known, and rows (pair, aw, bw, n), where ``aw`` and ``bw`` name words whose unit is still to be looked up, and is a or b if there is none."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        size = model["dense"]
         waiting, held = [], 0
         odd: dict[tuple, int] = {}
 
         def rows() -> pa.RecordBatch:
             nonlocal waiting, held
-            pair, n = np.unique(np.concatenate(waiting or [np.zeros(0, dtype=np.int64)]), return_counts=True)
-            keys, none = list(odd), pa.nulls(len(pair), pa.binary())
-            out = pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate((pair // size, np.array([k[0] for k in keys], dtype=np.int64)))),
-                pa.array(np.concatenate((pair % size, np.array([k[1] for k in keys], dtype=np.int64)))),
-                *[pa.concat_arrays([none, pa.array([k[c] for k in keys], type=pa.binary())]) for c in (2, 3)],
-                pa.array(np.concatenate((n, np.array(list(odd.values()), dtype=np.int64))))], names=["a", "b", "aw", "bw", "n"])
+            key, n = np.unique(np.concatenate(waiting or [np.zeros(0, dtype=np.uint64)]) * np.uint64(MIX), return_counts=True)
+            known, keys = _packed(key >> np.uint64(64 - PARTS_BITS), key, n), list(odd)
+            single = [pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.binary()), pa.array([k[0] for k in keys], type=pa.int64()),
+                      *[pa.array([k[c] for k in keys], type=pa.binary()) for c in (1, 2)], pa.array(list(odd.values()), type=pa.int64())]
+            many = [*known, *[pa.nulls(len(known[0]), c.type) for c in single[2:]]]
             waiting, held = [], 0
             odd.clear()
-            return out
-
-        for batch in batches:
-            for text in _texts(batch, 0):
-                words = tokens_of(text)
-                _, unit, ask = _numbers(model, words)
-                unit = np.concatenate(([END], unit, [END]))
-                if ask.any():
-                    for k in zip(*_asked(unit, words, ask), strict=True):
-                        odd[k] = odd.get(k, 0) + 1
-                    known = ~(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))
-                    waiting.append((unit[:-1] * size + unit[1:])[known])
-                else:
-                    waiting.append(unit[:-1] * size + unit[1:])
-                held += len(unit)
-                if held > BLOCK or len(odd) > FLUSH:
-                    yield rows()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(many, single, strict=True)], names=["part", "cells", "pair", "aw", "bw", "n"])
+
+        for batch in sliced(batches):
+            words = _flat(batch, 0)
+            _, unit, ask = _numbers(model, words)
+            pair, some = unit[:-1] << PAIR | unit[1:], ask[:-1] | ask[1:]
+            if some.any():
+                at = np.flatnonzero(some)
+                for k in zip(pair[at].tolist(), _named(words, ask, at), _named(words, ask, at + 1), strict=True):
+                    odd[k] = odd.get(k, 0) + 1
+                pair = pair[~some]
+            waiting.append(pair.view(np.uint64))
+            held += len(pair)
+            if held > BLOCK or len(odd) > FLUSH:
+                yield rows()
         yield rows()
 
-    found = texts.mapInArrow(count, "a bigint, b bigint, aw binary, bw binary, n bigint")
-    return found.groupBy("a", "b", "aw", "bw").agg(F.sum("n").alias("n"))
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["cells", "pair", "aw", "bw", "n"]
+        for key, n, single in _parts(batches):
+            key, n = _summed((key.view(np.uint64) * np.uint64(UNMIX)).view(np.int64), n)
+            if len(key):
+                cells = _packed(np.arange(len(key)) // PACK, key, n)[1]
+                yield pa.RecordBatch.from_arrays([cells, *[pa.nulls(len(cells), t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.int64())]], names=names)
+            odd: dict[tuple, int] = {}
+            for *k, m in single:
+                odd[tuple(k)] = odd.get(tuple(k), 0) + m
+            if odd:
+                own = [pa.array([k[c] for k in odd], type=t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(odd), pa.binary()), *own, pa.array(list(odd.values()), type=pa.int64())], names=names)
+
+    found = texts.mapInArrow(count, "part bigint, cells binary, pair bigint, aw binary, bw binary, n bigint")
+    found = found.withColumn("part", F.coalesce("part", F.pmod(F.xxhash64("pair", "aw", "bw"), F.lit(1 << PARTS_BITS))))
+    return found.repartition("part").sortWithinPartitions("part").mapInArrow(whole, "cells binary, pair bigint, aw binary, bw binary, n bigint")
 
 
 def _looked_up(rows: DataFrame, cold: DataFrame, name: str, word: str, value: str) -> DataFrame:
@@ -269,40 +338,96 @@ def best_classes(pair: np.ndarray, cls: np.ndarray, right: np.ndarray, left: np.
     return np.where(gain[unit, best] <= gain[unit, cls] + 1e-9, cls, best)
 
 
+#: Rows of counts by key: packed ones of a part, and single ones.
+COUNTS = "part bigint, cells binary, key bigint, n bigint"
+
+
+def _counts(part: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    part, cells = _packed(part, key, n)
+    return pa.RecordBatch.from_arrays([part, cells, *[pa.nulls(len(part), pa.int64())] * 2], names=["part", "cells", "key", "n"])
+
+
+def _both(key: np.ndarray, n: np.ndarray, single: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by key of a part's packed rows and single ones (key, n)."""
+    more = np.array(single, dtype=np.int64).reshape(-1, 2)
+    return _summed(np.concatenate((key, more[:, 0])), np.concatenate((n, more[:, 1])))
+
+
+def _width(size: int) -> int:
+    """Cells of a unit: counts by the class of the unit after and before it, the count with itself, its own class."""
+    return 3 * size + 1
+
+
+def _class_cells(shared, dense: int, size: int):
+    """Packed bigrams to counts by unit and cell, without the units' own classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls, width = shared.value, 2 * size + 1
+        held = np.zeros(dense * width, dtype=np.int64)
+        for batch in batches:
+            for cells in batch.column(0):
+                pair, n = _unpacked([cells.as_py()])
+                a, b = pair >> PAIR, pair & ((1 << PAIR) - 1)
+                np.add.at(held, a * width + cls[b], n)
+                np.add.at(held, b * width + size + cls[a], n)
+                same = a == b
+                np.add.at(held, a[same] * width + 2 * size, n[same])
+        at = np.flatnonzero(held)
+        n, unit = held[at], at // width
+        del held
+        yield _counts(unit // _step(dense), unit * _width(size) + at % width, n)
+
+    return run
+
+
+def _step(dense: int) -> int:
+    """Units in a part."""
+    return -(-dense >> PARTS_BITS) or 1
+
+
+def _code_pairs(shared, size: int):
+    """Packed bigrams to counts by the codes of both units, x * size + y; a part is a code x."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, held = shared.value, np.zeros(size * size, dtype=np.int64)
+        for batch in batches:
+            for cells in batch.column(0):
+                pair, n = _unpacked([cells.as_py()])
+                np.add.at(held, code[pair >> PAIR] * size + code[pair & ((1 << PAIR) - 1)], n)
+        at = np.flatnonzero(held)
+        yield _counts(at // size, at, held[at])
+
+    return run
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, sorted by part, to (key, n)."""
+    for part in _parts(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _both(*part)], names=["key", "n"])
+
+
 def _moves(shared):
-    """Sorted rows (unit, side, c, n) of whole units: counts by the class after (side 0) and before (1), with itself (2), and its class (3)."""
+    """Counts by unit and cell, sorted by part, to the class of each unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = shared.value
-
-        def moved(rows: np.ndarray) -> pa.RecordBatch:
-            units, at = np.unique(rows[:, 0], return_inverse=True)
-            out = np.zeros(len(units), dtype=np.int64)
+        size, width = len(pair), _width(len(pair))
+        for part in _parts(batches):
+            key, n = _both(*part)
+            units = np.unique(key // width)
             for k in range(0, len(units), 128):
-                part = rows[(at >= k) & (at < k + 128)] if len(units) > 128 else rows
-                cell = np.zeros((min(128, len(units) - k), 4, len(pair)))
-                np.add.at(cell, (np.searchsorted(units, part[:, 0]) - k, part[:, 1], part[:, 2]), part[:, 3])
-                cls, own = cell[:, 3].argmax(axis=1), cell[:, 2].sum(axis=1)
-                each = np.arange(len(cls))
-                for side in (0, 1):
-                    cell[each, side, cls] -= own
-                best = best_classes(pair, cls, cell[:, 0], cell[:, 1], own)
-                out[k : k + 128] = np.where(units[k : k + 128] == END, cls, best)
-            return pa.RecordBatch.from_arrays([pa.array(units), pa.array(out)], names=["unit", "cls"])
-
-        rest = np.zeros((0, 4), dtype=np.int64)
-        for batch in batches:
-            rows = np.concatenate((rest, np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)))
-            last = int(np.searchsorted(rows[:, 0], rows[-1, 0])) if len(rows) else 0  # the last unit may go on in the next batch
-            if last:
-                yield moved(rows[:last])
-            rest = rows[last:]
-        if len(rest):
-            yield moved(rest)
+                some = units[k : k + 128]
+                x, y = np.searchsorted(key, (some[0] * width, (some[-1] + 1) * width))
+                cell = np.zeros((len(some), width))
+                cell[np.searchsorted(some, key[x:y] // width), key[x:y] % width] = n[x:y]
+                right, left, own, cls = cell[:, :size], cell[:, size : 2 * size], cell[:, 2 * size], cell[:, 2 * size + 1 :].argmax(axis=1)
+                each = np.arange(len(some))
+                right[each, cls] -= own
+                left[each, cls] -= own
+                best = np.where(some == END, cls, best_classes(pair, cls, right, left, own))
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(best)], names=["unit", "cls"])
 
     return run
 
 
-def _classed(rows: DataFrame, cls: DataFrame, unit: str, name: str, dense: int, cold: bool) -> DataFrame:
+def _classed(rows: DataFrame, cls: DataFrame, unit: str, name: str, dense: int) -> DataFrame:
     """``rows`` with the class of the unit in column ``unit``.  The classes of the units that travel are broadcast, so that the rows stay
     where they are; only those with another unit are shuffled."""
     def to(part: DataFrame) -> DataFrame:
@@ -310,31 +435,57 @@ def _classed(rows: DataFrame, cls: DataFrame, unit: str, name: str, dense: int,
 
     travels = F.col("unit") < dense
     near = rows.where(F.col(unit) < dense).join(F.broadcast(to(cls.where(travels))), unit)
-    return near if not cold else near.unionByName(rows.where(F.col(unit) >= dense).join(to(cls.where(~travels)), unit))
-
-
-def spread(bigrams: DataFrame, cls: DataFrame, size: int, dense: int, cold: bool, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
-    """Classes (unit, cls) after the exchange of all units, and the counts of class pairs: (a, b, n) joined with classes, round by round.
-    Units below ``dense`` travel; ``cold``: there are others."""
-    spark = bigrams.sparkSession
-
-    def joined(cls: DataFrame) -> tuple[DataFrame, np.ndarray]:
-        parts = [_classed(bigrams, cls, there, "c", dense, cold).groupBy(F.col(here).alias("unit"), F.lit(side).cast("bigint").alias("side"), "c").agg(
-            F.sum("n").alias("n")) for side, here, there in ((0, "a", "b"), (1, "b", "a"))]
-        rows = written(parts[0].union(parts[1]), "class-bigrams")
-        found = _classed(rows.where("side = 0"), cls, "unit", "cls", dense, cold).groupBy("cls", "c").agg(F.sum("n").alias("n")).toArrow()
-        pair = np.zeros((size, size))
-        pair[found["cls"].to_numpy(), found["c"].to_numpy()] = found["n"].to_numpy()
-        return rows, pair
-
-    rows, pair = joined(cls)
+    return near.unionByName(rows.where(F.col(unit) >= dense).join(to(cls.where(~travels)), unit))
+
+
+class Bigrams:
+    """Unit bigrams: ``near`` (cells) packed, of units that travel, all below ``dense``; ``far`` (a, b, n) of others, or None."""
+
+    def __init__(self, near: DataFrame, far: DataFrame | None, dense: int):
+        self.near, self.far, self.dense = near, far, dense
+
+    def broadcast(self, cls: DataFrame):
+        """The classes (unit, cls) of the units that travel."""
+        own, out = cls.where(F.col("unit") < self.dense).toArrow(), np.zeros(self.dense, dtype=np.int64)
+        out[own["unit"].to_numpy()] = own["cls"].to_numpy()
+        return cls.sparkSession.sparkContext.broadcast(out)
+
+    def code_pairs(self, cls: DataFrame, shared, size: int) -> np.ndarray:
+        """Counts of the bigrams by the codes of both units."""
+        found = self.near.mapInArrow(_code_pairs(shared, size), COUNTS)
+        if self.far is not None:
+            far = _classed(_classed(self.far, cls, "a", "x", self.dense), cls, "b", "y", self.dense).groupBy("x", "y").agg(F.sum("n").alias("n"))
+            found = found.union(far.select("x", F.lit(None).cast("binary"), F.col("x") * size + F.col("y"), "n"))
+        found = found.repartition("part").sortWithinPartitions("part").mapInArrow(_sums, "key bigint, n bigint").toArrow()
+        out = np.zeros(size * size)
+        out[found["key"].to_numpy()] = found["n"].to_numpy()
+        return out.reshape(size, size)
+
+    def moved(self, cls: DataFrame, shared, pair: np.ndarray) -> DataFrame:
+        """The class of each unit that is best against the others' classes."""
+        size = len(pair)
+
+        def single(rows: DataFrame, unit: str, cell: Column, n: Column) -> DataFrame:
+            return rows.select(F.expr(f"{unit} DIV {_step(self.dense)}").alias("part"), F.lit(None).cast("binary").alias("cells"),
+                               (F.col(unit) * _width(size) + cell).cast("bigint").alias("key"), n.cast("bigint").alias("n"))
+
+        found = self.near.mapInArrow(_class_cells(shared, self.dense, size), COUNTS).union(single(cls, "unit", F.col("cls") + 2 * size + 1, F.lit(1)))
+        if self.far is not None:
+            for side, here, there in ((0, "a", "b"), (1, "b", "a")):
+                rows = _classed(self.far, cls, there, "c", self.dense).groupBy(here, "c").agg(F.sum("n").alias("n"))
+                found = found.union(single(rows, here, F.col("c") + side * size, F.col("n")))
+            found = found.union(single(self.far.where("a = b"), "a", F.lit(2 * size), F.col("n")))
+        known = cls.sparkSession.sparkContext.broadcast(pair)
+        return written(found.repartition("part").sortWithinPartitions("part").mapInArrow(_moves(known), "unit bigint, cls bigint"), "classes")
+
+
+def spread(bigrams: Bigrams, cls: DataFrame, pair: np.ndarray, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """Classes (unit, cls) after the exchange of all units, and the counts of class pairs, from those given on, round by round."""
+    shared = bigrams.broadcast(cls)
     for _ in range(rounds):
-        own = bigrams.where("a = b").groupBy(F.col("a").alias("unit")).agg(F.sum("n").alias("n"))
-        every = rows.union(own.select("unit", F.lit(2).cast("bigint"), F.lit(0).cast("bigint"), "n")).union(
-            cls.select("unit", F.lit(3).cast("bigint"), "cls", F.lit(1).cast("bigint")))
-        shared = spark.sparkContext.broadcast(pair)
-        moved = written(every.repartition("unit").sortWithinPartitions("unit").mapInArrow(_moves(shared), "unit bigint, cls bigint"), "classes")
-        rows, new = joined(moved)
+        moved = bigrams.moved(cls, shared, pair)
+        shared = bigrams.broadcast(moved)
+        new = bigrams.code_pairs(moved, shared, len(pair))
         before, after = likelihood(pair), likelihood(new)
         if after <= before:
             break
@@ -389,11 +540,13 @@ def train(texts: DataFrame, words: int = WORDS, endings: int = ENDINGS, classes:
         bits = _bit_map(cold)
     model = {"key": uuid.uuid4().hex, "hot": hot_words, "ending": ending, "unit": unit, "bits": bits, "dense": dense}
     found = written(unit_bigrams(texts, spark.sparkContext.broadcast(model)), "unit-bigrams")
-    bigrams = found.select("a", "b", "n")
+    far = None
     if cold is not None:
-        asked = found.where("aw IS NOT NULL OR bw IS NOT NULL")
+        asked = found.where("pair IS NOT NULL").select(
+            F.shiftright("pair", PAIR).alias("a"), F.col("pair").bitwiseAND((1 << PAIR) - 1).alias("b"), "aw", "bw", "n")
         asked = _looked_up(_looked_up(asked, cold, "a", "aw", "unit"), cold, "b", "bw", "unit")
-        bigrams = written(found.where("aw IS NULL AND bw IS NULL").select("a", "b", "n").union(asked.select("a", "b", "n")), "unit-bigrams")
+        far = written(asked.select("a", "b", "n"), "far-bigrams")
+    bigrams = Bigrams(found.where("cells IS NOT NULL").select("cells"), far, dense)
 
     # the core's classes, then those of all units
     def by_unit(own: np.ndarray, of_cold) -> DataFrame:
@@ -405,14 +558,12 @@ def train(texts: DataFrame, words: int = WORDS, endings: int = ENDINGS, classes:
         head = F.coalesce(F.element_at(F.create_map(*[x for e, k in heads.items() for x in (F.lit(e.hex().upper()), F.lit(k))]), F.hex(F.expr(ending_of))), F.lit(REST))
     units = 2 + n_core + len(heads)
     cores = by_unit(core_of, head)
-    coded = _classed(_classed(bigrams, cores, "a", "x", dense, cold is not None), cores, "b", "y", dense, cold is not None)
-    pairs = coded.groupBy("x", "y").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros((units, units))
-    n[pairs["x"].to_numpy(), pairs["y"].to_numpy()] = pairs["n"].to_numpy()
+    n = bigrams.code_pairs(cores, spark.sparkContext.broadcast(core_of), units)
     cls_core = exchange(n, classes, sweeps)
     size = int(cls_core.max()) + 1
+    member = np.eye(size)[cls_core]
     start = by_unit(cls_core[core_of], F.element_at(F.array(*[F.lit(int(c)) for c in cls_core]), head + 1))
-    table, pair = spread(bigrams, written(start, "classes"), size, dense, cold is not None, rounds if dense > 2 else 0)
+    table, pair = spread(bigrams, written(start, "classes"), member.T @ n @ member, rounds if dense > 2 else 0)
     cls = cls_core[core_of]
     own = table.where(F.col("unit") < dense).toArrow()
     cls[own["unit"].to_numpy()] = own["cls"].to_numpy()
@@ -453,47 +604,43 @@ def score(docs: DataFrame, model: dict, counts: DataFrame, id_col: str = "doc_id
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            row, word, times, at, n_tok, n_known, base, prob, spare = [], [], [], [], [], [], [], [], []
-            links: tuple[list, ...] = ([], [], [], [], [])  # text, classes, words to be looked up
-            for key, text in zip(batch.column(0).to_pylist(), _texts(batch, 2), strict=True):
-                words = tokens_of(text)
-                number, unit, ask = _numbers(m, words)
-                cls = m["classes"][np.concatenate(([END], unit, [END]))]
-                hot = number >= 0
-                log = m["hot_log"][np.maximum(number, 0)] * hot
-                seldom: dict[bytes, int] = {}
-                for k in np.flatnonzero(~hot).tolist():
-                    seldom[words[k]] = seldom.get(words[k], 0) + 1
-                at.append(len(row))
-                row += [key] * (1 + len(seldom))
+        for batch in sliced(batches):
+            words = _flat(batch, 2)
+            number, unit, ask = _numbers(m, words)
+            end = np.flatnonzero(unit == END)  # a text's tokens follow an end, up to its own
+            first, size = end[:-1] + 1, np.diff(end)
+            text = np.repeat(np.arange(len(size)), size)  # of each token from the second on
+            hot, cls = number >= 0, m["classes"][unit]
+            log = m["hot_log"][np.maximum(number, 0)] * hot
+            some = ask[:-1] | ask[1:]
+            prob = np.where(ask, 0.0, m["emit"][unit]) + log * m["is_ending"][unit]
+            prob[1:] += np.where(some, 0.0, m["move"][cls[:-1], cls[1:]])
+
+            # a text's first row has no word, its sums and its id; one row follows for each word outside of the model
+            spot = np.flatnonzero(~hot & (unit != END))
+            rare, edge = [words[k] for k in spot.tolist()], np.searchsorted(spot, end).tolist()
+            maybe = {words[k]: float(m["emit"][unit[k]]) for k in np.flatnonzero(ask).tolist()}  # its emission as a word that has no class
+            keys, word, times, at = batch.column(0).to_numpy(), [], [], []
+            for key, x, y in zip(keys.tolist(), edge[:-1], edge[1:], strict=True):
+                seldom = Counter(rare[x:y])
+                at.append(len(word))
                 word.append(b" %d" % key)  # no word: words hold no space
                 word += seldom
                 times.append(0)
                 times += seldom.values()
-                # a word that may have a class: its emission as one that has none
-                maybe = {words[k]: float(m["emit"][unit[k]]) for k in np.flatnonzero(ask).tolist()}
-                spare += [0.0, *[maybe.get(w, 0.0) for w in seldom]]
-                move = m["move"][cls[:-1], cls[1:]]
-                if maybe:
-                    asked = _asked(cls, words, ask)
-                    for to, some in zip(links, ([key] * len(asked[0]), *asked), strict=True):
-                        to += some
-                    move = move[~(np.concatenate(([False], ask)) | np.concatenate((ask, [False])))]
-                n_tok.append(len(words) + 1)
-                n_known.append(int(hot.sum()) + (m["n_end"] > 0))
-                base.append(float(log.sum() + np.log10(m["n_end"] + 1)))
-                prob.append(float(move.sum() + m["emit"][unit[~ask]].sum() + m["emit"][END] + log[m["is_ending"][unit]].sum()))
-            # sums and ids stand in a text's first row
-            own = np.full(len(row), -1)
+            many = np.diff([*at, len(word)])
+            spare = [maybe.get(w, 0.0) for w in word] if maybe else np.zeros(len(word))
+            own = np.full(len(word), -1)
             own[at] = np.arange(len(at))
             own = pa.array(own, mask=own < 0)
-            first = [batch.column(1), pa.array(n_tok, type=pa.int64()), pa.array(n_known, type=pa.int64()),
-                     pa.array(base, type=pa.float64()), pa.array(prob, type=pa.float64())]
-            arrays = [pa.array(row, type=pa.int64()), pa.array(word, type=pa.binary()), pa.array(times, type=pa.int64()), pa.array(spare, type=pa.float64()),
-                      *[c.take(own) for c in first], *[pa.nulls(len(row), kind) for kind in LINK]]
-            more = [pa.array(links[0], type=pa.int64()), *[pa.nulls(len(links[0]), c.type) for c in arrays[1:9]],
-                    *[pa.array(c, type=kind) for c, kind in zip(links[1:], LINK, strict=True)]]
+            sums = [batch.column(1), pa.array(size), pa.array(np.add.reduceat(hot.astype(np.int64), first) + int(m["n_end"] > 0)),
+                    pa.array(np.add.reduceat(log, first) + np.log10(m["n_end"] + 1)), pa.array(np.add.reduceat(prob, first))]
+            arrays = [pa.array(np.repeat(keys, many)), pa.array(word, type=pa.binary()), pa.array(times, type=pa.int64()), pa.array(spare, type=pa.float64()),
+                      *[c.take(own) for c in sums], *[pa.nulls(len(word), kind) for kind in LINK]]
+            link = np.flatnonzero(some)
+            links = [cls[link], cls[link + 1], _named(words, ask, link), _named(words, ask, link + 1)]
+            more = [pa.array(keys[text[link]]), *[pa.nulls(len(link), c.type) for c in arrays[1:9]],
+                    *[pa.array(c, type=kind) for c, kind in zip(links, LINK, strict=True)]]
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(arrays, more, strict=True)], names=[
                 "row", "word", "times", "spare", "id", "n_tokens", "n_known", "base", "prob", "x", "y", "aw", "bw"])
 

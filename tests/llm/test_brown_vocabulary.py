@@ -65,3 +65,46 @@ def test_best_classes_as_exchange():
             m = np.eye(5)[other]
             tried.append(brown.likelihood(m.T @ n @ m))
         assert math.isclose(tried[got[w] - 1], max(tried), rel_tol=1e-12)
+
+
+def test_bigrams_are_packed_and_whole(spark):
+    """Spark moves rows of many unit bigrams each; they hold every bigram, and a round moves each unit, travelling or not, to its best class."""
+    texts = [r.text for r in corpus(spark).collect()]
+    words = sorted({w.encode() for t in texts for w in t.split() if not w.startswith("once")})
+    near = words[::2] + words[1::4]
+    unit = {w: 2 + k for k, w in enumerate(near + sorted({*words} - {*near}))}
+    dense, units = 2 + len(near), 2 + len(words)
+    want = np.zeros((units, units))
+    for t in texts:
+        seq = [brown.END, *[unit.get(w.encode(), brown.REST) for w in t.split()], brown.END]
+        np.add.at(want, (seq[:-1], seq[1:]), 1)
+
+    model = {"key": "packed", "hot": near, "ending": {}, "unit": np.arange(2, dense), "bits": b"\xff" * (1 << brown.MAP_BITS - 3), "dense": dense}
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    found = brown.unit_bigrams(docs, spark.sparkContext.broadcast(model)).cache()
+    got, far, packed, n_pairs = np.zeros((units, units)), [], 0, 0
+    for r in found.collect():
+        if r.cells is None:
+            a, b = (unit.get(bytes(w), brown.REST) if w else u for w, u in ((r.aw, r.pair >> brown.PAIR), (r.bw, r.pair & 0xFFFFFFFF)))
+            far.append((a, b, r.n))
+            got[a, b] += r.n
+        else:
+            pair, n = brown._unpacked([bytes(r.cells)])
+            packed, n_pairs = packed + 1, n_pairs + len(pair)
+            np.add.at(got, (pair >> brown.PAIR, pair & 0xFFFFFFFF), n)
+    assert (got == want).all()
+    assert 0 < packed < n_pairs <= np.count_nonzero(want[:dense, :dense])
+
+    bigrams = brown.Bigrams(found.where("cells IS NOT NULL").select("cells"), spark.createDataFrame(far, "a bigint, b bigint, n bigint"), dense)
+    cls = np.concatenate(([0], np.random.default_rng(2).integers(1, 5, units - 1)))
+    member, table = np.eye(5)[cls], spark.createDataFrame(list(enumerate(cls.tolist())), "unit bigint, cls bigint")
+    shared = bigrams.broadcast(table)
+    pair = bigrams.code_pairs(table, shared, 5)
+    assert (pair == member.T @ want @ member).all()
+    own, right, left = np.diag(want).copy(), want @ member, want.T @ member
+    right[np.arange(units), cls] -= own
+    left[np.arange(units), cls] -= own
+    best = brown.best_classes(pair, cls, right, left, own)
+    best[brown.END] = 0
+    moved = {r.unit: r.cls for r in bigrams.moved(table, shared, pair).collect()}
+    assert moved == dict(enumerate(best.tolist())) and (best != cls).any()
