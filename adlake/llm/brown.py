@@ -5,8 +5,8 @@ ending followed by the word among those with that ending; endings of fewer token
 every unit to a class.  It begins with a core, the most frequent words and endings, which fits one matrix: from a
 round-robin start each of its units moves to the class that raises the class-bigram likelihood most, sweep after sweep.  All
 units then start in the class of their core unit (a word outside the core: its ending's) and are exchanged in Spark: the tasks
-count unit bigrams by class, one row a unit, Spark brings the rows of each unit together, and in each round every unit, against the classes of the round before, moves to its best class;
-a round that does not raise the likelihood of the whole is undone and ends the exchange.
+count unit bigrams by class, packed in one row for each part of the units, Spark brings the rows of a part together, and in each
+round every unit, against the classes of the round before, moves to its best class; a round that does not raise the likelihood of the whole is undone and ends the exchange.
 A text's probability is the product, over its tokens, of the class transition, the unit within its class and, for
 words outside the frequent ones, the word within its ending, each smoothed:
 
