@@ -73,7 +73,8 @@ def links(fingerprints: DataFrame, column: str = "fp", distance: int = DISTANCE)
     probe = own.select(F.col("fp").alias("a"), F.explode(tagged).alias("seg")).select(
         "a", "seg", F.explode(ball).alias("mask")).select("a", F.col("seg").bitwiseXOR(F.col("mask")).alias("key"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return probe.join(table, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    # Spark's estimates leave out what explode adds, so that it would broadcast the 66 keys of every fingerprint: both sides are shuffled
+    return probe.hint("merge").join(table, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -112,7 +113,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = found.groupBy("root", "id", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "digest", "n")).alias("m"))
     stay = least.select(F.col("m.id").alias("stay_id"), F.col("m.digest").alias("stay_digest"), F.col("m.n").alias("stay_n"))
-    kept = docs.withColumn(row, digest).join(
+    # by the size of its files Spark would broadcast a table of few or repeated texts: it is shuffled at any size
+    kept = docs.withColumn(row, digest).hint("merge").join(
         stay, F.col(f"`{id_col}`").eqNullSafe(F.col("stay_id")) & (F.col(row) == F.col("stay_digest")))
     kept = kept.select(*[docs[c] for c in docs.columns], F.col(row), F.col("stay_n").alias(mark))
     once = kept.where(F.col(mark) == 1)
