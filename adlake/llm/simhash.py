@@ -82,7 +82,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, root, component, *carry) of every row: its fingerprint, its group and the group's smallest id.
 
     Fingerprints are computed once and written to the shared folder; links, components and the
-    way back to the rows are joins on distinct fingerprints.
+    way back to the rows are joins on distinct fingerprints.  Rows are on the left of an outer join (every fingerprint
+    has its group), which Spark never broadcasts: files of copies are far smaller than the rows they hold.
     """
     rows = written(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"),
                                *(carry or [])), "fingerprints")
@@ -91,7 +92,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = member.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(member.join(smallest, "root").select("fp", "root", "component"), "fp")
+    return rows.join(member.join(smallest, "root").select("fp", "root", "component"), "fp", "left")
 
 
 def groups(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adlake.llm import simhash
+from adlake.llm import queries, simhash
 from adlake.llm.common import written
 
 
@@ -38,6 +38,21 @@ def test_keys_of_fingerprints_are_not_broadcast(spark, limit):
     assert len(got) == 50 and all((a ^ b) % (1 << 64) == (1 << 40) + (1 << 20) + 1 and a < b for a, b in got)
 
 
+def test_op2_with_many_fingerprints(spark, limit, tmp_path):
+    texts = distinct_texts(20_000)
+    sf = documents(spark, tmp_path, [*texts, *texts[:10]])
+    limit("8m")
+    got = {r.doc_id: r.component_id for r in queries.QUERIES["op2_simhash"](spark, sf).collect()}
+    assert len(got) == 20_010 and all(got[20_000 + k] == got[k] <= k for k in range(10))
+
+
+def test_op2_with_many_copies(spark, limit, tmp_path):
+    sf = documents(spark, tmp_path, [f"copies of text {k % 50}" for k in range(200_000)])
+    limit("8m")
+    found = queries.QUERIES["op2_simhash"](spark, sf).groupBy("fingerprint", "component_id").count().collect()
+    assert sum(r["count"] for r in found) == 200_000 and {r.component_id for r in found} <= set(range(50))
+
+
 def test_pipeline_stage_with_many_fingerprints(spark, limit, tmp_path):
     texts = distinct_texts(20_000)
     docs = spark.read.parquet(documents(spark, tmp_path, [*texts, *texts[:10]]) + "/documents.parquet")
